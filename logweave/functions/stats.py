@@ -39,8 +39,11 @@ F12 = (
     "percentile_25", "percentile_75",
 )
 
-_MOMENT_STATS = {"std", "skew", "mad"}
-KNOWN = {"sum", "size", "count", "nunique", "mean", "std", "max", "min", "median", "skew", "mad"}
+_MOMENT_STATS = {"std", "std_pop", "skew", "mad"}
+KNOWN = {
+    "sum", "size", "count", "nunique", "mean", "std", "std_pop", "max", "min", "ptp",
+    "median", "skew", "mad",
+}
 
 
 def quantile_of(stat: str) -> float | None:
@@ -136,6 +139,10 @@ def describe_compressed(
             c = F.col("_s") / n
         elif s == "std":
             c = F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1)))
+        elif s == "std_pop":
+            c = F.sqrt(F.greatest(m2, F.lit(0.0)) / n)
+        elif s == "ptp":
+            c = F.col("_max") - F.col("_min")
         elif s == "min":
             c = F.col("_min")
         elif s == "max":
