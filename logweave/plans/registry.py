@@ -11,6 +11,7 @@ from pyspark.sql.types import DoubleType, FloatType
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
+RAW: dict[str, QueryFn] = {}  # same queries without the comparison rounding (bench)
 ORACLE: dict[str, str] = {}
 DIGITS = 6
 
@@ -28,6 +29,7 @@ def query(name: str, sql: str | None = None):
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
+        RAW[name] = fn
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -35,12 +37,28 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+# Magnitude steps: below 1e5 keep DIGITS decimals, two fewer per two decades
+# above (10-11 significant digits), so large sums do not hinge on the 16th digit.
+MAG_STEPS = 7
+
+
+def round_value(x):
+    """Magnitude-aware rounding (same CASE ladder as ``sqlgen.rnd``)."""
+    a = F.abs(x)
+    expr = None
+    for i in range(MAG_STEPS):
+        cond = a < float(10 ** (5 + 2 * i))
+        r = F.round(x, DIGITS - 2 * i)
+        expr = F.when(cond, r) if expr is None else expr.when(cond, r)
+    return expr.otherwise(x)
+
+
+def round_doubles(df: DataFrame) -> DataFrame:
     """Round floating columns for engine-independent comparison."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.round(F.col(f"`{f.name}`").cast("double"), digits).alias(f.name))
+            cols.append(round_value(F.col(f"`{f.name}`").cast("double")).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)

@@ -84,22 +84,36 @@ def stats_sql(
     x: str,
     stats: Sequence[str],
     name: Callable[[str], str] = lambda s: s,
+    raw: bool = False,
 ) -> str:
-    """``SELECT keys, stats FROM src GROUP BY keys`` with rounding and fill 0."""
+    """``SELECT keys, stats FROM src GROUP BY keys`` with fill 0 (and rounding
+    unless ``raw``, for results that feed further arithmetic)."""
     kq = ", ".join(q(k) for k in keys)
-    parts = []
+    parts, outer = [], []
     for s in stats:
         e = stat_expr(s, q(x))
+        n = q(name(s))
         if s in INT_STATS:
-            parts.append(f"CAST({e} AS BIGINT) AS {q(name(s))}")
+            parts.append(f"CAST({e} AS BIGINT) AS {n}")
+            outer.append(n)
         else:
-            parts.append(f"round(coalesce(CAST({e} AS DOUBLE), 0), {R}) AS {q(name(s))}")
-    return (
+            parts.append(f"coalesce(CAST({e} AS DOUBLE), 0) AS {n}")
+            outer.append(n if raw else f"{rnd(n)} AS {n}")
+    inner = (
         f"SELECT {kq}, {', '.join(parts)} FROM "
         f"(SELECT *, avg({q(x)}) OVER (PARTITION BY {kq}) AS _mu FROM {src}) "
         f"GROUP BY {kq}"
     )
+    return f"SELECT {kq}, {', '.join(outer)} FROM ({inner})"
+
+
+MAG_STEPS = 7
 
 
 def rnd(expr: str) -> str:
-    return f"round(CAST({expr} AS DOUBLE), {R})"
+    """Magnitude-aware rounding, same ladder as ``registry.round_value``."""
+    x = f"CAST({expr} AS DOUBLE)"
+    arms = " ".join(
+        f"WHEN abs({x}) < {float(10 ** (5 + 2 * i))} THEN round({x}, {R - 2 * i})" for i in range(MAG_STEPS)
+    )
+    return f"(CASE {arms} ELSE {x} END)"

@@ -102,3 +102,15 @@ def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """embeddings with binary target ``y = label < 3``."""
     e = table(spark, sf_dir, "embeddings")
     return e.select("vec_id", "embedding", "label", (F.col("label") < 3).cast("int").alias("y"))
+
+
+# Fixture grade map for the ordinal-map check (p_type -> -1..3; LARGE unmapped).
+PART_TYPE_GRADES = {"PROMO": 3, "STANDARD": 2, "MEDIUM": 1, "ECONOMY": 0, "SMALL": -1}
+
+
+def lineitem_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar fields of the lineitem log (ship dates are whole days)."""
+    from logweave.functions.calendar import hour_of, weekday_of
+
+    log = log_lineitem(spark, sf_dir)
+    return log.select("FileID", "QueryTs", hour_of("QueryTs").alias("hour"), weekday_of("QueryTs").alias("weekday"))
