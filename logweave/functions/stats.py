@@ -158,8 +158,9 @@ def describe_compressed(
             c = F.col("_ad") / n
         else:
             c = F.col("_q")[qs.index(q)]
-            if null_poison:
-                # numpy.percentile over data holding NaN returns NaN (-> 0).
+            if null_poison and s.startswith("percentile_"):
+                # numpy.percentile over data holding NaN returns NaN (-> 0);
+                # pandas' own median skips NaN.
                 c = F.when(n < F.col("_size"), F.lit(0.0)).otherwise(c)
         out.append(c.alias(name(s)))
     res = first.select(*out)

@@ -75,6 +75,17 @@ def variance_filter(
     return df.drop(*drop)
 
 
+def pearson(a: str, b: str):
+    """Pairwise-complete Pearson correlation; NULL (not an ANSI error) when a
+    side is constant.  Built from the stable ``covar_pop`` / ``stddev_pop``
+    aggregates over rows where both values are present."""
+    x, y = _q(a), _q(b)
+    both = x.isNotNull() & y.isNotNull()
+    sx = F.stddev_pop(F.when(both, x))
+    sy = F.stddev_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), sx * sy)
+
+
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(col_i, col_j, corr)`` for i > j (pairwise-complete Pearson).
 
@@ -86,7 +97,7 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     rows = []
     for k in range(0, len(pairs), PAIRS_PER_PASS):
         chunk = pairs[k : k + PAIRS_PER_PASS]
-        r = df.agg(*[F.corr(_q(a), _q(b)).alias(f"p{n}") for n, (a, b) in enumerate(chunk)]).first()
+        r = df.agg(*[pearson(a, b).alias(f"p{n}") for n, (a, b) in enumerate(chunk)]).first()
         rows += [(a, b, r[f"p{n}"]) for n, (a, b) in enumerate(chunk)]
     return spark.createDataFrame(rows, "col_i string, col_j string, corr double")
 
