@@ -11,8 +11,10 @@ Every statistic is computed from a *value-compressed* fact table
    exact quantiles via ``percentile(x, array(q...), w)`` (linear
    interpolation, same as ``numpy.percentile``); the quantile buffer is a
    value -> count map, so it is bounded by distinct values, not rows.
-3. one join-back pass for central moments (two-pass, numerically stable):
-   ``sum w(x-mu)^2``, ``sum w(x-mu)^3``, ``sum w|x-mu|``.
+3. central moments about the key mean (two-pass, numerically stable):
+   ``sum w(x-mu)^2``, ``sum w(x-mu)^3``, ``sum w|x-mu|``, with ``mu`` from
+   a window over the key's compressed rows, so steps 2 and 3 are one
+   aggregate on one partitioning and the input is read once.
 
 Implicit zeros (pivot cells that pandas fills with 0) are passed as an
 extra compressed row ``(keys, 0.0, zeros)`` instead of being materialised.
@@ -27,7 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed stat lists of the reference feature exports (names as emitted).
@@ -83,13 +85,26 @@ def describe_compressed(
     name: Callable[[str], str] = lambda s: s,
     null_poison: bool = False,
     fill: float | None = 0.0,
+    distinct_rows: bool = True,
 ) -> DataFrame:
-    """Statistics over a compressed ``(keys, x, w)`` table."""
+    """Statistics over a compressed ``(keys, x, w)`` table.
+
+    One lineage: the weighted key mean comes from a window over the
+    compressed rows of the key (bounded by its distinct values), and every
+    statistic is then one aggregate on that same partitioning -- two
+    shuffles in total counting the compression, and the input is read once.
+    ``distinct_rows`` says (keys, x) rows are unique, so distinct values can
+    be counted without a distinct aggregate.
+    """
     _check(stats)
     keys = list(keys)
     x, w = F.col("x"), F.col("w")
     wn = F.when(x.isNotNull(), w)
-    first_aggs: list[Column] = [
+    need_mu = bool(_MOMENT_STATS & set(stats))
+    if need_mu:
+        kw = Window.partitionBy(*keys)
+        comp = comp.withColumn("_mu", F.sum(x * w).over(kw) / F.sum(wn).over(kw))
+    aggs: list[Column] = [
         F.sum(wn).alias("_n"),
         F.sum(w).alias("_size"),
         F.sum(x * w).alias("_s"),
@@ -97,31 +112,22 @@ def describe_compressed(
         F.max(x).alias("_max"),
     ]
     if "nunique" in stats:
-        first_aggs.append(F.count_distinct(x).alias("_nu"))
+        nu = F.count(x) if distinct_rows else F.count_distinct(x)
+        aggs.append(nu.alias("_nu"))
     qs = sorted({q for q in (quantile_of(s) for s in stats) if q is not None})
     if qs:
         # Exact, linear interpolation, weighted by the compressed count.
-        first_aggs.append(
-            F.expr(
-                "percentile(x, array(" + ", ".join(repr(q) for q in qs) + "), w)"
-            ).alias("_q")
-        )
-    first = comp.groupBy(*keys).agg(*first_aggs)
-
-    if _MOMENT_STATS & set(stats):
-        mu = first.select(*keys, (F.col("_s") / F.col("_n")).alias("_mu"))
-        d = F.col("x") - F.col("_mu")
-        moments = (
-            comp.where(x.isNotNull())
-            .join(mu, keys)
-            .groupBy(*keys)
-            .agg(
-                F.sum(w * d * d).alias("_m2"),
-                F.sum(w * d * d * d).alias("_m3"),
-                F.sum(w * F.abs(d)).alias("_ad"),
-            )
+        aggs.append(
+            F.expr("percentile(x, array(" + ", ".join(repr(q) for q in qs) + "), w)").alias("_q")
         )
-        first = first.join(moments, keys, "left")
+    if need_mu:
+        d = x - F.col("_mu")
+        aggs += [
+            F.sum(w * d * d).alias("_m2"),
+            F.sum(w * d * d * d).alias("_m3"),
+            F.sum(w * F.abs(d)).alias("_ad"),
+        ]
+    first = comp.groupBy(*keys).agg(*aggs)
 
     n, m2, m3 = F.col("_n"), F.col("_m2"), F.col("_m3")
     out: list[Column] = [F.col(k) for k in keys]
@@ -183,7 +189,7 @@ def describe(
     comp = compress(facts, keys, value)
     if zeros is not None:
         comp = with_zeros(comp, keys, zeros)
-    return describe_compressed(comp, keys, stats, name, null_poison, fill)
+    return describe_compressed(comp, keys, stats, name, null_poison, fill, distinct_rows=zeros is None)
 
 
 def describe_long(

@@ -45,21 +45,25 @@ def open_intervals(
     base = log.select(*keys, "QueryTs").dropna()
     base = base.withColumn("_chunk", F.floor(F.col("QueryTs") / chunk_seconds))
 
-    w_in = Window.partitionBy(*keys, "_chunk").orderBy("QueryTs")
-    inner = (
-        base.withColumn(out, F.col("QueryTs") - F.lag("QueryTs").over(w_in))
-        .where(F.col(out).isNotNull())
-        .select(*keys, "QueryTs", out)
+    # One shuffle on (key, chunk): lag inside the chunk and the chunk's last
+    # time.  Rows without a lag are chunk heads and carry the chunk summary.
+    part = Window.partitionBy(*keys, "_chunk")
+    w = base.select(
+        *keys,
+        "_chunk",
+        "QueryTs",
+        F.lag("QueryTs").over(part.orderBy("QueryTs")).alias("_prev"),
+        F.max("QueryTs").over(part).alias("_hi"),
     )
-
-    bounds = base.groupBy(*keys, "_chunk").agg(
-        F.min("QueryTs").alias("_lo"), F.max("QueryTs").alias("_hi")
+    inner = w.where(F.col("_prev").isNotNull()).select(
+        *keys, "QueryTs", (F.col("QueryTs") - F.col("_prev")).alias(out)
     )
+    heads = w.where(F.col("_prev").isNull())  # exactly one per chunk
     w_chunk = Window.partitionBy(*keys).orderBy("_chunk")
     edges = (
-        bounds.withColumn("_prev_hi", F.lag("_hi").over(w_chunk))
+        heads.withColumn("_prev_hi", F.lag("_hi").over(w_chunk))
         .where(F.col("_prev_hi").isNotNull())
-        .select(*keys, F.col("_lo").alias("QueryTs"), (F.col("_lo") - F.col("_prev_hi")).alias(out))
+        .select(*keys, "QueryTs", (F.col("QueryTs") - F.col("_prev_hi")).alias(out))
     )
     return inner.unionByName(edges)
 
