@@ -1,6 +1,14 @@
 """Named queries.  Importing this package registers all of them."""
 
-from logweave.plans import counts_plans, intervals_plans, overlap_plans, prep_plans, tensor_plans, tfidf_plans  # noqa: F401
+from logweave.plans import (  # noqa: F401
+    counts_plans,
+    intervals_plans,
+    metrics_plans,
+    overlap_plans,
+    prep_plans,
+    tensor_plans,
+    tfidf_plans,
+)
 from logweave.plans.registry import ORACLE, QUERIES, RAW
 
 __all__ = ["QUERIES", "ORACLE", "RAW"]
