@@ -4,6 +4,7 @@ from logweave.plans import (  # noqa: F401
     counts_plans,
     intervals_plans,
     metrics_plans,
+    ml_plans,
     overlap_plans,
     prep_plans,
     tensor_plans,
