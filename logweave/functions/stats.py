@@ -31,6 +31,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 # Fixed stat lists of the reference feature exports (names as emitted).
 F9 = ("mean", "std", "max", "min", "median", "skew", "mad", "percentile_25", "percentile_75")
@@ -64,10 +65,15 @@ def _check(stats: Sequence[str]) -> None:
 
 
 def compress(facts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """``(keys, value)`` facts -> ``(keys, x, w)``; NULL values kept as x=NULL."""
-    return facts.groupBy(*keys, F.col(value).cast("double").alias("x")).agg(
-        F.count(F.lit(1)).alias("w")
-    )
+    """``(keys, value)`` facts -> ``(keys, x, w)``; NULL values kept as x=NULL.
+
+    Integer-valued facts keep an integral copy ``xi`` for exact sums.
+    """
+    comp = facts.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("w"))
+    comp = comp.withColumn("x", F.col("_v").cast("double"))
+    if isinstance(facts.schema[value].dataType, IntegralType):
+        comp = comp.withColumn("xi", F.col("_v").cast("long"))
+    return comp.drop("_v")
 
 
 def with_zeros(comp: DataFrame, keys: Sequence[str], zeros: DataFrame) -> DataFrame:
@@ -75,6 +81,8 @@ def with_zeros(comp: DataFrame, keys: Sequence[str], zeros: DataFrame) -> DataFr
     z = zeros.where(F.col("zeros") > 0).select(
         *keys, F.lit(0.0).alias("x"), F.col("zeros").cast("long").alias("w")
     )
+    if "xi" in comp.columns:
+        z = z.withColumn("xi", F.lit(0).cast("long"))
     return comp.unionByName(z)
 
 
@@ -102,8 +110,18 @@ def describe_compressed(
     wn = F.when(x.isNotNull(), w)
     need_mu = bool(_MOMENT_STATS & set(stats))
     if need_mu:
-        kw = Window.partitionBy(*keys)
+        # Rows of a key in value order: the window and the aggregate below
+        # share this partitioning, so every float sum is taken in the same
+        # order on every run (results do not depend on arrival order).
+        kw = Window.partitionBy(*keys).orderBy("x").rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing
+        )
         comp = comp.withColumn("_mu", F.sum(x * w).over(kw) / F.sum(wn).over(kw))
+        exact = "xi" in comp.columns
+        if exact:
+            # Integer facts: s and n are exact, and n * sum w|x - mu| =
+            # sum w |n x - s| is an integer sum (decimal(38,0), no rounding).
+            comp = comp.withColumn("_sl", F.sum(F.col("xi") * w).over(kw)).withColumn("_nl", F.sum(wn).over(kw))
     aggs: list[Column] = [
         F.sum(wn).alias("_n"),
         F.sum(w).alias("_size"),
@@ -121,15 +139,38 @@ def describe_compressed(
             F.expr("percentile(x, array(" + ", ".join(repr(q) for q in qs) + "), w)").alias("_q")
         )
     if need_mu:
-        d = x - F.col("_mu")
-        aggs += [
-            F.sum(w * d * d).alias("_m2"),
-            F.sum(w * d * d * d).alias("_m3"),
-            F.sum(w * F.abs(d)).alias("_ad"),
-        ]
+        if "xi" in comp.columns:
+            # Integer facts, scaled by n: d = n x - s is an exact integer,
+            # m2 = sum w d^2 / n^2, m3 = sum w d^3 / n^3, mad numerator exact.
+            dec = "decimal(38,0)"
+            dn = F.col("_nl").cast(dec) * F.col("xi").cast(dec) - F.col("_sl").cast(dec)
+            dd = dn.cast("double")
+            aggs += [
+                F.sum(w * dd * dd).alias("_m2s"),
+                F.sum(w * dd * dd * dd).alias("_m3s"),
+                F.sum(F.when(x.isNotNull(), w.cast(dec) * F.abs(dn))).alias("_adn"),
+            ]
+        else:
+            d = x - F.col("_mu")
+            aggs += [
+                F.sum(w * d * d).alias("_m2"),
+                F.sum(w * d * d * d).alias("_m3"),
+                F.sum(w * F.abs(d)).alias("_ad"),
+            ]
     first = comp.groupBy(*keys).agg(*aggs)
 
-    n, m2, m3 = F.col("_n"), F.col("_m2"), F.col("_m3")
+    n = F.col("_n")
+    nd = n.cast("double")
+    scaled = "_m2s" in first.columns
+    if scaled:
+        # m2 = M2 / n^2 and m3 / m2^1.5 = M3 / M2^1.5 (scale-free)
+        m2, m3 = F.col("_m2s"), F.col("_m3s")
+        m2_per_n2 = m2 / (nd * nd)
+    elif need_mu:
+        m2, m3 = F.col("_m2"), F.col("_m3")
+        m2_per_n2 = m2
+    else:
+        m2 = m3 = m2_per_n2 = None
     out: list[Column] = [F.col(k) for k in keys]
     for s in stats:
         q = quantile_of(s)
@@ -144,9 +185,9 @@ def describe_compressed(
         elif s == "mean":
             c = F.col("_s") / n
         elif s == "std":
-            c = F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1)))
+            c = F.when(n > 1, F.sqrt(F.greatest(m2_per_n2, F.lit(0.0)) / (n - 1)))
         elif s == "std_pop":
-            c = F.sqrt(F.greatest(m2, F.lit(0.0)) / n)
+            c = F.sqrt(F.greatest(m2_per_n2, F.lit(0.0)) / n)
         elif s == "ptp":
             c = F.col("_max") - F.col("_min")
         elif s == "min":
@@ -154,14 +195,17 @@ def describe_compressed(
         elif s == "max":
             c = F.col("_max")
         elif s == "skew":
+            zero = (m2 == 0) if scaled else (F.abs(m2) < 1e-14)
             c = F.when(
                 n > 2,
-                F.when(
-                    F.abs(m2) < 1e-14, F.lit(0.0)
-                ).otherwise(n * F.sqrt(n - 1) * m3 / ((n - 2) * F.pow(m2, 1.5))),
+                F.when(zero, F.lit(0.0)).otherwise(n * F.sqrt(n - 1) * m3 / ((n - 2) * (m2 * F.sqrt(m2)))),
             )
         elif s == "mad":
-            c = F.col("_ad") / n
+            if scaled:
+                # one rounding: exact integer numerator over n^2
+                c = F.col("_adn").cast("double") / (n.cast("double") * n.cast("double"))
+            else:
+                c = F.col("_ad") / n
         else:
             c = F.col("_q")[qs.index(q)]
             if null_poison and s.startswith("percentile_"):

@@ -62,13 +62,25 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = "label") -> DataFr
     return agg.select(F.try_divide(F.col("_num"), F.col("_P") * F.col("_Q")).alias("auc"))
 
 
-def binned_auc(df: DataFrame, score: str = "score", label: str = "label", bins: int = AUC_BINS) -> DataFrame:
-    """M9: AUC from a ``bins``-bin score histogram (trapezoid over the ROC
-    points obtained by thresholding at each bin, top bin first)."""
+def score_histogram(df: DataFrame, score: str = "score", label: str = "label", bins: int = AUC_BINS) -> DataFrame:
+    """``(bin, pos, neg)``: bin = least(floor(score * bins), bins - 1)."""
     b = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int")
-    h = df.groupBy(b.alias("bin")).agg(
+    return df.groupBy(b.alias("bin")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg")
     )
+
+
+def binned_auc(df: DataFrame, score: str = "score", label: str = "label", bins: int = AUC_BINS) -> DataFrame:
+    """M9: AUC from a ``bins``-bin score histogram (trapezoid over the ROC
+    points obtained by thresholding at each bin, top bin first)."""
+    return auc_from_histogram(score_histogram(df, score, label, bins))
+
+
+def auc_from_histogram(hist: DataFrame) -> DataFrame:
+    """Trapezoid AUC from ``(bin, pos, neg)`` facts (summed per bin first, so
+    per-batch histograms can be passed as they are).  At most ``bins`` rows
+    reach the ordered window."""
+    h = hist.groupBy("bin").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     w = Window.orderBy(F.desc("bin"))
     cum = h.select(
         "bin",

@@ -5,6 +5,7 @@ from logweave.plans import (  # noqa: F401
     intervals_plans,
     metrics_plans,
     ml_plans,
+    stream_plans,
     overlap_plans,
     prep_plans,
     tensor_plans,

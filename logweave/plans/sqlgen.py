@@ -58,7 +58,8 @@ def stat_expr(stat: str, x: str) -> str:
     if stat == "mean":
         return f"avg({x})"
     if stat == "std":
-        return f"coalesce(stddev_samp({x}), 0)"
+        # sum (n x - s)^2 / n^2 = sum (x - mean)^2; exact HUGEINT for integers
+        return f"CASE WHEN count({x}) > 1 THEN sqrt(CAST(sum((_n * {x} - _s) * (_n * {x} - _s)) AS DOUBLE) / (any_value(_n) * any_value(_n) * (any_value(_n) - 1))) END"
     if stat == "max":
         return f"max({x})"
     if stat == "min":
@@ -69,9 +70,15 @@ def stat_expr(stat: str, x: str) -> str:
         p = float(stat.split("_", 1)[1]) / 100.0
         return f"quantile_cont({x}, {p})"
     if stat == "skew":
-        return f"CASE WHEN count({x}) > 2 AND var_pop({x}) > 0 THEN skewness({x}) ELSE 0 END"
+        m2 = f"CAST(sum((_n * {x} - _s) * (_n * {x} - _s)) AS DOUBLE)"
+        m3 = f"CAST(sum((_n * {x} - _s) * (_n * {x} - _s) * (_n * {x} - _s)) AS DOUBLE)"
+        return (
+            f"CASE WHEN count({x}) > 2 AND {m2} > 0 THEN any_value(_n) * sqrt(any_value(_n) - 1) * {m3} "
+            f"/ ((any_value(_n) - 2) * ({m2} * sqrt({m2}))) ELSE 0 END"
+        )
     if stat == "mad":
-        return f"avg(abs({x} - _mu))"
+        # exact for integer x (HUGEINT sums): sum |n x - s| / n^2
+        return f"sum(abs(_n * {x} - _s)) / (any_value(_n) * any_value(_n))"
     raise ValueError(stat)
 
 
@@ -101,7 +108,8 @@ def stats_sql(
             outer.append(n if raw else f"{rnd(n)} AS {n}")
     inner = (
         f"SELECT {kq}, {', '.join(parts)} FROM "
-        f"(SELECT *, avg({q(x)}) OVER (PARTITION BY {kq}) AS _mu FROM {src}) "
+        f"(SELECT *, avg({q(x)}) OVER (PARTITION BY {kq}) AS _mu, "
+        f"count({q(x)}) OVER (PARTITION BY {kq}) AS _n, sum({q(x)}) OVER (PARTITION BY {kq}) AS _s FROM {src}) "
         f"GROUP BY {kq}"
     )
     return f"SELECT {kq}, {', '.join(outer)} FROM ({inner})"
