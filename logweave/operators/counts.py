@@ -212,3 +212,9 @@ def union_batches(parts: Sequence[DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return out
+
+
+def merge_add(parts: Sequence[DataFrame], keys: Sequence[str], value: str) -> DataFrame:
+    """Align-and-add of partial tables: keys present on one side keep
+    their value, keys on both add (union + sum)."""
+    return union_batches(list(parts)).groupBy(*keys).agg(F.sum(value).alias(value))

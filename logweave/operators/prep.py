@@ -230,3 +230,28 @@ def numeric_columns_probe(df: DataFrame, cols: Sequence[str]) -> list[str]:
     ]
     row = df.agg(*aggs).first()
     return [c for c in cols if (row[c] or 0) == 0]
+
+
+def impute_by_cluster(
+    df: DataFrame,
+    spec: Mapping[str, object],
+    k: int = 3,
+    seed: int = 42,
+    keep_groups: bool = False,
+    min_rows: int = MIN_GROUP_ROWS,
+) -> DataFrame:
+    """H8 with clusters: a Gaussian mixture on the NULL-free numeric columns
+    assigns ``groups``; each NULL is then filled by its group's statistic
+    (global for small groups).  Columns not in ``spec`` default to
+    most_frequent, as in the reference."""
+    from pyspark.ml.clustering import GaussianMixture
+    from pyspark.ml.feature import VectorAssembler
+
+    full, with_nulls = null_columns(df)
+    num = [c for c in full if isinstance(df.schema[c].dataType, NumericType)]
+    vec = VectorAssembler(inputCols=num, outputCol="_f").transform(df)
+    model = GaussianMixture(k=k, featuresCol="_f", predictionCol="groups", probabilityCol="_p", seed=seed).fit(vec)
+    grouped = model.transform(vec).drop("_f", "_p")
+    full_spec = {c: spec.get(c, "most_frequent") for c in with_nulls}
+    out = impute_by_group(grouped, "groups", full_spec, min_rows)
+    return out if keep_groups else out.drop("groups")

@@ -260,3 +260,18 @@ def union_batches(spark, d):
         F.count_distinct("CustomerID").alias("nuniq")
     )
     return C.union_batches([first, rest])
+
+
+@query(
+    "merge_add",
+    f'SELECT "FileID", "CustomerID", sum(c) AS "countCustomer" FROM ('
+    f'SELECT "FileID", "CustomerID", count(*) AS c FROM {B(1)} WHERE batch_id < 15 GROUP BY ALL '
+    f'UNION ALL SELECT "FileID", "CustomerID", count(*) AS c FROM {B(1)} WHERE batch_id >= 15 GROUP BY ALL'
+    ") GROUP BY ALL",
+)
+def merge_add(spark, d):
+    """Merge-by-add of two partial count tables (union + sum, 0-filled)."""
+    b = blog(spark, d, 1)
+    first = C.count_facts(b.where(F.col("batch_id") < 15), "countCustomer").drop("batch_id")
+    rest = C.count_facts(b.where(F.col("batch_id") >= 15), "countCustomer").drop("batch_id")
+    return C.merge_add([first, rest], ["FileID", "CustomerID"], "countCustomer")

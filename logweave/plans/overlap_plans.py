@@ -178,3 +178,17 @@ def overlap_filtered_log(spark, d):
     log = log_lineitem(spark, d)
     target = O.overlap_all(log, ids_lineitem(spark, d))
     return O.overlap_filtered_log(log, target)
+
+
+@query(
+    "breakout_common_customers",
+    "SELECT DISTINCT \"CustomerID\" FROM " + S.batched(SPLIT_SQL, 7)
+    + " WHERE batch_id < 1 AND split = 'train' INTERSECT SELECT DISTINCT \"CustomerID\" FROM "
+    + S.batched(SPLIT_SQL, 7) + " WHERE batch_id < 1 AND split = 'test'",
+)
+def breakout_common_customers(spark, d):
+    """customers common to train and test within the first 7-day batch only."""
+    from logweave.operators.batches import assign_batches, first_batches
+
+    log = first_batches(assign_batches(log_lineitem(spark, d), 7), 1)
+    return O.overlap(O.train_test_sets(log, ids_lineitem(spark, d), ["customer"]), "customer")

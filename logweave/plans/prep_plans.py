@@ -321,3 +321,25 @@ def get_train(spark, d):
 def get_test(spark, d):
     """Testing ids left-joined to features (no label)."""
     return A.attach_labels(_interval_feats(spark, d), ids_events(spark, d), "test")
+
+
+@query("impute_by_cluster")
+def impute_by_cluster(spark, d):
+    """H8: GMM groups (k = 3) on the NULL-free numeric part columns; p_size by
+    group median, p_brand by group mode."""
+    df = tabular_part(spark, d).select("p_partkey", "p_retailprice", "p_size", "p_brand")
+    return P.impute_by_cluster(df, {"p_size": "median"}, k=3, keep_groups=True)
+
+
+@query(
+    "union_train_test",
+    f"SELECT p_partkey, p_type, p_size, p_retailprice, 'train' AS split FROM {TP} WHERE p_partkey % 10 < 7 "
+    f"UNION ALL SELECT p_partkey, p_type, p_size, NULL::DOUBLE, 'test' FROM {TP} WHERE p_partkey % 10 >= 7",
+)
+def union_train_test(spark, d):
+    """Train and test tables (test without the target) stacked with a
+    split column, missing target NULL."""
+    from logweave.sources.log import union_train_test as U
+
+    p = tabular_part(spark, d).select("p_partkey", "p_type", "p_size", "p_retailprice")
+    return U(p.where(F.col("p_partkey") % 10 < 7), p.where(F.col("p_partkey") % 10 >= 7).drop("p_retailprice"))

@@ -14,7 +14,10 @@ from logweave.operators import tfidf as TF
 from logweave.operators.batches import assign_batches
 from logweave.operators.intervals import interval_features
 from logweave.plans import sqlgen as S
+from logweave.plans.overlap_plans import SPLIT_SQL
+from logweave.plans.prep_plans import _IV_SQL
 from logweave.plans.registry import query
+from logweave.plans.tensor_plans import sec_sql
 from logweave.session import cut_lineage
 from logweave.sources import sinks as SK
 from logweave.sources.fixtures import ids_events, ids_lineitem, log_events, log_lineitem
@@ -37,7 +40,7 @@ def scan_day_files(spark, d):
     return back.select("FileID", "CustomerID", "QueryTs", "ProductID", F.col("day").cast("long"))
 
 
-@query("sink_features")
+@query("sink_features", _IV_SQL)
 def sink_features(spark, d):
     """Interval features written as parquet and read back."""
     path = I.scratch(spark, "features")
@@ -56,7 +59,7 @@ def sink_intersect(spark, d):
     return spark.read.schema("FileID string, CustomerID string, QueryTs long, ProductID string, typ string, day long").csv(path)
 
 
-@query("sink_split_series")
+@query("sink_split_series", f'SELECT s.*, i.split FROM ({sec_sql()}) s JOIN {S.IDS_EVENTS} i USING ("FileID")')
 def sink_split_series(spark, d):
     """A10: per-second facts written per split (sorted by file), read back."""
     path = I.scratch(spark, "series")
@@ -94,7 +97,12 @@ def rows_to_records(spark, d):
     return SK.rows_to_records(T.per_second_counts(log_events(spark, d)))
 
 
-@query("persist_sets")
+@query(
+    "persist_sets",
+    f"SELECT split, count(*) AS count, 'product' AS kind FROM (SELECT DISTINCT split, \"ProductID\" FROM {SPLIT_SQL}) GROUP BY split "
+    f"UNION ALL SELECT split, count(*), 'customer' FROM (SELECT DISTINCT split, \"CustomerID\" FROM {SPLIT_SQL}) GROUP BY split "
+    f"UNION ALL SELECT split, count(*), 'prod_cus' FROM (SELECT DISTINCT split, \"ProductID\", \"CustomerID\" FROM {SPLIT_SQL}) GROUP BY split",
+)
 def persist_sets(spark, d):
     """train/test sets written as parquet, read back (kind, rows)."""
     sets = O.train_test_sets(log_lineitem(spark, d), ids_lineitem(spark, d))

@@ -66,3 +66,15 @@ def test_standardize_population(spark):
     s = (2 / 3) ** 0.5
     assert [g[0] for g in got] == pytest.approx([-1 / s, 0.0, 1 / s])
     assert [g[1] for g in got] == [0.0, 0.0, 0.0]
+
+
+def test_clean_log_and_union(spark):
+    from logweave.sources.log import clean_log, union_train_test
+
+    df = spark.createDataFrame([("f1", "c1", 1, "055649"), ("f2", "c2", 2, "7")],
+                               "FileID string, CustomerID string, QueryTs long, ProductID string")
+    assert sorted(r.ProductID for r in clean_log(df).collect()) == ["55649", "7"]
+    tr = spark.createDataFrame([(1, 5.0)], "id int, target double")
+    te = spark.createDataFrame([(2,)], "id int")
+    got = sorted(tuple(r) for r in union_train_test(tr, te).collect())
+    assert got == [(1, 5.0, "train"), (2, None, "test")]

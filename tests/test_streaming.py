@@ -1,8 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from logweave.functions.stats import F12
-from logweave.operators.intervals import interval_features, open_intervals
+from logweave.operators.intervals import open_intervals
 from logweave.streaming import incremental as I
 
 
