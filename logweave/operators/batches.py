@@ -15,14 +15,20 @@ def with_day(log: DataFrame, ts: str = "QueryTs", day: str = "day") -> DataFrame
     return log.withColumn(day, F.floor(F.col(ts) / SECONDS_PER_DAY).cast("long"))
 
 
-def day_ranks(log: DataFrame, n: int, day: str = "day") -> DataFrame:
+def day_ranks(log: DataFrame, n: int, day: str = "day", days: list | None = None) -> DataFrame:
     """``(day, day_rank, batch_id)``: dense rank of the day in name/time order.
 
     Runs on the distinct days only (one row per day file), so the
     single-partition window and the broadcast below are bounded by the
-    number of days, not by events.
+    number of days, not by events.  ``days`` (e.g. from the file listing of
+    a day-file source) avoids reading the log for them.
     """
-    days = log.select(day).distinct()
+    if days is not None:
+        t = log.schema[day].dataType.simpleString()
+        days_df = log.sparkSession.createDataFrame([(d,) for d in sorted(set(days))], f"{day} {t}")
+    else:
+        days_df = log.select(day).distinct()
+    days = days_df
     r = F.dense_rank().over(Window.orderBy(day))
     return days.select(
         day,
@@ -31,10 +37,12 @@ def day_ranks(log: DataFrame, n: int, day: str = "day") -> DataFrame:
     )
 
 
-def assign_batches(log: DataFrame, n: int, day: str = "day", ts: str = "QueryTs") -> DataFrame:
+def assign_batches(
+    log: DataFrame, n: int, day: str = "day", ts: str = "QueryTs", days: list | None = None
+) -> DataFrame:
     """Batch of n consecutive day files: ``floor((dense_rank(day) - 1) / n)``."""
     log = with_day(log, ts, day)
-    ranks = day_ranks(log, n, day).select(day, "batch_id")
+    ranks = day_ranks(log, n, day, days).select(day, "batch_id")
     return log.join(F.broadcast(ranks), day)
 
 

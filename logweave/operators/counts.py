@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from logweave.functions.calendar import hour_of, weekday_of
 from logweave.functions.stats import F5, F9, F11, describe, widen
+from logweave.session import cut_lineage
 
 # Count fields and the id columns they group on beside FileID.
 COUNT_FIELDS = {
@@ -151,6 +152,9 @@ def wide_dim_features(
     null_poison: bool = False,
 ) -> DataFrame:
     """D9/D10/D11 wide: ``{value}_{stat}`` per FileID (0 where no fact)."""
+    # The fact table (far smaller than the log) feeds the value list, the
+    # implicit zeros and the stats: compute it once, reliably checkpointed.
+    facts = cut_lineage(facts)
     values = observed_values(facts, dim, max_values)
     long = dense_dim_stats(facts, dim, stats, null_poison)
     return widen(long, "FileID", dim, stats, values)

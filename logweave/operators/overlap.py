@@ -1,10 +1,10 @@
 """Train / test overlap of products, customers and (product, customer) pairs.
 
 Sets are long tables: ``(split, ProductID)``, ``(split, CustomerID)``,
-``(split, ProductID, CustomerID)``.  Comparing two sets is one
-``groupBy`` over the union of both sides with a side bit, so intersection
-and symmetric difference cost one shuffle each and no group is ever
-collected into an array.
+``(split, ProductID, CustomerID)``, all kinds built from one pass over the
+log.  Comparing train and test is one ``groupBy`` with a side bit
+(``bit_or``), so intersection and symmetric difference cost one shuffle
+and no group is ever collected into an array.
 """
 
 from __future__ import annotations
@@ -22,10 +22,28 @@ def split_log(log: DataFrame, ids: DataFrame) -> DataFrame:
     return log.join(ids.select("FileID", "split"), "FileID").dropna()
 
 
+def _member_rows(s: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    """One row per (split, kind, member) for every requested kind, from one pass."""
+    null = F.lit(None).cast("string")
+    parts = {
+        "product": F.struct(F.lit("product").alias("kind"), F.col("ProductID").alias("p"), null.alias("c")),
+        "customer": F.struct(F.lit("customer").alias("kind"), null.alias("p"), F.col("CustomerID").alias("c")),
+        "prod_cus": F.struct(F.lit("prod_cus").alias("kind"), F.col("ProductID").alias("p"), F.col("CustomerID").alias("c")),
+    }
+    m = s.select("split", F.explode(F.array(*[parts[k] for k in kinds])).alias("m"))
+    return m.select(
+        "split", F.col("m.kind").alias("kind"), F.col("m.p").alias("ProductID"), F.col("m.c").alias("CustomerID")
+    ).distinct()
+
+
 def train_test_sets(log: DataFrame, ids: DataFrame, kinds: Sequence[str] = tuple(KINDS)) -> dict[str, DataFrame]:
-    """Distinct members per split, one long table per kind."""
-    s = split_log(log, ids)
-    return {k: s.select("split", *KINDS[k]).distinct() for k in kinds}
+    """Distinct members per split, one long table per kind.
+
+    All kinds come from one scan and one shuffle (a ``distinct`` over
+    exploded member rows); each kind is a filter of that table.
+    """
+    members = _member_rows(split_log(log, ids), kinds)
+    return {k: members.where(F.col("kind") == k).select("split", *KINDS[k]) for k in kinds}
 
 
 def compare_sets(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -36,8 +54,10 @@ def compare_sets(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Data
     return g.select(*keys, side.alias("side"))
 
 
-def _side(sets: DataFrame, split: str, keys: Sequence[str]) -> DataFrame:
-    return sets.where(F.col("split") == split).select(*keys)
+def _sides(t: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(keys, _bits)``: 1 = train only, 2 = test only, 3 = both (one shuffle)."""
+    bits = F.when(F.col("split") == "train", 1).otherwise(2)
+    return t.groupBy(*keys).agg(F.bit_or(bits).alias("_bits"))
 
 
 def overlap(sets: dict[str, DataFrame], kind: str, reverse: bool = False) -> DataFrame:
@@ -48,17 +68,14 @@ def overlap(sets: dict[str, DataFrame], kind: str, reverse: bool = False) -> Dat
     per product the customer sets are intersected or differenced.
     """
     keys = KINDS[kind]
-    t = sets[kind]
-    cmp = compare_sets(_side(t, "train", keys), _side(t, "test", keys), keys)
-    if reverse:
-        out = cmp.where(F.col("side") != "both")
-        if kind == "prod_cus":
-            prods = compare_sets(
-                _side(t, "train", ["ProductID"]).distinct(), _side(t, "test", ["ProductID"]).distinct(), ["ProductID"]
-            ).where(F.col("side") == "both")
-            out = out.join(prods.select("ProductID"), "ProductID", "left_semi")
-    else:
-        out = cmp.where(F.col("side") == "both")
+    g = _sides(sets[kind], keys)
+    both = F.col("_bits") == 3
+    if not reverse:
+        return g.where(both).select(*keys)
+    out = g.where(~both)
+    if kind == "prod_cus":
+        prods = _sides(sets[kind], ["ProductID"]).where(both).select("ProductID")
+        out = out.join(prods, "ProductID", "left_semi")
     return out.select(*keys)
 
 
@@ -67,22 +84,33 @@ def per_product_sets(sets: dict[str, DataFrame], op: str) -> DataFrame:
     of the train and test customer sets (a product missing on one side
     counts as a NULL set: union and symdiff return the other side,
     intersect returns nothing)."""
-    t = sets["prod_cus"]
     keys = ["ProductID", "CustomerID"]
-    cmp = compare_sets(_side(t, "train", keys), _side(t, "test", keys), keys)
+    g = _sides(sets["prod_cus"], keys)
+    both = F.col("_bits") == 3
     if op == "union":
-        return cmp.select(*keys)
+        return g.select(*keys)
     if op == "intersect":
-        return cmp.where(F.col("side") == "both").select(*keys)
+        return g.where(both).select(*keys)
     if op == "symdiff":
-        return cmp.where(F.col("side") != "both").select(*keys)
+        return g.where(~both).select(*keys)
     raise ValueError(op)
 
 
 def overlap_all(log: DataFrame, ids: DataFrame, reverse: bool = False) -> dict[str, DataFrame]:
-    """Overlap of all three kinds in one pass over the log (no batching)."""
-    sets = train_test_sets(log, ids)
-    return {k: overlap(sets, k, reverse) for k in KINDS}
+    """Overlap of all three kinds from one scan of the log and one
+    comparison shuffle: members of every kind are grouped together with a
+    side bit per split."""
+    members = _member_rows(split_log(log, ids), tuple(KINDS))
+    g = _sides(members, ["kind", "ProductID", "CustomerID"])
+    both = F.col("_bits") == 3
+    out = {}
+    for k, cols in KINDS.items():
+        t = g.where(F.col("kind") == k)
+        out[k] = t.where(~both if reverse else both).select(*cols)
+    if reverse:
+        prods = g.where((F.col("kind") == "product") & both).select("ProductID")
+        out["prod_cus"] = out["prod_cus"].join(prods, "ProductID", "left_semi")
+    return out
 
 
 def common_filter(log: DataFrame, target: dict[str, DataFrame], typ: str = "tight") -> DataFrame:
@@ -108,9 +136,19 @@ def common_filter(log: DataFrame, target: dict[str, DataFrame], typ: str = "tigh
 def overlap_filtered_log(
     log: DataFrame, target: dict[str, DataFrame], typs: Sequence[str] = ("tight", "loose")
 ) -> DataFrame:
-    """Every typ filters the original log; rows tagged with ``typ``."""
-    parts = [common_filter(log, target, t).withColumn("typ", F.lit(t)) for t in typs]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Every typ filters the original log; rows tagged with ``typ``.
+
+    One pass: the log is left-joined to the three member tables (each
+    distinct per key), each row lists the types it passes, and the list is
+    exploded -- the log is read once for all types.
+    """
+    flag = lambda t, name: t.withColumn(name, F.lit(True))
+    j = (
+        log.join(flag(target["prod_cus"], "_pc"), ["ProductID", "CustomerID"], "left")
+        .join(flag(target["product"], "_p"), "ProductID", "left")
+        .join(flag(target["customer"], "_c"), "CustomerID", "left")
+    )
+    pc, p, c = (F.coalesce(F.col(x), F.lit(False)) for x in ("_pc", "_p", "_c"))
+    conds = {"tight": pc, "loose": p & c, "product": p, "customer": c}
+    tags = F.filter(F.array(*[F.when(conds[t], F.lit(t)) for t in typs]), lambda x: x.isNotNull())
+    return j.select(*log.columns, F.explode(tags).alias("typ"))

@@ -48,7 +48,26 @@ def sink_features(spark, d):
     return spark.read.parquet(path)
 
 
-@query("sink_intersect")
+_SPLIT_EV = f'(SELECT l.*, i.split FROM {S.LOG_EVENTS} l JOIN {S.IDS_EVENTS} i USING ("FileID"))'
+
+
+def _common_ev(cols):
+    c = ", ".join(S.q(x) for x in cols)
+    return (
+        f"SELECT DISTINCT {c} FROM {_SPLIT_EV} WHERE split = 'train' INTERSECT "
+        f"SELECT DISTINCT {c} FROM {_SPLIT_EV} WHERE split = 'test'"
+    )
+
+
+_INTERSECT_SQL = (
+    f"SELECT *, 'tight' AS typ, CAST(floor(\"QueryTs\" / 86400) AS BIGINT) AS day FROM {S.LOG_EVENTS} "
+    f"WHERE (\"ProductID\", \"CustomerID\") IN ({_common_ev(['ProductID', 'CustomerID'])}) UNION ALL "
+    f"SELECT *, 'loose', CAST(floor(\"QueryTs\" / 86400) AS BIGINT) FROM {S.LOG_EVENTS} "
+    f"WHERE \"ProductID\" IN ({_common_ev(['ProductID'])}) AND \"CustomerID\" IN ({_common_ev(['CustomerID'])})"
+)
+
+
+@query("sink_intersect", _INTERSECT_SQL)
 def sink_intersect(spark, d):
     """The overlap-filtered events log written by type and day, read back."""
     log = log_events(spark, d)

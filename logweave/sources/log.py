@@ -38,6 +38,18 @@ def read_query_log(spark: SparkSession, path: str, clean: bool = True) -> DataFr
     return clean_log(df) if clean else df
 
 
+def listed_days(spark: SparkSession, path: str) -> list[str]:
+    """Day names of the day files under ``path`` from the file listing only
+    (file name without extension, or the ``day=`` folder)."""
+    import re
+
+    days = set()
+    for f in spark.read.format("binaryFile").load(path).select("path").inputFiles():
+        m = re.search(r"/day=([^/]+)/", f)
+        days.add(m.group(1) if m else re.sub(r"\.[^./]*$", "", f.rsplit("/", 1)[-1]))
+    return sorted(days)
+
+
 def read_id_list(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
     """Headerless ``FileID, y`` list; the testing list's second column is ignored."""
     df = spark.read.schema(IDS_DDL).option("header", False).csv(path)
