@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logweave.session import cut_lineage
+
 SECONDS_PER_DAY = 86400
+# Day-rank tables up to this many rows (16 bytes each) are broadcast; larger
+# ones use an ordinary join.
+MAX_BROADCAST_DAYS = 1_000_000
 
 
 def with_day(log: DataFrame, ts: str = "QueryTs", day: str = "day") -> DataFrame:
@@ -43,7 +48,13 @@ def assign_batches(
     """Batch of n consecutive day files: ``floor((dense_rank(day) - 1) / n)``."""
     log = with_day(log, ts, day)
     ranks = day_ranks(log, n, day, days).select(day, "batch_id")
-    return log.join(F.broadcast(ranks), day)
+    if days is not None:
+        size = len(set(days))
+    else:
+        # Materialise the (small) rank table once and check its size.
+        ranks = cut_lineage(ranks)
+        size = ranks.count()
+    return log.join(F.broadcast(ranks) if size <= MAX_BROADCAST_DAYS else ranks, day)
 
 
 def first_batches(log: DataFrame, k: int) -> DataFrame:

@@ -15,21 +15,38 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # ~128 MB shuffle partitions after AQE coalescing; 256 MB scan splits.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
+# Upper bound on one shuffle partition before AQE coalescing (spill-aware).
+TARGET_PARTITION_BYTES = 200 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int, target: int = TARGET_PARTITION_BYTES) -> int:
+    """Initial shuffle partitions so a partition of the widest shuffle stays
+    around ``target`` bytes; AQE coalesces the small ones at run time.
+    100 TB -> ~500k partitions; never fewer than 200."""
+    return max(200, -(-int(input_bytes) // target))
+
 
 def get_session(
     app: str = "logweave",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra: dict | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
     """Build (or reuse) a session with logweave's defaults.
 
-    On a cluster leave ``master`` unset; ``spark-submit`` provides it.
+    On a cluster leave ``master`` unset; ``spark-submit`` provides it, and
+    pass ``input_bytes`` (size of the log) to size the shuffle partitions.
     """
+    if shuffle_partitions is None and input_bytes:
+        shuffle_partitions = shuffle_partitions_for(input_bytes)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

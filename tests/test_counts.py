@@ -85,3 +85,20 @@ def test_row_normalize_zero_sum(spark):
     out = {r.k: r for r in C.norm_percentage(df).collect()}
     assert out[1]["a_percentage"] == 0.25 and out[1]["b_percentage"] == 0.75
     assert out[2]["a_percentage"] is None
+
+
+def test_batches_from_listed_days(spark, tmp_path):
+    from logweave.operators.batches import assign_batches
+    from logweave.sources.log import listed_days, read_query_log
+
+    for day, rows in {"0301": ["fa,c1,100,p1", "fb,c2,200,055649"], "0302": ["fa,c1,90000,p1"], "0305": ["fb,c3,400000,p2"]}.items():
+        (tmp_path / f"{day}.csv").write_text("\n".join(rows) + "\n")
+    (tmp_path / "0306.csv").write_text("")  # empty day file
+    days = listed_days(spark, str(tmp_path))
+    assert days == ["0301", "0302", "0305", "0306"]
+    log = read_query_log(spark, str(tmp_path))
+    got = sorted((r.day, r.batch_id) for r in assign_batches(log, 2, days=days).select("day", "batch_id").distinct().collect())
+    assert got == [("0301", 0), ("0302", 0), ("0305", 1)]
+    assert sorted(r.ProductID for r in log.collect()) == ["55649", "p1", "p1", "p2"]
+    derived = sorted((r.day, r.batch_id) for r in assign_batches(log, 2).select("day", "batch_id").distinct().collect())
+    assert derived == [("0301", 0), ("0302", 0), ("0305", 1)]
