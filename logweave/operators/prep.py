@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from logweave.functions.encode import MIN_GROUP_ROWS, grade
+from logweave.functions.quantiles import group_mode, group_quantile
+from logweave.session import cut_lineage
 
 
 def _q(c: str) -> Column:
@@ -140,27 +142,36 @@ def one_hot(df: DataFrame, cols: Sequence[str], max_levels: int = 1000) -> DataF
     return out
 
 
-def _stat_expr(c: str, strategy) -> Column:
+# Per-group statistic tables up to this many rows are broadcast to the
+# rows being filled; larger ones use an ordinary join.
+MAX_BROADCAST_GROUPS = 1_000_000
+
+
+def _group_stat(df: DataFrame, keys: Sequence[str], c: str, strategy, out: str) -> DataFrame:
+    """Statistic of ``c`` per group (no keys: one global row), bounded per task."""
     if strategy == "mean":
-        return F.avg(_q(c))
+        return df.groupBy(*keys).agg(F.avg(_q(c)).alias(out))
     if strategy == "median":
-        return F.median(_q(c))
+        return group_quantile(df, keys, c, 0.5, out)
     if strategy == "most_frequent":
         # Ties -> lowest value (pandas idxmax over sorted groups).
-        return F.mode(_q(c), deterministic=True)
+        return group_mode(df, keys, c, out)
     raise ValueError(strategy)
 
 
 def impute_simple(df: DataFrame, spec: Mapping[str, object]) -> DataFrame:
     """H6: fill NULLs with a constant, or the column mean / median / mode.
 
-    One aggregate pass computes every needed statistic.
+    Each statistic is one small result (a single value) computed without
+    holding a column in one buffer.
     """
-    stat_cols = {c: s for c, s in spec.items() if isinstance(s, str)}
-    fills: dict[str, object] = {c: s for c, s in spec.items() if not isinstance(s, str)}
-    if stat_cols:
-        row = df.agg(*[_stat_expr(c, s).alias(c) for c, s in stat_cols.items()]).first()
-        fills.update({c: row[c] for c in stat_cols})
+    fills: dict[str, object] = {}
+    for c, s in spec.items():
+        if isinstance(s, str):
+            row = _group_stat(df, [], c, s, "v").first()
+            fills[c] = row["v"] if row else None
+        else:
+            fills[c] = s
     return df.withColumns({c: _fill(df, c, spec[c], v) for c, v in fills.items() if v is not None})
 
 
@@ -179,16 +190,23 @@ def impute_by_group(
 ) -> DataFrame:
     """H8: fill each NULL by its group's statistic; groups with fewer than
     ``min_rows`` rows (or no value at all) use the global statistic.
-    Strategy 0 fills 0.  One grouped pass + one global pass + a join."""
+    Strategy 0 fills 0.
+
+    Group statistics come from bounded aggregates (see
+    ``functions.quantiles``); the per-group table is checkpointed, its size
+    checked, and broadcast to the rows when small, so a hot group is never
+    gathered into one join task.
+    """
     stat_cols = {c: s for c, s in spec.items() if isinstance(s, str)}
     out = df
     if stat_cols:
-        per = df.groupBy(group).agg(
-            F.count(F.lit(1)).alias("_g_rows"),
-            *[_stat_expr(c, s).alias(f"_g_{c}") for c, s in stat_cols.items()],
-        )
-        glob = df.agg(*[_stat_expr(c, s).alias(c) for c, s in stat_cols.items()]).first()
-        out = out.join(per, group, "left")
+        per = df.groupBy(group).agg(F.count(F.lit(1)).alias("_g_rows"))
+        for c, s in stat_cols.items():
+            per = per.join(_group_stat(df, [group], c, s, f"_g_{c}"), group, "left")
+        per = cut_lineage(per)
+        side = F.broadcast(per) if per.count() <= MAX_BROADCAST_GROUPS else per
+        glob = {c: (_group_stat(df, [], c, s, "v").first() or {"v": None})["v"] for c, s in stat_cols.items()}
+        out = out.join(side, group, "left")
         fills = {}
         for c in stat_cols:
             g = F.lit(glob[c])

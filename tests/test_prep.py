@@ -78,3 +78,28 @@ def test_clean_log_and_union(spark):
     te = spark.createDataFrame([(2,)], "id int")
     got = sorted(tuple(r) for r in union_train_test(tr, te).collect())
     assert got == [(1, 5.0, "train"), (2, None, "test")]
+
+
+def test_bounded_group_quantile_and_mode(spark):
+    import random
+
+    import numpy as np
+
+    from logweave.functions.quantiles import group_mode, group_quantile
+
+    rnd = random.Random(5)
+    rows = [("hot", rnd.gauss(0, 1)) for _ in range(3000)] + [("hot", 0.25)] * 40
+    rows += [("small", float(v)) for v in (3, 1, 2, 2)] + [("one", 7.0), ("nulls", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    for q in (0.0, 0.25, 0.5, 0.9, 1.0):
+        got = {r.g: r.quantile for r in group_quantile(df, ["g"], "x", q, accuracy=200).collect()}
+        for g in ("hot", "small", "one"):
+            vals = [v for k, v in rows if k == g and v is not None]
+            assert got[g] == pytest.approx(float(np.percentile(vals, q * 100)), abs=1e-12), (g, q)
+        assert got.get("nulls") is None
+    glob = group_quantile(df, [], "x", 0.5, accuracy=200).first().quantile
+    assert glob == pytest.approx(float(np.median([v for _, v in rows if v is not None])))
+    modes = {r.g: r.mode for r in group_mode(df, ["g"], "x").collect()}
+    assert modes["hot"] == 0.25 and modes["small"] == 2.0
+    s = spark.createDataFrame([("a", "y"), ("a", "x"), ("a", "y"), ("a", "x"), ("b", "z")], "g string, v string")
+    assert {r.g: r.mode for r in group_mode(s, ["g"], "v").collect()} == {"a": "x", "b": "z"}
