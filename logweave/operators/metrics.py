@@ -5,30 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logweave.session import cut_lineage
+
 # Bins of the streaming AUC and the logit clip epsilon.
 AUC_BINS = 200
 EPSILON = 1e-7
 
 
-def score_ranks(df: DataFrame, score: str = "score", label: str = "label", buckets: int = 64) -> DataFrame:
+SCORES_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 100_000
+
+
+def score_ranks(df: DataFrame, score: str = "score", label: str = "label", buckets: int | None = None) -> DataFrame:
     """``(score, pos, neg, pos_below, neg_below)`` per distinct score.
 
-    Distributed prefix sum: distinct scores are cut into ``buckets`` ranges
-    at approximate quantiles (boundaries only route rows; results are
-    exact), bucket totals are prefix-summed over the bucket table (bounded
-    by ``buckets``), then counts below are completed inside each bucket.
-    No window ever spans all scores.
+    Distributed prefix sum: distinct scores are routed (binary search,
+    ``Bucketizer``) into buckets cut at approximate quantiles -- about a
+    million distinct scores per bucket, at least 64 -- so boundaries only
+    route rows and results are exact.  Bucket totals are prefix-summed over
+    the bucket table (one row per bucket), then counts below are completed
+    inside each bucket.  No window ever spans all scores.
     """
-    g = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).alias("s")).agg(
+    from pyspark.ml.feature import Bucketizer
+
+    g = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(
+        F.col(score).cast("double").alias("s")
+    ).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum((1 - F.col(label)).cast("long")).alias("neg"),
     )
+    g = cut_lineage(g)  # distinct scores: computed once, used three times
+    if buckets is None:
+        buckets = int(min(max(64, -(-g.count() // SCORES_PER_BUCKET)), MAX_BUCKETS))
     probs = [i / buckets for i in range(1, buckets)]
-    # ``buckets - 1`` boundary values (a bounded list) fetched and inlined.
+    # ``buckets - 1`` boundary values (bounded list), strictly increasing.
     cuts = g.select(F.percentile_approx("s", probs, 10000).alias("c")).first()["c"] or []
-    lit_cuts = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
-    # bucket = number of cut points strictly below the score
-    gb = g.withColumn("_b", F.size(F.filter(lit_cuts, lambda c: c < F.col("s").cast("double"))))
+    splits = [float("-inf")] + sorted(set(float(c) for c in cuts)) + [float("inf")]
+    gb = Bucketizer(splits=splits, inputCol="s", outputCol="_b").transform(g)
     tot = gb.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(
@@ -42,6 +55,7 @@ def score_ranks(df: DataFrame, score: str = "score", label: str = "label", bucke
         F.coalesce(F.sum("pos").over(wi), F.lit(0)).alias("_ip"),
         F.coalesce(F.sum("neg").over(wi), F.lit(0)).alias("_in"),
     )
+    # one row per bucket (<= MAX_BUCKETS): bounded broadcast
     return within.join(F.broadcast(offs), "_b").select(
         F.col("s").alias(score),
         "pos",

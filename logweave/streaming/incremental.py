@@ -7,8 +7,8 @@ built so that its final table equals the one-pass batch result:
 
 * I2 facts per (day, FileID) appended per micro-batch (``foreachBatch``,
   idempotent: each epoch overwrites only its own partition);
-* I3 intervals with the file's last timestamp carried in operator state
-  (``applyInPandasWithState``), equal to a one-pass ``lag``;
+* I3 intervals with the file's last timestamp carried in a versioned
+  state table (one row per file), equal to a one-pass ``lag``;
 * I4 growing distinct sets via streaming ``dropDuplicates``;
 * I5 growing corpus as additive ``(doc, token, tf)`` facts;
 * I1 tumbling-window counts with a watermark (append mode);
@@ -19,13 +19,10 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from logweave.operators.batches import SECONDS_PER_DAY
 from logweave.operators.tfidf import tokens_of
@@ -110,30 +107,70 @@ def stream_daily_facts(stream: DataFrame, out: str, checkpoint: str) -> None:
 
 
 # ----------------------------------------------------------------------- I3
-INTERVAL_OUT = "FileID string, QueryTs long, QueryTsInterval long"
-INTERVAL_STATE = "last long"
+def _latest_epoch_before(spark: SparkSession, path: str, epoch: int) -> int | None:
+    """Largest ``epoch=<e>`` folder under ``path`` with e < ``epoch`` (a listing)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    if not fs.exists(p):
+        return None
+    found = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("epoch="):
+            e = int(name.split("=", 1)[1])
+            if e < epoch and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                found.append(e)
+    return max(found) if found else None
 
 
-def _carry_intervals(
-    key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """Per file: sort this micro-batch's times, prepend the carried last
-    time, emit consecutive differences, carry the true last time."""
-    seq = np.sort(pd.concat([p["QueryTs"] for p in pdfs], ignore_index=True).to_numpy(dtype="int64"))
-    full = np.concatenate([[state.get[0]], seq]) if state.exists else seq
-    if len(full) > 1:
-        diffs = full[1:] - full[:-1]
-        times = full[1:]
-        yield pd.DataFrame({"FileID": key[0], "QueryTs": times, "QueryTsInterval": diffs})
-    state.update((int(full[-1]),))
+def stream_intervals(stream: DataFrame, out: str, checkpoint: str) -> None:
+    """Intervals per FileID, state carried across micro-batches as a table.
+
+    Inside a micro-batch the intervals are the batch operator's (chunked,
+    distributed ``lag``); the first event of each file in the batch is
+    joined to the file's carried last time from the state table
+    ``<out>_state/epoch=<e>`` (one row per file), and the merged state is
+    written as the next version.  Every output of epoch e depends only on
+    the batch and state version < e, and is written with dynamic partition
+    overwrite, so a replayed epoch reproduces it exactly.  No group of rows
+    ever meets in one task or one Python call.
+    """
+    from logweave.operators.intervals import open_intervals
 
+    state_path = out.rstrip("/") + "_state"
 
-def stream_intervals(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """Intervals per FileID with state carried across micro-batches."""
-    iv = stream.select("FileID", "QueryTs").dropna().groupBy("FileID").applyInPandasWithState(
-        _carry_intervals, INTERVAL_OUT, INTERVAL_STATE, "append", GroupStateTimeout.NoTimeout
-    )
-    run(iv.writeStream.format("parquet").option("path", out).outputMode("append"), checkpoint)
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.select("FileID", "QueryTs").dropna()
+        inner = open_intervals(rows)
+        firsts = rows.groupBy("FileID").agg(F.min("QueryTs").alias("_first"), F.max("QueryTs").alias("_last"))
+        prev = _latest_epoch_before(spark, state_path, epoch)
+        if prev is not None:
+            state = spark.read.parquet(f"{state_path}/epoch={prev}")
+            edge = firsts.join(state, "FileID").select(
+                "FileID", F.col("_first").alias("QueryTs"), (F.col("_first") - F.col("last")).alias("QueryTsInterval")
+            )
+            merged = state.join(firsts, "FileID", "full_outer").select(
+                "FileID", F.greatest(F.col("last"), F.col("_last")).alias("last")
+            )
+        else:
+            edge = None
+            merged = firsts.select("FileID", F.col("_last").alias("last"))
+        res = inner.select("FileID", "QueryTs", "QueryTsInterval")
+        if edge is not None:
+            res = res.unionByName(edge)
+        (
+            res.withColumn("epoch", F.lit(epoch))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("epoch")
+            .parquet(out)
+        )
+        merged.write.mode("overwrite").parquet(f"{state_path}/epoch={epoch}")
+
+    run(stream.writeStream.foreachBatch(write), checkpoint)
 
 
 # ----------------------------------------------------------------------- I4
