@@ -171,9 +171,11 @@ def health_check(sec: DataFrame, cols: Sequence[str] = ("QueryTs",) + PER_SECOND
     return sec.groupBy("FileID").agg(present.alias("n_columns")).where(F.col("n_columns") < need)
 
 
-def tensor_dataset(tens: DataFrame, labels: DataFrame, val_buckets: int = 1, of: int = 10) -> DataFrame:
-    """Tensors of training files with their label, hash-split train/val
-    (``val_buckets`` out of ``of`` hash buckets of FileID go to validation)."""
+def tensor_dataset(tens: DataFrame, labels: DataFrame, val_pct: int = 10, seed: int = 0) -> DataFrame:
+    """Tensors of training files with their label, split train / val by
+    a deterministic hash of FileID (``val_pct`` percent to validation)."""
+    from logweave.operators.metrics import hash_fraction
+
     lab = labels.where(F.col("split") == "train").select("FileID", "y")
-    part = F.when(F.pmod(F.xxhash64("FileID"), F.lit(of)) < val_buckets, "val").otherwise("train")
+    part = F.when(hash_fraction("FileID", seed) < val_pct, "val").otherwise("train")
     return tens.join(lab, "FileID").withColumn("subset", part)

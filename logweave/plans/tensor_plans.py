@@ -97,7 +97,16 @@ def series_zscore(spark, d):
     return T.zscore(T.series(_sec(spark, d), group_n=G))
 
 
-@query("tensor")
+def _tensor_sql():
+    rows = ", ".join(f"s.{S.q(c)}" for c in CH)
+    return (
+        f"WITH s AS ({series_sql()}), v AS (SELECT \"FileID\", bucket // 24 AS sp, "
+        f"list([{rows}] ORDER BY bucket) AS r FROM s GROUP BY ALL) "
+        'SELECT "FileID", list(r ORDER BY sp) AS tensor FROM v GROUP BY "FileID"'
+    )
+
+
+@query("tensor", _tensor_sql())
 def tensor(spark, d):
     """J1 reshape: (6, 24, 3) tensor per file from hourly 6-day series."""
     return T.tensor(T.series(_sec(spark, d), group_n=G), split_n=6)
@@ -165,7 +174,12 @@ def health_check(spark, d):
     return T.health_check(_sec(spark, d))
 
 
-@query("tensor_dataset")
+@query(
+    "tensor_dataset",
+    f"SELECT t.\"FileID\", t.tensor, i.y, CASE WHEN "
+    f"(CAST(('0x' || substr(md5('0:' || t.\"FileID\"), 1, 8)) AS BIGINT) % 100) < 10 THEN 'val' ELSE 'train' END AS subset "
+    f"FROM ({_tensor_sql()}) t JOIN {S.IDS_EVENTS} i USING (\"FileID\") WHERE i.split = 'train'",
+)
 def tensor_dataset(spark, d):
     """Labelled tensors of training files with a 90/10 hash split."""
     tens = T.tensor(T.series(_sec(spark, d), group_n=G), split_n=6)
