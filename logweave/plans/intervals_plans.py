@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from logweave.functions.stats import F12
 from logweave.operators.batches import assign_batches
