@@ -29,8 +29,9 @@ def day_ranks(log: DataFrame, n: int, day: str = "day", days: list | None = None
     a day-file source) avoids reading the log for them.
     """
     if days is not None:
-        t = log.schema[day].dataType.simpleString()
-        days_df = log.sparkSession.createDataFrame([(d,) for d in sorted(set(days))], f"{day} {t}")
+        t = log.schema[day].dataType
+        rows = [(str(d),) for d in sorted(set(days))]
+        days_df = log.sparkSession.createDataFrame(rows, f"{day} string").select(F.col(day).cast(t).alias(day))
     else:
         days_df = log.select(day).distinct()
     days = days_df
