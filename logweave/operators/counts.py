@@ -104,8 +104,9 @@ def dense_dim_stats(facts: DataFrame, dim: str, stats: Sequence[str], null_poiso
 def dense_dim_table(facts: DataFrame, dim: str) -> DataFrame:
     """The densified pivot cells themselves, long: ``(batch_id, FileID, dim, Count)``.
 
-    Its size is files x values per batch by definition (it *is* the
-    reference's pivot); features use :func:`dense_dim_stats` instead.
+    Files x values per batch by definition: use it for dimensions with a
+    fixed small domain (hours, weekdays); features use
+    :func:`dense_dim_stats`, which never materialises the zeros.
     """
     fb = facts.select("batch_id", "FileID").distinct()
     db = facts.select("batch_id", dim).distinct()
