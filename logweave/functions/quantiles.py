@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from logweave.session import cut_lineage
+from logweave.session import small_table
 
 DEFAULT_ACCURACY = 100_000
-MAX_BROADCAST_GROUPS = 1_000_000
+MAX_BROADCAST_GROUPS = 100_000
 _G = "_group"
 
 
@@ -89,10 +89,10 @@ def group_quantile(
         F.when(small | F.lit(hi_p >= 1), F.col("_max")).otherwise(F.col("_b")[1]).alias("_hi"),
         (F.lit(q) * (F.col("_n") - 1)).alias("_r"),
     )
-    # One row per group: checkpoint, check the size, broadcast when small so
+    # One row per group: fetched and broadcast when small (size checked), so
     # a hot group's rows are not gathered into one join task.
-    sk = cut_lineage(sk)
-    j = v.join(F.broadcast(sk) if sk.count() <= MAX_BROADCAST_GROUPS else sk, k)
+    sk, small = small_table(sk, MAX_BROADCAST_GROUPS)
+    j = v.join(F.broadcast(sk) if small else sk, k)
     below = j.groupBy(*k).agg(F.sum((F.col("_x") < F.col("_lo")).cast("long")).alias("_below"))
     band = j.where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
     pos = F.row_number().over(Window.partitionBy(*k).orderBy("_x")) - 1

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweave.session import cut_lineage
+from logweave.session import small_table
 
 SECONDS_PER_DAY = 86400
 # Day-rank tables up to this many rows (16 bytes each) are broadcast; larger
 # ones use an ordinary join.
-MAX_BROADCAST_DAYS = 1_000_000
+MAX_BROADCAST_DAYS = 100_000
 
 
 def with_day(log: DataFrame, ts: str = "QueryTs", day: str = "day") -> DataFrame:
@@ -50,12 +50,12 @@ def assign_batches(
     log = with_day(log, ts, day)
     ranks = day_ranks(log, n, day, days).select(day, "batch_id")
     if days is not None:
-        size = len(set(days))
+        small = len(set(days)) <= MAX_BROADCAST_DAYS
     else:
-        # Materialise the (small) rank table once and check its size.
-        ranks = cut_lineage(ranks)
-        size = ranks.count()
-    return log.join(F.broadcast(ranks) if size <= MAX_BROADCAST_DAYS else ranks, day)
+        # One job: the rank table (one row per day) is fetched when it is
+        # small, which both checks and fixes its size.
+        ranks, small = small_table(ranks, MAX_BROADCAST_DAYS)
+    return log.join(F.broadcast(ranks) if small else ranks, day)
 
 
 def first_batches(log: DataFrame, k: int) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql.types import NumericType, StringType
 
 from logweave.functions.encode import MIN_GROUP_ROWS, grade
 from logweave.functions.quantiles import group_mode, group_quantile
-from logweave.session import cut_lineage
+from logweave.session import small_table
 
 
 def _q(c: str) -> Column:
@@ -144,7 +144,7 @@ def one_hot(df: DataFrame, cols: Sequence[str], max_levels: int = 1000) -> DataF
 
 # Per-group statistic tables up to this many rows are broadcast to the
 # rows being filled; larger ones use an ordinary join.
-MAX_BROADCAST_GROUPS = 1_000_000
+MAX_BROADCAST_GROUPS = 100_000
 
 
 def _group_stat(df: DataFrame, keys: Sequence[str], c: str, strategy, out: str) -> DataFrame:
@@ -193,9 +193,9 @@ def impute_by_group(
     Strategy 0 fills 0.
 
     Group statistics come from bounded aggregates (see
-    ``functions.quantiles``); the per-group table is checkpointed, its size
-    checked, and broadcast to the rows when small, so a hot group is never
-    gathered into one join task.
+    ``functions.quantiles``); the per-group table is fetched when small (its
+    size checked) and broadcast to the rows, so a hot group is never
+    gathered into one join task; beyond the cap it is checkpointed.
     """
     stat_cols = {c: s for c, s in spec.items() if isinstance(s, str)}
     out = df
@@ -203,8 +203,8 @@ def impute_by_group(
         per = df.groupBy(group).agg(F.count(F.lit(1)).alias("_g_rows"))
         for c, s in stat_cols.items():
             per = per.join(_group_stat(df, [group], c, s, f"_g_{c}"), group, "left")
-        per = cut_lineage(per)
-        side = F.broadcast(per) if per.count() <= MAX_BROADCAST_GROUPS else per
+        per, small = small_table(per, MAX_BROADCAST_GROUPS)
+        side = F.broadcast(per) if small else per
         glob = {c: (_group_stat(df, [], c, s, "v").first() or {"v": None})["v"] for c, s in stat_cols.items()}
         out = out.join(side, group, "left")
         fills = {}

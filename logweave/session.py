@@ -93,3 +93,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss), never localCheckpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Small lookup tables (day ranks, per-group statistics) up to this many rows
+# are fetched and broadcast; larger ones are checkpointed and joined.
+SMALL_TABLE_ROWS = 100_000
+
+
+def small_table(df: DataFrame, cap: int = SMALL_TABLE_ROWS) -> tuple[DataFrame, bool]:
+    """``(table, is_small)``: one job fetches at most ``cap + 1`` rows; when
+    the table fits, it is rebuilt from those rows (safe to broadcast: its
+    size is now known), otherwise it is checkpointed for an ordinary join."""
+    rows = df.limit(cap + 1).collect()
+    if len(rows) <= cap:
+        return df.sparkSession.createDataFrame(rows, df.schema), True
+    return cut_lineage(df), False
