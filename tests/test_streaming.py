@@ -44,3 +44,14 @@ def test_stream_daily_facts_idempotent_layout(spark, log):
         for r in log.groupBy(F.floor(F.col("QueryTs") / 86400).alias("day"), "FileID").count().collect()
     )
     assert got == exp
+
+
+def test_block_sink_caps_rows_per_file(spark, log):
+    from logweave.operators.tensors import per_second_counts
+    from logweave.sources.sinks import write_blocks
+
+    path = I.scratch(spark, "t-blocks")
+    big = per_second_counts(log).withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(399))))
+    write_blocks(big.repartition(1), path, epoch=0, block_rows=1000)
+    per_file = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_file) == big.count() and max(per_file) <= 1000 and len(per_file) > 1
