@@ -37,9 +37,10 @@ def tokens_of(col: str = "FileID") -> F.Column:
 def corpus(log: DataFrame, field: str) -> DataFrame:
     """K1: doc = value of ``field``; tokens = the FileIDs of its rows (with repeats).
 
-    Output ``(doc, token, tf)`` plus every doc (tokenless docs keep tf NULL
-    so they still count in N).  Growing the corpus across batches is a sum
-    of tf, so the batch and incremental forms agree.
+    Output ``(doc, token, tf)``; a document with rows that yield no token
+    also has a ``(doc, NULL, 0)`` row, so it still counts in N.  Growing the
+    corpus across batches is a sum of tf, so the batch and incremental forms
+    agree.
     """
     rows = log.where(F.col(field).isNotNull()).select(F.col(field).cast("string").alias("doc"), "FileID")
     return _tf(rows)
@@ -52,11 +53,13 @@ def corpus_by_batch(blog: DataFrame) -> DataFrame:
 
 
 def _tf(rows: DataFrame) -> DataFrame:
-    toks = rows.select("doc", tokens_of("FileID").alias("token"))
-    tf = toks.groupBy("doc", "token").agg(F.count(F.lit(1)).alias("tf"))
-    docs = rows.select("doc").distinct()
-    # Keep docs without any token (they still count in N).
-    return docs.join(tf, "doc", "left")
+    """One aggregation: ``explode_outer`` keeps rows whose FileID yields no
+    token as ``(doc, NULL, 0)`` markers, so such documents still count in N
+    without a second pass over the input."""
+    toks = rows.select(
+        "doc", F.explode_outer(F.regexp_extract_all(F.lower(F.col("FileID")), F.lit(TOKEN_PATTERN), 0)).alias("token")
+    )
+    return toks.groupBy("doc", "token").agg(F.count("token").alias("tf"))
 
 
 def tfidf_weights(corp: DataFrame) -> DataFrame:
