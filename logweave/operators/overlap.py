@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logweave.session import broadcast_if_small
+
 KINDS = {"product": ["ProductID"], "customer": ["CustomerID"], "prod_cus": ["ProductID", "CustomerID"]}
 
 
@@ -113,24 +115,27 @@ def overlap_all(log: DataFrame, ids: DataFrame, reverse: bool = False) -> dict[s
     return out
 
 
+_NEEDS = {"tight": ["prod_cus"], "product": ["product"], "customer": ["customer"], "loose": ["product", "customer"]}
+
+
 def common_filter(log: DataFrame, target: dict[str, DataFrame], typ: str = "tight") -> DataFrame:
     """Keep log rows matching the overlap.
 
     tight: (product, customer) pair in the pair set; product / customer: id
     in that set; loose: product in the product set and customer in the
-    customer set.
+    customer set.  Member tables are broadcast when small (size checked),
+    so a hot product or customer is not shuffled into one task.
     """
+    if typ not in _NEEDS:
+        raise ValueError(typ)
+    t = {k: broadcast_if_small(v) for k, v in target.items() if k in _NEEDS[typ]}
     if typ == "tight":
-        return log.join(target["prod_cus"], ["ProductID", "CustomerID"], "left_semi")
+        return log.join(t["prod_cus"], ["ProductID", "CustomerID"], "left_semi")
     if typ == "product":
-        return log.join(target["product"], "ProductID", "left_semi")
+        return log.join(t["product"], "ProductID", "left_semi")
     if typ == "customer":
-        return log.join(target["customer"], "CustomerID", "left_semi")
-    if typ == "loose":
-        return log.join(target["product"], "ProductID", "left_semi").join(
-            target["customer"], "CustomerID", "left_semi"
-        )
-    raise ValueError(typ)
+        return log.join(t["customer"], "CustomerID", "left_semi")
+    return log.join(t["product"], "ProductID", "left_semi").join(t["customer"], "CustomerID", "left_semi")
 
 
 def overlap_filtered_log(
@@ -139,10 +144,13 @@ def overlap_filtered_log(
     """Every typ filters the original log; rows tagged with ``typ``.
 
     One pass: the log is left-joined to the three member tables (each
-    distinct per key), each row lists the types it passes, and the list is
-    exploded -- the log is read once for all types.
+    distinct per key; broadcast when small, size checked), each row lists
+    the types it passes, and the list is exploded -- the log is read once
+    for all types.
     """
-    flag = lambda t, name: t.withColumn(name, F.lit(True))
+    def flag(t: DataFrame, name: str) -> DataFrame:
+        return broadcast_if_small(t.withColumn(name, F.lit(True)))
+
     j = (
         log.join(flag(target["prod_cus"], "_pc"), ["ProductID", "CustomerID"], "left")
         .join(flag(target["product"], "_p"), "ProductID", "left")

@@ -109,9 +109,13 @@ def label_encode(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     codes = levels.withColumn(
         "_code", (F.dense_rank().over(Window.partitionBy("_col").orderBy("_val")) - 1).cast("int")
     )
+    # one small code table for all columns: fetched (size checked) and
+    # broadcast, so rows of a frequent category are not shuffled together
+    codes, small = small_table(codes)
     out = df
     for c in cols:
         m = codes.where(F.col("_col") == c).select(F.col("_val").alias(f"_v_{c}"), F.col("_code").alias(f"_c_{c}"))
+        m = F.broadcast(m) if small else m
         out = out.join(m, _q(c) == F.col(f"_v_{c}"), "left").withColumn(c, F.col(f"_c_{c}")).drop(
             f"_v_{c}", f"_c_{c}"
         )
