@@ -103,3 +103,25 @@ def test_bounded_group_quantile_and_mode(spark):
     assert modes["hot"] == 0.25 and modes["small"] == 2.0
     s = spark.createDataFrame([("a", "y"), ("a", "x"), ("a", "y"), ("a", "x"), ("b", "z")], "g string, v string")
     assert {r.g: r.mode for r in group_mode(s, ["g"], "v").collect()} == {"a": "x", "b": "z"}
+
+
+def test_impute_by_cluster_fills_everything(spark):
+    import random
+
+    rnd = random.Random(2)
+    rows = []
+    for i in range(120):
+        c = i % 3
+        size = None if i % 7 == 0 else float(10 * c + rnd.randint(0, 2))
+        brand = None if i % 11 == 0 else f"b{c}"
+        rows.append((i, float(100 * c + rnd.random()), size, brand))
+    df = spark.createDataFrame(rows, "k int, price double, size double, brand string")
+    out = P.impute_by_cluster(df, {"size": "median"}, k=3, keep_groups=True)
+    got = {r.k: r for r in out.collect()}
+    assert len(got) == 120 and all(r.size is not None and r.brand is not None for r in got.values())
+    assert {r.groups for r in got.values()} <= {0, 1, 2}
+    for k, _, size, brand in rows:  # present values untouched
+        if size is not None:
+            assert got[k].size == size
+        if brand is not None:
+            assert got[k].brand == brand
