@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import bpe, chat, packing, quality_rules, shard, warc
+from logweave.llm import bpe, chat, cotrain, neardup, packing, pii, quality_rules, shard, warc
 from logweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,12 +53,30 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.digests(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op5_cotrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by the co-trained quality classifier."""
+    return cotrain.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and weakly supervised verdict for all documents."""
     return quality_rules.score(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+@query()
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with pseudonyms for personal numbers and dates."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents")).select("doc_id", "text")
+
+
 @query()
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by rank and decoded."""
