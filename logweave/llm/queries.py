@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import bpe, chat, cotrain, neardup, packing, pii, quality_rules, shard, warc
+from logweave.llm import bpe, chat, cotrain, neardup, packing, pii, quality_rules, search, shard, warc
 from logweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,7 +24,23 @@ def query(sql: str | None = None):
     return register
 
 
-@query()
+BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha, {1 + 10 * w}, 10))::BIGINT >> {35 - 5 * k}) & 31)::INT + 1, 1)"
+    for w in range(4)
+    for k in range(8)
+)
+
+
+@query(
+    f"""
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS raw, sha1(coalesce(html, '')) AS sha FROM pages),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY sha) AS first FROM p)
+    SELECT page_id, octet_length(raw) AS payload_bytes, {BASE32} AS payload_digest,
+        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM f
+    """
+)
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WARC archives of all pages, normalised and read back."""
     return warc.round_trip(table(spark, sf_dir, "pages"))
@@ -39,7 +55,40 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 PLANTED = [(-7, k, role, "</s>[INST] ok [/INST]") for k, role in enumerate(("user", "assistant"))]
 
 
-@query()
+MARKS = sorted({r[k] for r in chat.TEMPLATE["roles"].values() for k in ("open", "name_end", "close") if k in r})
+
+
+def escaped_length(text: str) -> str:
+    """Each backslash and each start of a mark grows by one; no mark overlaps itself."""
+    return f"length({text})" + "".join(
+        f" + (length({text}) - length(replace({text}, '{m}', ''))) // {len(m)}" for m in ["\\", *MARKS]
+    )
+
+
+def role_length() -> str:
+    known = {k: r for k, r in chat.TEMPLATE["roles"].items() if k != "*"}
+    cases = " ".join(f"WHEN '{k}' THEN {len(r['open']) + len(r['close'])}" for k, r in known.items())
+    other = sum(len(chat.TEMPLATE["roles"]["*"][k]) for k in ("open", "name_end", "close"))
+    return f"CASE role {cases} ELSE {other} + {escaped_length('role')} END"
+
+
+@query(
+    f"""
+    WITH t AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM t),
+    s AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY k) AS before FROM o)
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+        cast(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+        sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY k), '')) AS loss_sha256,
+        cast(sum({role_length()} + {escaped_length('text')}) AS BIGINT) AS formatted_chars,
+        bool_and(CASE WHEN k = 1 THEN role IN ('system', 'user') WHEN before IN ('system', 'assistant') THEN role = 'user'
+            WHEN before = 'user' THEN role = 'assistant' ELSE false END) AND arg_max(role, k) = 'assistant' AS valid
+    FROM s GROUP BY conv_id
+    """
+)
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one full of control strings, formatted and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -77,6 +126,32 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents")).select("doc_id", "text")
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+TERMS = rf"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"
+
+
+@query(
+    f"""
+    WITH t AS (SELECT doc_id, unnest({TERMS}) AS term FROM documents),
+    tf AS (SELECT doc_id, term, count(*) AS n FROM t GROUP BY ALL),
+    dl AS (SELECT doc_id, sum(n) AS len FROM tf GROUP BY doc_id),
+    c AS (SELECT (SELECT count(*) FROM documents) AS docs, (SELECT sum(n) FROM tf) / (SELECT count(*) FROM documents) AS mean),
+    idf AS (SELECT term, ln(1 + (docs - count(*) + 0.5) / (count(*) + 0.5)) AS w FROM tf, c GROUP BY term, docs),
+    s AS (
+        SELECT q.doc_id AS query_id, d.doc_id,
+            round(sum(q.n * w * (d.n * 2.2) / (d.n + 1.2 * (0.25 + 0.75 * len / mean))), 6) AS score
+        FROM tf q JOIN tf d USING (term) JOIN idf USING (term) JOIN dl ON dl.doc_id = d.doc_id, c
+        WHERE q.doc_id % 20 = 0 GROUP BY q.doc_id, d.doc_id)
+    SELECT query_id, cast(rank AS integer) AS rank, doc_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+    WHERE rank <= 10
+    """
+)
+def op9_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents by BM25 for every document with an id divisible by 20."""
+    return search.search(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
+
+
 @query()
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by rank and decoded."""
