@@ -8,23 +8,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logweave.llm import packing, quality_rules
+from logweave.llm import cotrain, neardup, packing, pii, quality_rules
 from logweave.llm.common import table, written
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier keeps."""
+    return cotrain.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighted rules keep."""
     return quality_rules.keep_good(docs)
 
 
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates: that with the smallest id."""
+    return neardup.first_of_class(docs)
+
+
+def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with pseudonyms for personal numbers and dates."""
+    return pii.pseudonymise(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, placed in sequences of 2048 tokens."""
     return packing.pack_documents(docs)
 
 
-STAGES = [("quality_rules", rules), ("packing", pack)]
+STAGES = [
+    ("quality_classifier", classify),
+    ("quality_rules", rules),
+    ("near_dedup", dedup),
+    ("pii", pseudonymise),
+    ("packing", pack),
+]
 
-#: Learned classifiers, tokenisation and packing have no SQL form.
+#: Learned classifiers, sketches, tokenisation and packing have no SQL form.
 ORACLE_SQL = None
 
 
