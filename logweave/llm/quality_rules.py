@@ -32,7 +32,7 @@ CONTINUED = slice(0x80, 0xC0)  # bytes inside a code point
 KEEP_AT = 0.5
 #: At most this share of the good documents shows any one symptom.  Without such
 #: a limit two kinds of junk can make one kind a habit of "good" documents.
-FALSE_ALARMS = 0.02
+FALSE_ALARMS = 0.005
 #: At least this share of them lacks any one virtue: no single abstention condemns.
 LACKS = 0.1
 
