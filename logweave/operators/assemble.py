@@ -55,15 +55,18 @@ def remove_percentage_cols(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if "percentage" in c])
 
 
-def filter_data(df: DataFrame, vari: bool = False, cori: bool = False, vari_threshold=0.25, cori_threshold=0.999) -> DataFrame:
-    """K9 filters: low-correlation, variance, constant columns, percentage columns."""
+def filter_data(
+    df: DataFrame, vari: bool = False, cori: bool = False, vari_threshold=0.25, cori_threshold=0.999, keys: Sequence[str] = ("FileID",)
+) -> DataFrame:
+    """K9 filters: low-correlation, variance, constant columns, percentage columns.
+    ``keys`` always stay."""
     from logweave.operators.select import low_corr, variance_filter
 
     if cori:
         df = low_corr(df, cori_threshold)
     if vari:
         df = variance_filter(df, vari_threshold)
-    df = drop_constant(df)
+    df = drop_constant(df, keys)
     return remove_percentage_cols(df)
 
 

@@ -3,6 +3,7 @@ proximity between labels, k-medoids on a long distance table."""
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import GaussianMixture
@@ -78,24 +79,38 @@ def rf_proximity(
     trees: int = 10,
     seed: int = 42,
 ) -> DataFrame:
-    """L4: 1 - (rows of labels a and b sharing a leaf) / (trees * n_a * n_b).
-
-    Leaves come from a random forest regressor; the same-leaf count is an
-    equi-join of per-(tree, leaf, label) counts, not a row-pair loop.  For
-    a = b the reference counts ordered pairs i >= j, i.e. (sum c^2 + trees n)/2.
-    """
+    """L4: proximity distances between labels from a random forest regressor."""
     rf = RandomForestRegressor(featuresCol=features, labelCol=target, numTrees=trees, seed=seed, leafCol="leaf")
     leaves = rf.fit(df).transform(df).select(
         F.col(label).alias("lab"), F.posexplode(vector_to_array("leaf")).alias("tree", "leaf")
     )
+    return leaf_distances(leaves, trees)
+
+
+# The result is a matrix of labels; a label with more values is no label.
+MAX_LABELS = 2000
+
+
+def leaf_distances(leaves: DataFrame, trees: int) -> DataFrame:
+    """L4, the relational part: ``(lab, tree, leaf)`` rows (one per row and tree)
+    -> ``(a, b, distance)`` for every pair of labels,
+
+        1 - (rows of labels a and b sharing a leaf) / (trees * n_a * n_b);
+
+    labels that never share a leaf are at distance 1.  The same-leaf count is
+    an equi-join of per-(tree, leaf, label) counts, not a row-pair loop.  For
+    a = b ordered pairs i >= j count, i.e. (sum c^2 + trees n) / 2.
+    """
     c = leaves.groupBy("tree", "leaf", "lab").agg(F.count(F.lit(1)).alias("c"))
-    n = df.groupBy(F.col(label).alias("lab")).agg(F.count(F.lit(1)).alias("n"))
+    n = cut_lineage(c.groupBy("lab").agg((F.sum("c") / trees).cast("long").alias("n")))
+    if n.count() > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels; their distance matrix is no summary")
     a = c.select("tree", "leaf", F.col("lab").alias("a"), F.col("c").alias("ca"))
     b = c.select("tree", "leaf", F.col("lab").alias("b"), F.col("c").alias("cb"))
     same = a.join(b, ["tree", "leaf"]).groupBy("a", "b").agg(F.sum(F.col("ca") * F.col("cb")).alias("_s"))
     na = n.select(F.col("lab").alias("a"), F.col("n").alias("na"))
     nb = n.select(F.col("lab").alias("b"), F.col("n").alias("nb"))
-    s = same.join(na, "a").join(nb, "b")
+    s = na.crossJoin(nb).join(same, ["a", "b"], "left").withColumn("_s", F.coalesce("_s", F.lit(0)))
     num = F.when(F.col("a") == F.col("b"), (F.col("_s") + trees * F.col("na")) / 2).otherwise(F.col("_s"))
     return s.select("a", "b", (1 - num / (trees * F.col("na") * F.col("nb"))).alias("distance"))
 
@@ -131,7 +146,7 @@ def kmedoids(dist: DataFrame, medoids: Sequence, tmax: int = 100) -> tuple[DataF
     folder (reliable lineage cut).  The medoid list (k values) is the only
     state kept on the driver.  Returns (assignment, silhouette).
     """
-    d = dist.withColumn("d", F.when(F.col("i") == F.col("j"), F.lit(0.0)).otherwise(F.col("d")))
+    d = cut_lineage(dist.withColumn("d", F.when(F.col("i") == F.col("j"), F.lit(0.0)).otherwise(F.col("d"))))
     meds = list(medoids)
     for _ in range(tmax):
         assign = cut_lineage(kmedoids_assign(d, meds))
@@ -145,6 +160,8 @@ def kmedoids(dist: DataFrame, medoids: Sequence, tmax: int = 100) -> tuple[DataF
         if set(new_meds) == set(meds):
             break
         meds = new_meds
+    else:
+        warnings.warn(f"k-medoids did not converge in {tmax} iterations", stacklevel=2)
     assign = kmedoids_assign(d, meds)
     return assign, silhouette(d, assign)
 

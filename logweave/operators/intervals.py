@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweave.functions.stats import F12, describe
+from logweave.functions.stats import F12, describe_compressed
 
 # Field name -> grouping columns beside FileID.  The pair is grouped on both
 # columns; the reference's delimiter-free string concatenation is not used.
@@ -68,6 +68,42 @@ def open_intervals(
     return inner.unionByName(edges)
 
 
+def step_intervals(counts: DataFrame, keys: Sequence[str], out: str, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """Distinct seconds of a key with their number of events ``n`` -> the same rows
+    with the seconds since the key's previous one (NULL at the first).
+
+    Split into time chunks like :func:`open_intervals`; as seconds are
+    distinct, a chunk holds at most ``chunk_seconds`` rows whatever the skew.
+    """
+    part = Window.partitionBy(*keys, "_chunk")
+    w = counts.withColumn("_chunk", F.floor(F.col("QueryTs") / chunk_seconds)).select(
+        *keys,
+        "_chunk",
+        "QueryTs",
+        "n",
+        F.lag("QueryTs").over(part.orderBy("QueryTs")).alias("_prev"),
+        F.max("QueryTs").over(part).alias("_hi"),
+    )
+    inner = w.where(F.col("_prev").isNotNull()).select(*keys, "QueryTs", "n", (F.col("QueryTs") - F.col("_prev")).alias(out))
+    heads = w.where(F.col("_prev").isNull())  # exactly one per chunk
+    before = F.lag("_hi").over(Window.partitionBy(*keys).orderBy("_chunk"))
+    return inner.unionByName(heads.select(*keys, "QueryTs", "n", (F.col("QueryTs") - before).alias(out)))
+
+
+def compressed_intervals(steps: DataFrame, value: str, key: str = "FileID") -> DataFrame:
+    """``step_intervals`` rows -> ``(key, x, w, xi)`` for ``describe_compressed``: a
+    second with n events has its step once and n - 1 intervals of 0."""
+    both = F.explode(
+        F.array(
+            F.struct(F.col(value).cast("long").alias("xi"), F.lit(1).cast("long").alias("w")),
+            F.struct(F.lit(0).cast("long").alias("xi"), (F.col("n") - 1).alias("w")),
+        )
+    )
+    rows = steps.select(key, both.alias("_r")).select(key, "_r.xi", "_r.w").where("xi is not null and w > 0")
+    comp = rows.groupBy(key, "xi").agg(F.sum("w").alias("w"))
+    return comp.select(key, F.col("xi").cast("double").alias("x"), "w", "xi")
+
+
 def interval_name(stat: str, field: str) -> str:
     """``QueryTsInterval`` + capitalised stat + field (reference naming)."""
     return f"QueryTsInterval{stat.capitalize()}{field}"
@@ -79,9 +115,15 @@ def interval_features(
     stats: Sequence[str] = F12,
     chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
 ) -> DataFrame:
-    """Per-FileID statistics of the intervals (one row per file with >= 2 events)."""
-    iv = open_intervals(log, field, chunk_seconds)
-    return describe(iv, ["FileID"], f"QueryTsInterval{field}", stats, name=lambda s: interval_name(s, field))
+    """Per-FileID statistics of the intervals (one row per file with >= 2 events).
+
+    Events are first counted by key and second (map-side combine), so repeats
+    of a hot second never leave their task."""
+    keys = ["FileID"] + FIELD_KEYS[field]
+    counts = log.select(*keys, "QueryTs").dropna().groupBy(*keys, "QueryTs").agg(F.count(F.lit(1)).alias("n"))
+    out = f"QueryTsInterval{field}"
+    comp = compressed_intervals(step_intervals(counts, keys, out, chunk_seconds), out)
+    return describe_compressed(comp, ["FileID"], stats, name=lambda s: interval_name(s, field))
 
 
 def last_seen(log: DataFrame, keys: Sequence[str] = ("FileID",)) -> DataFrame:

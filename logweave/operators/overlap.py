@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.session import broadcast_if_small
+from logweave.session import cut_lineage
 
 KINDS = {"product": ["ProductID"], "customer": ["CustomerID"], "prod_cus": ["ProductID", "CustomerID"]}
 
@@ -102,8 +102,10 @@ def overlap_all(log: DataFrame, ids: DataFrame, reverse: bool = False) -> dict[s
     """Overlap of all three kinds from one scan of the log and one
     comparison shuffle: members of every kind are grouped together with a
     side bit per split."""
-    members = _member_rows(split_log(log, ids), tuple(KINDS))
-    g = _sides(members, ["kind", "ProductID", "CustomerID"])
+    # Distinct pairs first: products and customers come from them, not from the
+    # log, and the comparison is computed once (lineage cut) for all three kinds.
+    pairs = split_log(log, ids).select("split", "ProductID", "CustomerID").distinct()
+    g = cut_lineage(_sides(_member_rows(pairs, tuple(KINDS)), ["kind", "ProductID", "CustomerID"]))
     both = F.col("_bits") == 3
     out = {}
     for k, cols in KINDS.items():
@@ -123,12 +125,12 @@ def common_filter(log: DataFrame, target: dict[str, DataFrame], typ: str = "tigh
 
     tight: (product, customer) pair in the pair set; product / customer: id
     in that set; loose: product in the product set and customer in the
-    customer set.  Member tables are broadcast when small (size checked),
-    so a hot product or customer is not shuffled into one task.
+    customer set.  AQE broadcasts a member table by its measured bytes and
+    splits a hot product or customer otherwise.
     """
     if typ not in _NEEDS:
         raise ValueError(typ)
-    t = {k: broadcast_if_small(v) for k, v in target.items() if k in _NEEDS[typ]}
+    t = target
     if typ == "tight":
         return log.join(t["prod_cus"], ["ProductID", "CustomerID"], "left_semi")
     if typ == "product":
@@ -144,12 +146,12 @@ def overlap_filtered_log(
     """Every typ filters the original log; rows tagged with ``typ``.
 
     One pass: the log is left-joined to the three member tables (each
-    distinct per key; broadcast when small, size checked), each row lists
+    distinct per key; AQE picks the join by measured bytes), each row lists
     the types it passes, and the list is exploded -- the log is read once
     for all types.
     """
     def flag(t: DataFrame, name: str) -> DataFrame:
-        return broadcast_if_small(t.withColumn(name, F.lit(True)))
+        return t.withColumn(name, F.lit(True))
 
     j = (
         log.join(flag(target["prod_cus"], "_pc"), ["ProductID", "CustomerID"], "left")

@@ -15,7 +15,7 @@ from pyspark.sql.types import NumericType, StringType
 
 from logweave.functions.encode import MIN_GROUP_ROWS, grade
 from logweave.functions.quantiles import group_mode, group_quantile
-from logweave.session import small_table
+from logweave.session import cut_lineage, small_table
 
 
 def _q(c: str) -> Column:
@@ -81,9 +81,9 @@ def constant_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[s
     return out
 
 
-def drop_constant(df: DataFrame) -> DataFrame:
-    """Drop columns holding a single value."""
-    return df.drop(*constant_columns(df))
+def drop_constant(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Drop columns holding a single value; ``keep`` (keys) stay."""
+    return df.drop(*constant_columns(df, [c for c in df.columns if c not in keep]))
 
 
 def ordinal_map(df: DataFrame, maps: Mapping[str, Mapping[str, int]]) -> DataFrame:
@@ -257,22 +257,30 @@ def numeric_columns_probe(df: DataFrame, cols: Sequence[str]) -> list[str]:
 def impute_by_cluster(
     df: DataFrame,
     spec: Mapping[str, object],
-    k: int = 3,
+    k: int | Sequence[int] = 3,
     seed: int = 42,
     keep_groups: bool = False,
     min_rows: int = MIN_GROUP_ROWS,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """H8 with clusters: a Gaussian mixture on the NULL-free numeric columns
     assigns ``groups``; each NULL is then filled by its group's statistic
     (global for small groups).  Columns not in ``spec`` default to
-    most_frequent, as in the reference."""
+    most_frequent, as in the reference.  ``keys`` are row ids and take no part
+    in the clusters; of several ``k`` the one of least AIC is taken."""
     from pyspark.ml.clustering import GaussianMixture
     from pyspark.ml.feature import VectorAssembler
 
     full, with_nulls = null_columns(df)
-    num = [c for c in full if isinstance(df.schema[c].dataType, NumericType)]
+    num = [c for c in full if c not in keys and isinstance(df.schema[c].dataType, NumericType)]
     vec = VectorAssembler(inputCols=num, outputCol="_f").transform(df)
-    model = GaussianMixture(k=k, featuresCol="_f", predictionCol="groups", probabilityCol="_p", seed=seed).fit(vec)
+    if not isinstance(k, int):
+        from logweave.operators.cluster import gmm_select
+
+        vec = cut_lineage(vec)
+        model = gmm_select(vec, k, "_f", seed)[1].setPredictionCol("groups").setProbabilityCol("_p")
+    else:
+        model = GaussianMixture(k=k, featuresCol="_f", predictionCol="groups", probabilityCol="_p", seed=seed).fit(vec)
     grouped = model.transform(vec).drop("_f", "_p")
     full_spec = {c: spec.get(c, "most_frequent") for c in with_nulls}
     out = impute_by_group(grouped, "groups", full_spec, min_rows)

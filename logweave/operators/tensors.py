@@ -88,7 +88,9 @@ def tensor(
     """J1 reshape: ``(FileID, tensor)`` of shape (split_n, n / split_n, channels).
 
     Row-major: split = bucket // T, position = bucket % T.  The per-file
-    collect is bounded by the fixed series length n.
+    collect is bounded by the fixed series length n, which ``split_n`` must
+    divide: like any reshape, another length fails (ragged series have no
+    tensor).
     """
     rows = ser.groupBy("FileID").agg(
         F.first("n").alias("n"),
@@ -97,7 +99,8 @@ def tensor(
         ),
     )
     vals = F.transform(F.col("_r"), lambda r: r["v"])
-    t = (F.col("n") / split_n).cast("int")
+    uneven = F.raise_error(F.concat(F.lit(f"no reshape to {split_n} splits of a series of length "), F.col("n").cast("string")))
+    t = F.when(F.col("n") % split_n == 0, F.col("n") / split_n).otherwise(uneven.cast("double")).cast("int")
     shaped = F.transform(
         F.sequence(F.lit(0), F.lit(split_n - 1)), lambda s: F.slice(vals, s * t + 1, t)
     )
@@ -164,9 +167,12 @@ def split_series(sec: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def health_check(sec: DataFrame, cols: Sequence[str] = ("QueryTs",) + PER_SECOND, need: int = 5) -> DataFrame:
-    """Files whose per-second table has fewer than ``need`` populated columns."""
+    """Files whose per-second table has fewer than ``need`` populated columns.
+
+    Counts are never NULL, so a column is populated if it is above 0 in any
+    second of the file (ids that are all NULL leave only zeros)."""
     present = sum(
-        (F.when(F.count(F.col(c)) > 0, 1).otherwise(0) for c in cols), F.lit(0)
+        (F.when(F.max(F.col(c)) > 0, 1).otherwise(0) for c in cols), F.lit(0)
     )
     return sec.groupBy("FileID").agg(present.alias("n_columns")).where(F.col("n_columns") < need)
 

@@ -325,10 +325,10 @@ def get_test(spark, d):
 
 @query("impute_by_cluster")
 def impute_by_cluster(spark, d):
-    """H8: GMM groups (k = 3) on the NULL-free numeric part columns; p_size by
-    group median, p_brand by group mode."""
+    """H8: GMM groups (2 to 4, by AIC) on the NULL-free numeric part columns but the
+    key; p_size by group median, p_brand by group mode."""
     df = tabular_part(spark, d).select("p_partkey", "p_retailprice", "p_size", "p_brand")
-    return P.impute_by_cluster(df, {"p_size": "median"}, k=3, keep_groups=True)
+    return P.impute_by_cluster(df, {"p_size": "median"}, k=(2, 3, 4), keep_groups=True, keys=("p_partkey",))
 
 
 @query(

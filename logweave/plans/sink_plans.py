@@ -35,7 +35,7 @@ def scan_day_files(spark, d):
     back with the log reader (explicit schema, day from the file layout)."""
     base = I.scratch(spark, "dayfiles")
     log = log_events(spark, d).withColumn("day", F.floor(F.col("QueryTs") / 86400).cast("long"))
-    log.repartition("day").write.mode("overwrite").partitionBy("day").option("header", False).csv(base)
+    log.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").option("header", False).csv(base)
     back = read_query_log(spark, base)
     return back.select("FileID", "CustomerID", "QueryTs", "ProductID", F.col("day").cast("long"))
 

@@ -9,6 +9,7 @@ from logweave.operators.batches import assign_batches
 from logweave.plans import sqlgen as S
 from logweave.plans.registry import query
 from logweave.sources.fixtures import ids_events, log_events
+from logweave.streaming.incremental import scratch
 
 G = 3600  # bucket width used by the registered series queries (hourly)
 SEC_COLS = '"CustomerIDCount", "ProductIDCount", "CustomerIDUniqCount", "ProductIDUniqCount"'
@@ -163,15 +164,26 @@ def split_series(spark, d):
     return T.split_series(_sec(spark, d), ids_events(spark, d))
 
 
+_PLANTED_SQL = (
+    "(SELECT \"FileID\", CASE WHEN \"FileID\" NOT LIKE '%3' THEN \"CustomerID\" END AS \"CustomerID\", "
+    f'"QueryTs", "ProductID" FROM {S.LOG_EVENTS})'
+)
+
+
 @query(
     "health_check",
     "SELECT \"FileID\", n_columns FROM (SELECT \"FileID\", "
-    + " + ".join(f"CASE WHEN count({S.q(c)}) > 0 THEN 1 ELSE 0 END" for c in ("QueryTs",) + T.PER_SECOND)
-    + f" AS n_columns FROM ({sec_sql()}) GROUP BY ALL) WHERE n_columns < 5",
+    + " + ".join(f"CASE WHEN max({S.q(c)}) > 0 THEN 1 ELSE 0 END" for c in ("QueryTs",) + T.PER_SECOND)
+    + f" AS n_columns FROM ({sec_sql(_PLANTED_SQL)}) GROUP BY ALL) WHERE n_columns < 5",
 )
 def health_check(spark, d):
-    """Files whose per-second table has fewer than 5 populated columns."""
-    return T.health_check(_sec(spark, d))
+    """Files whose per-second table, as written and read back, has fewer
+    than 5 populated columns; the customers of files ending in 3 are lost."""
+    log = log_events(spark, d)
+    bad = log.withColumn("CustomerID", F.when(~F.col("FileID").endswith("3"), F.col("CustomerID")))
+    path = scratch(spark, "health")
+    T.per_second_counts(bad).write.parquet(path)
+    return T.health_check(spark.read.parquet(path))
 
 
 @query(

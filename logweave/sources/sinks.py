@@ -24,10 +24,11 @@ def write_features(df: DataFrame, path: str, fmt: str = "parquet", key: str = "F
 
 
 def write_filtered_log(df: DataFrame, path: str) -> None:
-    """Headerless log rows partitioned by overlap type and day."""
+    """Headerless log rows partitioned by overlap type and day.  Rebalancing
+    keeps small days in one file and splits large ones over tasks (AQE)."""
     (
         df.select("FileID", "CustomerID", "QueryTs", "ProductID", "typ", "day")
-        .repartition("typ", "day")
+        .hint("rebalance", "typ", "day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("typ", "day")
@@ -38,9 +39,10 @@ def write_filtered_log(df: DataFrame, path: str) -> None:
 
 def write_split_series(df: DataFrame, path: str) -> None:
     """A10: per-second facts by split, each file sorted by FileID and time
-    (instead of one CSV per key); re-writing a split replaces only it."""
+    (instead of one CSV per key); re-writing a split replaces only it.
+    Rebalancing splits a split over tasks by size (AQE)."""
     (
-        df.repartition("split")
+        df.hint("rebalance", "split")
         .sortWithinPartitions("FileID", "QueryTs")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

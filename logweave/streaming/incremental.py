@@ -7,11 +7,11 @@ built so that its final table equals the one-pass batch result:
 
 * I2 facts per (day, FileID) appended per micro-batch (``foreachBatch``,
   idempotent: each epoch overwrites only its own partition);
-* I3 intervals with the file's last timestamp carried in a versioned
-  state table (one row per file), equal to a one-pass ``lag``;
+* I3 intervals from additive (FileID, second, count) facts, equal to a
+  one-pass ``lag`` whatever the order in which files arrive;
 * I4 growing distinct sets via streaming ``dropDuplicates``;
 * I5 growing corpus as additive ``(doc, token, tf)`` facts;
-* I1 tumbling-window counts with a watermark (append mode);
+* I1 tumbling-window counts as additive facts (no late row is lost);
 * I7 score histogram facts for a binned AUC.
 """
 
@@ -36,8 +36,8 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def stage_day_files(log: DataFrame, path: str, ts: str = "QueryTs") -> str:
-    """Write a log as headerless CSV day files ``day=<d>/part-*.csv``, one
-    file per day, days written in order.
+    """Write a log as headerless CSV day files ``day=<d>/part-*.csv``, days
+    written in order (a large day as several files).
 
     The file source takes files by modification time, so days are written
     one after another (a loop over the distinct days, bounded by the
@@ -51,7 +51,7 @@ def stage_day_files(log: DataFrame, path: str, ts: str = "QueryTs") -> str:
             (
                 dated.where(F.col("day") == d)
                 .drop("day")
-                .coalesce(1)
+                .hint("rebalance")
                 .write.mode("overwrite")
                 .option("header", False)
                 .csv(os.path.join(path, f"day={d}"))
@@ -107,72 +107,37 @@ def stream_daily_facts(stream: DataFrame, out: str, checkpoint: str) -> None:
 
 
 # ----------------------------------------------------------------------- I3
-def _latest_epoch_before(spark: SparkSession, path: str, epoch: int) -> int | None:
-    """Largest ``epoch=<e>`` folder under ``path`` with e < ``epoch`` (a listing)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return None
-    found = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("epoch="):
-            e = int(name.split("=", 1)[1])
-            if e < epoch and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                found.append(e)
-    return max(found) if found else None
-
-
 def stream_intervals(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """Intervals per FileID, state carried across micro-batches as a table.
-
-    Inside a micro-batch the intervals are the batch operator's (chunked,
-    distributed ``lag``); the first event of each file in the batch is
-    joined to the file's carried last time from the state table
-    ``<out>_state/epoch=<e>`` (one row per file), and the merged state is
-    written as the next version.  Every output of epoch e depends only on
-    the batch and state version < e, and is written with dynamic partition
-    overwrite, so a replayed epoch reproduces it exactly.  No group of rows
-    ever meets in one task or one Python call.
-    """
-    from logweave.operators.intervals import open_intervals
+    """Events per (FileID, second), appended per micro-batch.
 
-    state_path = out.rstrip("/") + "_state"
+    Intervals need neighbours in time, and a day may come in several files, late
+    or out of order; so the stream stores additive counts (idempotent per
+    epoch) and :func:`read_intervals` takes the differences of the merged
+    seconds.  Nothing is carried between epochs.
+    """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.select("FileID", "QueryTs").dropna()
-        inner = open_intervals(rows)
-        firsts = rows.groupBy("FileID").agg(F.min("QueryTs").alias("_first"), F.max("QueryTs").alias("_last"))
-        prev = _latest_epoch_before(spark, state_path, epoch)
-        if prev is not None:
-            state = spark.read.parquet(f"{state_path}/epoch={prev}")
-            edge = firsts.join(state, "FileID").select(
-                "FileID", F.col("_first").alias("QueryTs"), (F.col("_first") - F.col("last")).alias("QueryTsInterval")
-            )
-            merged = state.join(firsts, "FileID", "full_outer").select(
-                "FileID", F.greatest(F.col("last"), F.col("_last")).alias("last")
-            )
-        else:
-            edge = None
-            merged = firsts.select("FileID", F.col("_last").alias("last"))
-        res = inner.select("FileID", "QueryTs", "QueryTsInterval")
-        if edge is not None:
-            res = res.unionByName(edge)
+        facts = batch.select("FileID", "QueryTs").dropna().groupBy("FileID", "QueryTs").agg(F.count(F.lit(1)).alias("n"))
         (
-            res.withColumn("epoch", F.lit(epoch))
+            facts.withColumn("epoch", F.lit(epoch))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("epoch")
             .parquet(out)
         )
-        merged.write.mode("overwrite").parquet(f"{state_path}/epoch={epoch}")
 
     run(stream.writeStream.foreachBatch(write), checkpoint)
 
 
+def read_intervals(spark: SparkSession, out: str) -> DataFrame:
+    """``(FileID, QueryTs, n, QueryTsInterval)``: merged seconds with their events
+    and the seconds since the file's previous one (NULL at the first)."""
+    from logweave.operators.intervals import step_intervals
+
+    counts = spark.read.parquet(out).groupBy("FileID", "QueryTs").agg(F.sum("n").alias("n"))
+    return step_intervals(counts, ["FileID"], "QueryTsInterval")
+
+
 # ----------------------------------------------------------------------- I4
 def stream_distinct(stream: DataFrame, cols: list[str], out: str, checkpoint: str) -> None:
     """Growing distinct set: the state store remembers members seen."""
@@ -208,18 +173,28 @@ def read_corpus(spark: SparkSession, out: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- I1
-def stream_tumbling(stream: DataFrame, days: int, out: str, checkpoint: str, watermark: str = "1 day") -> None:
-    """Events per FileID in n-day tumbling windows (event time), emitted
-    once the watermark passes the window end."""
-    ts = F.timestamp_seconds(F.col("QueryTs"))
-    agg = (
-        stream.withColumn("ts", ts)
-        .withWatermark("ts", watermark)
-        .groupBy(F.window("ts", f"{days} days"), "FileID")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.unix_timestamp(F.col("window.start")).alias("window_start"), "FileID", "n")
-    )
-    run(agg.writeStream.format("parquet").option("path", out).outputMode("append"), checkpoint)
+def stream_tumbling(stream: DataFrame, days: int, out: str, checkpoint: str) -> None:
+    """Events per FileID in n-day tumbling windows (event time), as additive
+    facts per micro-batch; :func:`read_tumbling` sums them.  All windows are
+    there, the last and late rows included."""
+    width = days * SECONDS_PER_DAY
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        start = (F.floor(F.col("QueryTs") / width) * width).cast("long")
+        facts = batch.groupBy(start.alias("window_start"), "FileID").agg(F.count(F.lit(1)).alias("n"))
+        (
+            facts.withColumn("epoch", F.lit(epoch))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("epoch")
+            .parquet(out)
+        )
+
+    run(stream.writeStream.foreachBatch(write), checkpoint)
+
+
+def read_tumbling(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.parquet(out).groupBy("window_start", "FileID").agg(F.sum("n").alias("n"))
 
 
 # ----------------------------------------------------------------------- I7

@@ -52,3 +52,11 @@ def test_pca_variance_sums_and_gmm_aic(spark):
     table, best = CL.gmm_select(df, [2, 3], seed=3)
     aic = {r.k: r.aic for r in table.collect()}
     assert aic[3] < aic[2] and best.getK() == 3
+
+
+def test_labels_without_a_common_leaf_are_far(spark):
+    leaves = [("a", 0, 1), ("a", 1, 1), ("a", 0, 1), ("a", 1, 2), ("b", 0, 5), ("b", 1, 5), ("c", 0, 1), ("c", 1, 9)]
+    df = spark.createDataFrame(leaves, "lab string, tree int, leaf int")
+    got = {(r.a, r.b): r.distance for r in CL.leaf_distances(df, 2).collect()}
+    assert len(got) == 9 and got[("a", "b")] == got[("b", "a")] == got[("b", "c")] == 1.0
+    assert got[("a", "c")] == pytest.approx(1 - 2 / (2 * 2 * 1)) and got[("b", "b")] == 0.0

@@ -125,3 +125,17 @@ def test_impute_by_cluster_fills_everything(spark):
             assert got[k].size == size
         if brand is not None:
             assert got[k].brand == brand
+
+
+def test_drop_constant_keeps_the_key(spark):
+    df = spark.createDataFrame([("f", 1, 2)], "FileID string, a int, b int")
+    assert P.drop_constant(df, keep=("FileID",)).columns == ["FileID"]
+
+
+def test_cluster_fill_ignores_the_key(spark):
+    rows = [(i, float(100 * (i % 2)) + (i * 37 % 11) / 10, None if i % 9 == 0 else float(i % 2)) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, price double, size double")
+    out = P.impute_by_cluster(df, {"size": "median"}, k=(2, 3), keys=("k",), keep_groups=True).collect()
+    groups = {i % 2: {r.groups for r in out if r.k % 2 == i % 2} for i in (0, 1)}
+    assert not groups[0] & groups[1]
+    assert all(r.size == r.k % 2 for r in out)

@@ -42,3 +42,24 @@ def test_no_single_partition_exchange_over_rows(spark, skewed):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert set(F12) and len(df.columns) == 1 + len(F12)
+
+
+def test_writers_split_a_hot_partition(spark, tmp_path):
+    from logweave.sources import sinks as SK
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        rows = spark.range(200_000).repartition(8).selectExpr(
+            "concat('f', id % 1000) as FileID", "id as QueryTs", "'c' || id as CustomerID", "'p' as ProductID",
+            "if(id % 100 = 0, 'test', 'train') as split", "'tight' as typ", "0L as day",
+        )
+        SK.write_split_series(rows, str(tmp_path / "s"))
+        SK.write_filtered_log(rows, str(tmp_path / "l"))
+        assert len(list((tmp_path / "s" / "split=train").glob("part-*"))) > 4
+        assert len(list((tmp_path / "l" / "typ=tight" / "day=0").glob("part-*"))) > 4
+        assert spark.read.parquet(str(tmp_path / "s")).count() == 200_000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -16,9 +16,32 @@ def log(spark):
     return spark.createDataFrame(rows, "FileID string, CustomerID string, QueryTs long, ProductID string")
 
 
+def intervals_of(steps):
+    out = []
+    for r in steps.collect():
+        out += [(r.FileID, 0)] * (r.n - 1) + ([(r.FileID, r.QueryTsInterval)] if r.QueryTsInterval is not None else [])
+    return out
+
+
+def test_stream_intervals_of_a_day_in_several_files(spark):
+    rows = [("a", "c", t, "p") for t in range(0, 1000, 100)]
+    log = spark.createDataFrame(rows, "FileID string, CustomerID string, QueryTs long, ProductID string")
+    base = I.scratch(spark, "t-late")
+    for part in (range(500, 1000, 100), range(0, 500, 100)):  # the later half comes first
+        log.where(F.col("QueryTs").isin(list(part))).coalesce(1).write.mode("append").csv(f"{base}/in/day=0")
+    I.stream_intervals(I.read_log_stream(spark, f"{base}/in"), f"{base}/out", f"{base}/ckpt")
+    assert sorted(intervals_of(I.read_intervals(spark, f"{base}/out"))) == [("a", 100)] * 9
+
+
+def test_stream_tumbling_has_every_window(spark, log):
+    out = I.stream_into(spark, "t-tumbling", log, lambda s, o, c: I.stream_tumbling(s, 3, o, c))
+    got = {(r.window_start, r.FileID): r.n for r in I.read_tumbling(spark, out).collect()}
+    assert sum(got.values()) == log.count() and {w for w, _ in got} == {0, 3 * 86400}
+
+
 def test_stream_intervals_equal_batch(spark, log):
     out = I.stream_into(spark, "t-iv", log, I.stream_intervals)
-    got = sorted(tuple(r) for r in spark.read.parquet(out).select("FileID", "QueryTsInterval").collect())
+    got = sorted(intervals_of(I.read_intervals(spark, out)))
     exp = sorted(tuple(r) for r in open_intervals(log).select("FileID", "QueryTsInterval").collect())
     assert got == exp
 

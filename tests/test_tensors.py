@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pytest
 
 from logweave.operators import tensors as T
 
@@ -58,3 +59,16 @@ def test_series_clip_gap_repeat(spark):
     assert ten[0][2] == [1, 1, 1]
     rag = T.series(sec, group_n=3600, interval=None)
     assert rag.first().n == (T.SIX_DAYS + 5) // 3600 + 1
+
+
+def test_tensor_refuses_a_remainder(spark):
+    ser = spark.range(10).selectExpr("'f' as FileID", "id as bucket", "10L as n", *[f"id as {c}" for c in T.CHANNELS])
+    assert T.tensor(ser, 5).count() == 1
+    with pytest.raises(Exception, match="no reshape"):
+        T.tensor(ser, 4).collect()
+
+
+def test_health_check_finds_files_without_ids(spark):
+    rows = [("good", "c", 5, "p"), ("bad", None, 5, "p"), ("bad", None, 6, "p")]
+    log = spark.createDataFrame(rows, "FileID string, CustomerID string, QueryTs long, ProductID string")
+    assert [tuple(r) for r in T.health_check(T.per_second_counts(log)).collect()] == [("bad", 3)]
