@@ -1,7 +1,7 @@
 """Quality classifier by co-training: two views teach each other.
 
 The *text* view sees a document's content (hashed words, hashed word shapes,
-shares of distinct words, symbols, capitals and repeated lines), the
+classes of the shares of symbols, capitals, repeated words and lines), the
 *metadata* view its page's facts (source, language, length class).  Both start
 from the labelled rows.  In each round a view labels unlabelled documents it
 is confident of, and the *other* view learns from those.  Confident means: at
@@ -29,9 +29,9 @@ from logweave.llm.common import written
 
 MAX_LABELLED, MAX_POOL = 12_000, 6_000
 ROUNDS, PRECISION, HELD_OUT = 2, 0.95, 0.3
-WORDS, SHAPES, META = 1 << 15, 1 << 9, 1 << 8
+WORDS, SHAPES, SHARES, META = 1 << 12, 1 << 9, 1 << 9, 1 << 8
 #: At most this share of held-out good documents may fall below the threshold.
-GOOD_LOSS = 0.002
+GOOD_LOSS = 0.01
 VIEWS = ("text", "meta")
 
 
@@ -52,27 +52,25 @@ def features(docs: DataFrame) -> DataFrame:
     out = docs.withColumns({"__t": text, "__w": words, "__s": F.filter(F.split(shape, r"[\x20\x09-\x0D]+"), lambda w: w != ""), "__m": F.array(*meta)})
     n = F.greatest(F.size("__w"), F.lit(1)).cast("double")
     lines = F.filter(F.split("__t", "\n"), lambda line: F.trim(line) != "")
-    share = lambda pattern: F.length(F.regexp_replace("__t", f"[^{pattern}]+", "")) / n
-    out = out.withColumns(
-        {
-            "__n": F.array(
-                F.size(F.array_distinct("__w")) / F.sqrt(n),
-                F.log1p(n) / 10,
-                F.least(share("#*$%&|<>"), F.lit(2.0)),
-                F.least(share(r"\p{Lu}"), F.lit(8.0)),
-                F.lit(1.0) - F.size(F.array_distinct(lines)) / F.greatest(F.size(lines), F.lit(1)),
-            )
-        }
-    )
-    for source, name, size in (("__w", "__tw", WORDS), ("__s", "__ts", SHAPES), ("__m", "__meta", META)):
+    count = lambda kind: F.length(F.regexp_replace("__t", f"[^{kind}]+", ""))
+    # Neighbouring words by hash: how many pairs are repeats.
+    pairs = F.transform("__w", lambda w, i: F.xxhash64(w, F.get(F.col("__w"), i + 1)))
+    shares = {
+        "symbols": F.least(count("#*$%&|<>") / n, F.lit(2.0)) * 10,
+        "capitals": 20 * count(r"\p{Lu}") / F.greatest(count(r"\p{L}"), F.lit(1)),
+        "repeats": 20 * (1 - F.size(F.array_distinct(pairs)) / n),
+        "variety": F.least(F.size(F.array_distinct("__w")) / F.sqrt(n), F.lit(20.0)),
+        "lines": 10 * (1 - F.size(F.array_distinct(lines)) / F.greatest(F.size(lines), F.lit(1))),
+        "words": F.log2(n + 1),
+    }
+    out = out.withColumn("__c", F.array(*[F.concat(F.lit(f"{k}="), F.floor(v).cast("string")) for k, v in shares.items()]))
+    for source, name, size in (("__w", "__tw", WORDS), ("__s", "__ts", SHAPES), ("__c", "__tc", SHARES), ("__m", "__meta", META)):
         out = HashingTF(inputCol=source, outputCol=name, numFeatures=size, binary=source != "__s").transform(out)
-    for k in range(5):
-        out = out.withColumn(f"__n{k}", F.col("__n")[k])
-    # Counts of shapes become shares: long and short documents alike.
+    # Counts of shapes become shares, words a unit vector: long and short documents alike.
     out = Normalizer(inputCol="__ts", outputCol="__tsn", p=1.0).transform(out)
     out = Normalizer(inputCol="__tw", outputCol="__twn", p=2.0).transform(out)
-    out = VectorAssembler(inputCols=["__twn", "__tsn", *(f"__n{k}" for k in range(5))], outputCol="__text").transform(out)
-    return out.drop("__t", "__w", "__s", "__m", "__n", "__tw", "__ts", "__twn", "__tsn", *(f"__n{k}" for k in range(5)))
+    out = VectorAssembler(inputCols=["__twn", "__tsn", "__tc"], outputCol="__text").transform(out)
+    return out.drop("__t", "__w", "__s", "__m", "__c", "__tw", "__ts", "__tc", "__twn", "__tsn")
 
 
 def sample(docs: DataFrame, labels: DataFrame, max_labelled: int, max_pool: int) -> DataFrame:
@@ -135,7 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
     for turn in range(rounds + 1):
         for v in VIEWS:
             models[v] = LogisticRegression(
-                featuresCol=f"__{v}", labelCol="__y", regParam=1e-4, maxIter=25, standardization=False
+                featuresCol=f"__{v}", labelCol="__y", regParam=1e-3, maxIter=20, standardization=False
             ).fit(taught[v].coalesce(4))
         both = rows
         for v in VIEWS:
