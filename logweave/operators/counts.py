@@ -131,46 +131,43 @@ def product_facts(blog: DataFrame) -> DataFrame:
     return dim_facts(blog, "ProductID", F.col("ProductID"))
 
 
-def observed_values(facts: DataFrame, dim: str, limit: int) -> list[str]:
-    """Distinct dim values for a wide pivot, refusing unbounded lists."""
-    vals = [r[0] for r in facts.select(dim).distinct().limit(limit + 1).collect()]
-    if len(vals) > limit:
-        raise ValueError(f"{dim} has more than {limit} values; keep the table long")
-    return sorted(vals, key=_natural)
-
-
-def _natural(v: str):
-    head = v.rstrip("0123456789")
-    tail = v[len(head):]
-    return (head, int(tail) if tail else -1, v)
-
-
 def wide_dim_features(
     facts: DataFrame,
     dim: str,
     stats: Sequence[str],
-    max_values: int = 1000,
+    values: Sequence[str],
     null_poison: bool = False,
 ) -> DataFrame:
-    """D9/D10/D11 wide: ``{value}_{stat}`` per FileID (0 where no fact)."""
-    # The fact table (far smaller than the log) feeds the value list, the
-    # implicit zeros and the stats: compute it once, reliably checkpointed.
-    facts = cut_lineage(facts)
-    values = observed_values(facts, dim, max_values)
-    long = dense_dim_stats(facts, dim, stats, null_poison)
-    return widen(long, "FileID", dim, stats, values)
+    """D9/D10/D11 wide: ``{value}_{stat}`` per FileID (0 where no fact) for a
+    list of values, so that the columns do not depend on the data."""
+    # The fact table (far smaller than the log) feeds the implicit zeros and
+    # the stats: compute it once, reliably checkpointed.
+    return widen(dense_dim_stats(cut_lineage(facts), dim, stats, null_poison), "FileID", dim, stats, values)
+
+
+# The hours of a day and the days of a week (Monday = 0).
+HOURS = tuple(f"hour{h}" for h in range(24))
+WEEKDAYS = tuple(f"week{w}" for w in range(7))
 
 
 def hour_features(blog: DataFrame) -> DataFrame:
-    return wide_dim_features(hour_facts(blog), "hour", F9, max_values=24)
+    return wide_dim_features(hour_facts(blog), "hour", F9, HOURS)
 
 
 def week_features(blog: DataFrame) -> DataFrame:
-    return wide_dim_features(week_facts(blog), "week", F9, max_values=7)
+    return wide_dim_features(week_facts(blog), "week", F9, WEEKDAYS)
+
+
+def product_daily_stats(blog: DataFrame) -> DataFrame:
+    """D11 product detail, long: ``(FileID, ProductID, stats)``.  Any number of
+    products; a catalogue is no list of columns."""
+    return dense_dim_stats(cut_lineage(product_facts(blog)), "ProductID", F5)
 
 
-def product_daily_features(blog: DataFrame, max_values: int = 1000) -> DataFrame:
-    return wide_dim_features(product_facts(blog), "ProductID", F5, max_values=max_values)
+def product_daily_features(blog: DataFrame, products: Sequence[str]) -> DataFrame:
+    """D11 product detail, wide, for the products that the caller lists (one row
+    per file of any product)."""
+    return wide_dim_features(product_facts(blog), "ProductID", F5, products)
 
 
 def product_share(blog: DataFrame, normalize: bool = True) -> DataFrame:

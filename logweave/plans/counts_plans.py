@@ -216,7 +216,14 @@ def feat_week(spark, d):
 @query("feat_prod_daily", wide_sql(1, "ProductID", S.q("ProductID"), F5, PRODUCTS))
 def feat_prod_daily(spark, d):
     """D11 etl_file_prod_count: F5 stats per product column, 1-day batches, wide."""
-    return C.product_daily_features(blog(spark, d, 1))
+    return C.product_daily_features(blog(spark, d, 1), PRODUCTS)
+
+
+@query("prod_daily_stats", S.stats_sql(dense_sql(1, "ProductID", S.q("ProductID")), ["FileID", "ProductID"], "v", F5).replace(
+    'GROUP BY "FileID", "ProductID"', 'GROUP BY "FileID", "ProductID" HAVING sum("v") > 0'))
+def prod_daily_stats(spark, d):
+    """D11 product detail, long: any number of products."""
+    return C.product_daily_stats(blog(spark, d, 1))
 
 
 def _share_sql():

@@ -13,10 +13,11 @@ from __future__ import annotations
 
 import argparse
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logweave.functions.stats import F11
+from logweave.functions.stats import F5, F11, widen
 from logweave.operators import assemble as A
 from logweave.operators import counts as C
 from logweave.operators import tensors as T
@@ -35,8 +36,9 @@ def _write(df: DataFrame, out: str, name: str) -> str:
 
 
 def etl_daily(log: DataFrame, out: str, days: list | None = None) -> list[str]:
-    """1-day batches: counts, distinct counts, daily counts, product detail,
-    hour histogram, day TF-IDF (the reference's 1-file run)."""
+    """1-day batches: counts, distinct counts, daily counts, product detail (long:
+    counts per batch and their statistics), hour histogram, day TF-IDF (the
+    reference's 1-file run)."""
     b = assign_batches(log, 1, days=days)
     paths = [
         _write(C.fact_features(C.count_facts(b, "countCustomer"), "countCustomer"), out, "trend_cus_count"),
@@ -50,7 +52,8 @@ def etl_daily(log: DataFrame, out: str, days: list | None = None) -> list[str]:
         _write(
             C.fact_features(C.uniq_facts(b, "uniqProductCustomer"), "uniqProductCustomer"), out, "trend_prod_cus_nuniq"
         ),
-        _write(C.product_daily_features(b), out, "trend_prod_daily"),
+        _write(C.product_facts(b), out, "trend_prod_daily_raw"),
+        _write(C.product_daily_stats(b), out, "trend_prod_daily"),
         _write(C.norm_percentage(C.hour_features(b)), out, "trend_hour_norm"),
         _write(TF.tfidf_summary(TF.corpus_by_batch(b), "day"), out, "trend_tfidf_day"),
     ]
@@ -79,23 +82,33 @@ def etl_monthly(log: DataFrame, out: str, days: list | None = None) -> list[str]
         ("countProductCustomer", "trend_prod_cus_count_deep"),
     ):
         paths.append(_write(C.fact_features(C.count_facts(b, field), field, F11, deep=True), out, name))
+    for field, name in (
+        ("uniqCustomer", "trend_cus_nuniq_deep"),
+        ("uniqProduct", "trend_prod_nuniq_deep"),
+        ("uniqProductCustomer", "trend_prod_cus_nuniq_deep"),
+    ):
+        paths.append(_write(C.fact_features(C.uniq_facts(b, field), field, F11), out, name))
     return paths
 
 
 # Export tables joined into the feature table, and the
 # separately filtered deep-count group.
 FEATURE_EXPORTS = [
-    "trend_interval", "trend_prod_daily", "trend_tfidf_ProductID", "trend_week_norm", "trend_hour_norm",
+    "trend_interval", "trend_tfidf_ProductID", "trend_week_norm", "trend_hour_norm",
     "trend_fileid_count_daily", "trend_tfidf_day", "trend_interval_productid", "trend_interval_customerid",
 ]
 DEEP_EXPORTS = ["trend_prod_count_deep", "trend_cus_count_deep", "trend_prod_cus_count_deep"]
 
 
-def gen_feature_table(spark: SparkSession, out: str, version: int = 7, vari: bool = False, cori: bool = False) -> str:
-    """K9: outer-join the exports, add range columns, filter, write ``trend_v<version>``."""
+def gen_feature_table(
+    spark: SparkSession, out: str, version: int = 7, vari: bool = False, cori: bool = False, products: Sequence[str] = ()
+) -> str:
+    """K9: outer-join the exports, add range columns, filter, write ``trend_v<version>``.
+    Statistics of the listed ``products`` become columns."""
     read = lambda n: spark.read.parquet(os.path.join(out, n))
+    detail = [widen(read("trend_prod_daily"), "FileID", "ProductID", F5, products)] if products else []
     deep = A.filter_data(A.assemble([read(n) for n in DEEP_EXPORTS]), vari, cori)
-    wide = cut_lineage(A.range_features(A.assemble([read(n) for n in FEATURE_EXPORTS] + [deep])))
+    wide = cut_lineage(A.range_features(A.assemble([read(n) for n in FEATURE_EXPORTS] + detail + [deep])))
     return _write(A.filter_data(wide, vari, cori), out, f"trend_v{version}")
 
 
@@ -106,16 +119,23 @@ def dump_series(log: DataFrame, ids: DataFrame, out: str) -> str:
     return path
 
 
-def run(spark: SparkSession, log_dir: str, train: str, test: str, out: str, version: int = 7) -> str:
-    """All exports, the feature table and the series dump for one log folder."""
+def run(
+    spark: SparkSession, log_dir: str, train: str, test: str, out: str, version: int = 7, products: Sequence[str] = ()
+) -> str:
+    """All exports, the feature table and the series dump for one log folder.
+
+    The CSV log is parsed once, into a columnar copy under ``out`` of which each
+    export reads the columns it needs."""
     days = listed_days(spark, log_dir)
-    log = read_query_log(spark, log_dir)
+    copy = os.path.join(out, "log")
+    read_query_log(spark, log_dir).write.mode("overwrite").parquet(copy)
+    log = spark.read.parquet(copy)
     ids = read_id_list(spark, train, "train").unionByName(read_id_list(spark, test, "test"))
     etl_daily(log, out, days)
     etl_weekly(log, out, days)
     etl_monthly(log, out, days)
     dump_series(log, ids, out)
-    return gen_feature_table(spark, out, version)
+    return gen_feature_table(spark, out, version, products=products)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -125,9 +145,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--test", required=True, help="testing id list")
     ap.add_argument("--out", required=True, help="output folder (shared storage)")
     ap.add_argument("--version", type=int, default=7)
+    ap.add_argument("--products", nargs="*", default=(), help="products that become columns of the feature table")
     a = ap.parse_args(argv)
     spark = get_session("logweave-etl")
-    print(run(spark, a.log, a.train, a.test, a.out, a.version))
+    print(run(spark, a.log, a.train, a.test, a.out, a.version, a.products))
 
 
 if __name__ == "__main__":

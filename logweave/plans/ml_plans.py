@@ -61,6 +61,29 @@ def rf_proximity(spark, d):
     return CL.rf_proximity(_vectors(spark, d).withColumn("yd", F.col("y").cast("double")), "label", "yd")
 
 
+TREES = 4
+
+
+@query(
+    "leaf_distances",
+    f"""
+WITH v AS (SELECT vec_id, label, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS tree FROM embeddings),
+l AS (SELECT label AS lab, tree, floor(v * 4) AS leaf FROM v WHERE tree < {TREES}),
+c AS (SELECT lab, tree, leaf, count(*) AS c FROM l GROUP BY ALL),
+n AS (SELECT label AS lab, count(*) AS n FROM embeddings GROUP BY ALL),
+s AS (SELECT x.lab AS a, y.lab AS b, sum(x.c * y.c) AS s FROM c x JOIN c y USING (tree, leaf) GROUP BY ALL)
+SELECT p.lab AS a, r.lab AS b,
+    round(1 - CASE WHEN p.lab = r.lab THEN (s + {TREES} * p.n) / 2 ELSE coalesce(s, 0) END / ({TREES} * p.n * r.n), 6) AS distance
+FROM n p CROSS JOIN n r LEFT JOIN s ON s.a = p.lab AND s.b = r.lab
+""",
+)
+def leaf_distances(spark, d):
+    """L4, the relational part, on leaves cut from the first dimensions."""
+    rows = embedding_rows(spark, d)
+    leaves = rows.select(F.col("label").alias("lab"), F.posexplode(F.slice("embedding", 1, TREES)).alias("tree", "v"))
+    return CL.leaf_distances(leaves.select("lab", "tree", F.floor(F.col("v").cast("double") * 4).alias("leaf")), TREES)
+
+
 DIST_SQL = """
 WITH e AS (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS pos FROM embeddings),
 m AS (SELECT label, pos, avg(v) AS m FROM e GROUP BY ALL)

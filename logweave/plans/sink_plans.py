@@ -14,6 +14,7 @@ from logweave.operators import tfidf as TF
 from logweave.operators.batches import assign_batches
 from logweave.operators.intervals import interval_features
 from logweave.plans import sqlgen as S
+from logweave.plans.counts_plans import PRODUCTS
 from logweave.plans.overlap_plans import SPLIT_SQL
 from logweave.plans.prep_plans import _IV_SQL
 from logweave.plans.registry import query
@@ -86,10 +87,14 @@ def sink_split_series(spark, d):
     return spark.read.parquet(path)
 
 
-@query("sink_blocks")
+@query(
+    "sink_blocks",
+    f'SELECT count(*) AS rows, true AS capped FROM (SELECT DISTINCT "FileID", "QueryTs" FROM {S.LOG_EVENTS})',
+)
 def sink_blocks(spark, d):
-    """Streamed per-second facts appended in blocks of <= 10,000 rows;
-    returns rows per written file (each must be <= 10,000)."""
+    """Streamed per-second facts appended in blocks of <= 10,000 rows (a
+    second belongs to one day, hence to one epoch): rows written, and whether
+    every file kept to the block size."""
     out = I.stream_into(
         spark,
         "blocks",
@@ -99,7 +104,8 @@ def sink_blocks(spark, d):
         ),
         files_per_trigger=10,
     )
-    return spark.read.parquet(out).groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    files = spark.read.parquet(out).groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return files.agg(F.sum("n").alias("rows"), (F.max("n") <= SK.BLOCK_ROWS).alias("capped"))
 
 
 @query(
@@ -142,7 +148,7 @@ def feature_table(spark, d, vari=False, cori=False):
     week = C.norm_percentage(C.week_features(b7))
     tables = [
         interval_features(log),
-        C.product_daily_features(b1),
+        C.product_daily_features(b1, PRODUCTS),
         TF.tfidf_summary(TF.corpus(log, "ProductID"), "ProductID"),
         week,
         hour,

@@ -72,7 +72,8 @@ def test_wide_product_features(spark):
         [(0, "f1", "p"), (0, "f1", "q"), (1, "f1", "p"), (1, "f2", "q")],
         "batch_id int, FileID string, ProductID string",
     )
-    wide = C.product_daily_features(df)
+    assert C.product_daily_stats(df).count() == 3 and C.product_daily_features(df, ["p"]).columns[1] == "p_sum"
+    wide = C.product_daily_features(df, ["p", "q"])
     assert wide.columns[:3] == ["FileID", "p_sum", "p_mean"]
     r = {x.FileID: x for x in wide.collect()}
     # f2 has p only as a 0 cell in batch 1 -> all zero stats; q once in batch 1
