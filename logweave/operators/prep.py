@@ -102,10 +102,9 @@ def label_encode(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     cols = [c for c in (cols or df.columns) if c in string_columns(df)]
     if not cols:
         return df
-    levels = None
-    for c in cols:
-        lv = df.select(F.lit(c).alias("_col"), F.coalesce(_q(c), F.lit("nan")).alias("_val")).distinct()
-        levels = lv if levels is None else levels.unionByName(lv)
+    # The levels of all columns from one pass: cells unpivoted, then distinct.
+    cells = F.array(*[F.struct(F.lit(c).alias("_col"), F.coalesce(_q(c), F.lit("nan")).alias("_val")) for c in cols])
+    levels = df.select(F.explode(cells).alias("_r")).select("_r._col", "_r._val").distinct()
     codes = levels.withColumn(
         "_code", (F.dense_rank().over(Window.partitionBy("_col").orderBy("_val")) - 1).cast("int")
     )

@@ -14,6 +14,7 @@ from logweave.operators.intervals import interval_features, interval_name
 from logweave.plans import sqlgen as S
 from logweave.plans.intervals_plans import _lag_sql
 from logweave.plans.registry import query
+from logweave.plans.tabular import prepare
 from logweave.sources.fixtures import (
     PART_TYPE_GRADES,
     ids_events,
@@ -94,6 +95,31 @@ def label_encode(spark, d):
     return P.label_encode(df, ["p_brand", "p_type", "p_size"])
 
 
+TYPE_GRADES = {"ECONOMY": 1, "PROMO": 2, "LARGE": 3}
+_CODED = (
+    f"(SELECT t.p_partkey, b.code AS p_brand, t.p_size, t.p_retailprice, CASE t.p_type "
+    + " ".join(f"WHEN '{k}' THEN {v}" for k, v in TYPE_GRADES.items())
+    + f" ELSE 0 END AS p_type FROM {TP} t LEFT JOIN {_le_sql('p_brand')} b ON t.p_brand = b.v)"
+)
+
+
+@query(
+    "tabular_prepared",
+    f"SELECT p_partkey, p_type, coalesce(p_brand, (SELECT p_brand FROM {_CODED} WHERE p_brand IS NOT NULL "
+    "GROUP BY p_brand ORDER BY count(*) DESC, p_brand LIMIT 1)) AS p_brand, "
+    f"coalesce(cast(p_size AS DOUBLE), (SELECT median(p_size) FROM {TP})) AS p_size, p_retailprice, "
+    f"CASE WHEN p_partkey % 3 = 0 THEN 'test' ELSE 'train' END AS part FROM {_CODED}",
+)
+def tabular_prepared(spark, d):
+    """Part in two parts, prepared together: a column dropped,
+    types graded, brands coded, sizes filled by median and brands by mode."""
+    df = tabular_part(spark, d)
+    test = df.where("p_partkey % 3 = 0")
+    return prepare(
+        df.where("p_partkey % 3 <> 0"), test, "p_partkey", useless=["p_name"], grades={"p_type": TYPE_GRADES}, impute={"p_size": "median"}
+    )
+
+
 @query(
     "one_hot",
     "SELECT p_partkey, "

@@ -139,3 +139,22 @@ def test_cluster_fill_ignores_the_key(spark):
     groups = {i % 2: {r.groups for r in out if r.k % 2 == i % 2} for i in (0, 1)}
     assert not groups[0] & groups[1]
     assert all(r.size == r.k % 2 for r in out)
+
+
+def test_prepare_housing(spark):
+    from logweave.plans.tabular import prepare_housing
+
+    cols = "Id int, SalePrice double, Alley string, ExterQual string, YrSold int, MoSold int, MSZoning string, LotFrontage double, GarageCars double, PoolArea int"
+    train = spark.createDataFrame(
+        [(1, 10.0, "x", "Ex", 2008, 1, "RL", 60.0, 2.0, 1), (2, 20.0, None, "Po", 2009, 12, "RM", None, None, 0), (3, 5.0, None, "?", 2008, 1, "RL", 80.0, 1.0, 0)],
+        cols,
+    )
+    test = spark.createDataFrame([(4, None, "Gd", 2010, 6, None, 100.0, 1.0, 0)], cols.replace("SalePrice double, ", "").replace("Id int", "Id int").replace("Alley string", "Alley string"))
+    out = {r.Id: r for r in prepare_housing(train, test, delete=True).collect()}
+    assert {i: r.part for i, r in out.items()} == {1: "train", 2: "train", 3: "train", 4: "test"}
+    assert [out[i].ExterQual for i in (1, 2, 3, 4)] == [3, -1, 0, 2]
+    assert out[2].LotFrontage == 80.0 and out[2].GarageCars == 0 and out[4].SalePrice is None
+    assert out[4].MSZoning == out[1].MSZoning != out[2].MSZoning
+    names = prepare_housing(train, test, delete=True).columns
+    assert "Alley" not in names and "PoolArea" not in names and "YrSold" not in names
+    assert "PoolArea" in prepare_housing(train, test).columns and "YMSold" in prepare_housing(train, test).columns
