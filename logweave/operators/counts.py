@@ -80,19 +80,15 @@ def implicit_zeros(facts: DataFrame, dim: str) -> DataFrame:
     every dim value seen in the batch and fills 0; across batches a value
     absent from the batch is NULL (skipped).  For a (file, value) pair with
     k non-zero cells the number of 0 cells is m - k, where m counts the
-    batches holding both the file and the value.  The join fans a pair out
-    to the batches of its file only (bounded by the batch count).
+    batches holding both the file and the value: the common elements of the
+    file's and the value's set of batches (as long as the calendar at most), so
+    a pair is never fanned out to batches.
     """
-    fb = facts.select("batch_id", "FileID").distinct()
-    db = facts.select("batch_id", dim).distinct()
+    fb = facts.groupBy("FileID").agg(F.collect_set("batch_id").alias("_fb"))
+    db = facts.groupBy(dim).agg(F.collect_set("batch_id").alias("_db"))
     pairs = facts.groupBy("FileID", dim).agg(F.count(F.lit(1)).alias("_k"))
-    m = (
-        pairs.join(fb, "FileID")
-        .join(db, ["batch_id", dim], "left_semi")
-        .groupBy("FileID", dim)
-        .agg(F.count(F.lit(1)).alias("_m"))
-    )
-    return pairs.join(m, ["FileID", dim]).select("FileID", dim, (F.col("_m") - F.col("_k")).alias("zeros"))
+    m = F.size(F.array_intersect("_fb", "_db"))
+    return pairs.join(fb, "FileID").join(db, dim).select("FileID", dim, (m - F.col("_k")).alias("zeros"))
 
 
 def dense_dim_stats(facts: DataFrame, dim: str, stats: Sequence[str], null_poison: bool = False) -> DataFrame:

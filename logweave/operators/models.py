@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweave.operators.metrics import hash_fraction, roc_auc
+from logweave.session import cut_lineage
 
 # Class weights of the reference (negatives 1, positives 8).
 POSITIVE_WEIGHT = 8.0
@@ -40,14 +41,18 @@ def stacking(
     features: str = "features",
     label: str = "y",
     c: float = META_C,
+    weight: str | None = None,
 ) -> PipelineModel:
     """M2: fit base classifiers in-sample, feed all their class
-    probabilities to a logistic meta learner (L2 strength 1/(C n))."""
+    probabilities to a logistic meta learner (L2 strength 1/(C n)).  With
+    ``weight`` the bases are fitted on weighted rows."""
     n = train.count()
     stages, cols = [], []
     for i, b in enumerate(bases):
         b = b.copy().setFeaturesCol(features).setLabelCol(label)
         b = b.setProbabilityCol(f"p{i}").setRawPredictionCol(f"r{i}").setPredictionCol(f"h{i}")
+        if weight:
+            b = b.setWeightCol(weight)
         stages.append(b)
         cols.append(f"p{i}")
     stages.append(VectorAssembler(inputCols=cols, outputCol="meta"))
@@ -101,8 +106,11 @@ def random_search(
     seed: int = 42,
 ) -> tuple[DataFrame, dict]:
     """M4: random parameter draws, each scored by mean validation AUC over
-    ``splits`` hash shuffle-splits of ``key``.  Returns (results, best)."""
+    ``splits`` hash shuffle-splits of ``key``.  Returns (results, best).
+
+    The input's lineage is cut once; every fit reads that copy."""
     rows = []
+    df = cut_lineage(df)
     for i, params in enumerate(sample_params(space, draws, seed)):
         aucs = []
         for s in range(splits):
@@ -124,6 +132,38 @@ def score(model, df: DataFrame, key: str = "FileID", prob_col: str = "probabilit
     return model.transform(df).select(key, vector_to_array(prob_col)[1].alias("probability"))
 
 
+def search_refit_score(
+    train: DataFrame,
+    test: DataFrame,
+    make_estimator,
+    space: dict,
+    path: str,
+    draws: int = 3,
+    splits: int = 1,
+    key: str = "FileID",
+    label: str = "y",
+) -> tuple[DataFrame, dict]:
+    """M3/M4/A15 as one path: search the parameters on ``train``, refit the best
+    on all of it, score ``test`` and write the predictions to ``path``.
+
+    ``make_estimator(**params)`` gives anything with ``fit``, such as
+    :class:`Stack`.  Returns (predictions as written, best parameters)."""
+    train = cut_lineage(train)
+    _, best = random_search(train, make_estimator, space, draws, splits, key, label=label)
+    score(make_estimator(**best).fit(train), test, key).write.mode("overwrite").parquet(path)
+    return train.sparkSession.read.parquet(path), best
+
+
+class Stack:
+    """A weighted stack with its parameters, as an estimator for the searches."""
+
+    def __init__(self, bases: Sequence, c: float = META_C, weight: str | None = "w", label: str = "y"):
+        self.bases, self.c, self.weight, self.label = bases, c, weight, label
+
+    def fit(self, train: DataFrame) -> PipelineModel:
+        return stacking(train, self.bases, label=self.label, c=self.c, weight=self.weight)
+
+
 def save_model(model, path: str) -> None:
     """Persist (overwrite) a fitted model or pipeline."""
     model.write().overwrite().save(path)

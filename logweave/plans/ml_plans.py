@@ -6,8 +6,6 @@ step and label distances have DuckDB oracles.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
@@ -19,8 +17,9 @@ from logweave.operators.intervals import interval_features
 from logweave.operators.prep import fill_policy
 from logweave.plans import sqlgen as S
 from logweave.plans.registry import query
-from logweave.session import ensure_checkpoint_dir
+from logweave.session import cut_lineage
 from logweave.sources.fixtures import embedding_rows, ids_events, log_events
+from logweave.streaming.incremental import scratch
 
 MEDOIDS = [0, 1, 2]
 
@@ -180,12 +179,34 @@ def score_test(spark, d):
     return MD.score(m, tab.where(F.col("split") == "test"))
 
 
+@query(
+    "search_refit_score",
+    f"SELECT count(*) AS files, count(*) AS scored, true AS probabilities FROM {S.IDS_EVENTS} WHERE split = 'test'",
+)
+def search_refit_score(spark, d):
+    """A weighted stack searched, refit and scored; of the written
+    predictions: test files, distinct files, and whether all are probabilities."""
+    tab = cut_lineage(_trend_tables(spark, d))
+    found, _ = MD.search_refit_score(
+        MD.with_weights(tab.where(F.col("split") == "train")),
+        tab.where(F.col("split") == "test"),
+        lambda c, depth: MD.Stack([MD.gbt(maxIter=3, maxDepth=depth), MD.rf(numTrees=5, maxDepth=depth)], c),
+        {"c": ("log", 0.01, 1.0), "depth": ("int", 2, 3)},
+        scratch(spark, "predictions"),
+        draws=2,
+    )
+    p = F.col("probability")
+    return found.agg(
+        F.count("*").alias("files"), F.count_distinct("FileID").alias("scored"), F.bool_and(p.between(0, 1)).alias("probabilities")
+    )
+
+
 @query("model_roundtrip")
 def model_roundtrip(spark, d):
     """Save a fitted pipeline to the shared checkpoint folder, reload it,
     and score with the reloaded copy."""
     tab = _trend_tables(spark, d)
     model = Pipeline(stages=[MD.gbt(weight=None, maxIter=5, maxDepth=2)]).fit(tab.where(F.col("split") == "train"))
-    path = os.path.join(ensure_checkpoint_dir(spark), "models", "score_gbt")
+    path = scratch(spark, "model")
     MD.save_model(model, path)
     return MD.score(MD.load_pipeline(path), tab.where(F.col("split") == "test"))

@@ -54,3 +54,13 @@ def test_searches(data):
     table, best = MD.random_search(data, MD.gbt, {"maxDepth": ("int", 1, 2), "maxIter": [2]}, draws=2, splits=1, key="FileID")
     rows = table.collect()
     assert len(rows) == 2 and best["maxDepth"] in (1, 2) and max(r.mean_auc for r in rows) > 0.85
+
+
+def test_search_refit_score_writes_predictions(data, tmp_path):
+    train, test = data.where("FileID not like '%6'"), data.where("FileID like '%6'")
+    make = lambda c: MD.Stack([MD.gbt(maxIter=2), MD.rf(numTrees=3)], c)
+    found, best = MD.search_refit_score(train, test, make, {"c": ("log", 0.1, 1.0)}, str(tmp_path / "p"), draws=2)
+    rows = found.join(test.select("FileID", "y"), "FileID").collect()
+    assert len(rows) == test.count() and 0.1 <= best["c"] <= 1.0
+    good, bad = ([r.probability for r in rows if r.y == y] for y in (1, 0))
+    assert sum(g > b for g in good for b in bad) > 0.95 * len(good) * len(bad)
