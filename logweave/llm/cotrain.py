@@ -111,7 +111,8 @@ def confident(margin: np.ndarray, y: np.ndarray, label: int, precision: float, l
     sign = 1 if label else -1
     order = np.argsort(-sign * margin, kind="stable")
     right = np.cumsum(y[order] == label) / np.arange(1, len(y) + 1)
-    good = np.flatnonzero((right >= precision) & (np.arange(len(y)) >= least - 1))
+    ends = np.flatnonzero(np.append(np.diff(margin[order]) != 0, True)) if len(y) else np.empty(0, int)  # ties go together
+    good = ends[(right[ends] >= precision) & (ends >= least - 1)]
     return float(margin[order[good[-1]]]) if len(good) else None
 
 
