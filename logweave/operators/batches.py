@@ -33,7 +33,7 @@ def day_ranks(log: DataFrame, n: int, day: str = "day", days: list | None = None
         rows = [(str(d),) for d in sorted(set(days))]
         days_df = log.sparkSession.createDataFrame(rows, f"{day} string").select(F.col(day).cast(t).alias(day))
     else:
-        days_df = log.select(day).distinct()
+        days_df = log.select(day).where(F.col(day).isNotNull()).distinct()
     days = days_df
     r = F.dense_rank().over(Window.orderBy(day))
     return days.select(
@@ -46,7 +46,9 @@ def day_ranks(log: DataFrame, n: int, day: str = "day", days: list | None = None
 def assign_batches(
     log: DataFrame, n: int, day: str = "day", ts: str = "QueryTs", days: list | None = None
 ) -> DataFrame:
-    """Batch of n consecutive day files: ``floor((dense_rank(day) - 1) / n)``."""
+    """Batch of n consecutive day files: ``floor((dense_rank(day) - 1) / n)``.
+
+    No row is lost: one without a day has no batch (NULL)."""
     log = with_day(log, ts, day)
     ranks = day_ranks(log, n, day, days).select(day, "batch_id")
     if days is not None:
@@ -55,7 +57,7 @@ def assign_batches(
         # One job: the rank table (one row per day) is fetched when it is
         # small, which both checks and fixes its size.
         ranks, small = small_table(ranks, MAX_BROADCAST_DAYS)
-    return log.join(F.broadcast(ranks) if small else ranks, day)
+    return log.join(F.broadcast(ranks) if small else ranks, day, "left")
 
 
 def first_batches(log: DataFrame, k: int) -> DataFrame:

@@ -23,16 +23,18 @@ def clean_log(df: DataFrame) -> DataFrame:
     return df.replace(PRODUCT_ID_FIXES, subset=cols)
 
 
-def read_query_log(spark: SparkSession, path: str, clean: bool = True) -> DataFrame:
+def read_query_log(spark: SparkSession, path: str, clean: bool = True, mode: str = "FAILFAST") -> DataFrame:
     """Headerless day-file CSV logs -> ``FileID, CustomerID, QueryTs, ProductID, day``.
 
     ``day`` is the file name without extension (``MMDD``), or the ``day=``
     folder when the files are laid out by day; the reference orders day
     files by name, so batches rank this column.  An empty file
     yields no rows (explicit schema, no inference), so no special case is
-    needed for empty days.
+    needed for empty days.  A row that doesn't parse (a time that is no number)
+    fails the job; ``mode="DROPMALFORMED"`` or ``"PERMISSIVE"`` are the other
+    choices.
     """
-    df = spark.read.schema(LOG_DDL).option("header", False).option("mode", "PERMISSIVE").csv(path)
+    df = spark.read.schema(LOG_DDL).option("header", False).option("mode", mode).csv(path)
     if "day" not in df.columns:  # no day=... folders: the file name is the day
         df = df.withColumn("day", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1))
     return clean_log(df) if clean else df

@@ -103,3 +103,21 @@ def test_batches_from_listed_days(spark, tmp_path):
     assert sorted(r.ProductID for r in log.collect()) == ["55649", "p1", "p1", "p2"]
     derived = sorted((r.day, r.batch_id) for r in assign_batches(log, 2).select("day", "batch_id").distinct().collect())
     assert derived == [("0301", 0), ("0302", 0), ("0305", 1)]
+
+
+def test_rows_without_a_day_stay(spark):
+    from logweave.operators.batches import assign_batches
+
+    rows = [("f", 86400 * 3 + 5), ("f", 86400 * 9), ("g", None)]
+    log = spark.createDataFrame(rows, "FileID string, QueryTs long")
+    assert sorted((r.FileID, r.batch_id) for r in assign_batches(log, 1).collect() if r.batch_id is not None) == [("f", 0), ("f", 1)]
+    assert assign_batches(log, 1).where("batch_id is null").count() == 1
+
+
+def test_a_row_that_does_not_parse_fails(spark, tmp_path):
+    from logweave.sources.log import read_query_log
+
+    (tmp_path / "0101.csv").write_text("f,c,12,p\nf,c,noon,p\n")
+    with pytest.raises(Exception):
+        read_query_log(spark, str(tmp_path)).collect()
+    assert read_query_log(spark, str(tmp_path), mode="DROPMALFORMED").select("FileID", "QueryTs").collect() == [("f", 12)]
