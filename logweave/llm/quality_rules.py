@@ -35,6 +35,10 @@ KEEP_AT = 0.5
 FALSE_ALARMS = 0.005
 #: At least this share of them lacks any one virtue: no single abstention condemns.
 LACKS = 0.1
+#: A kind of junk shows its symptom in at least this share of its documents, and
+#: has no virtue more often than good documents: else a junk class could take
+#: over clean documents where there is no junk to explain.
+SHOWS = 0.9
 
 
 def counts_of(text: bytes) -> dict[str, int]:
@@ -145,7 +149,7 @@ def fit(codes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> dict:
     Junk comes in kinds that don't show each other's symptoms, so there is a
     latent class per symptom, started with that symptom in 90 % of its documents
     and the others in 20 %; good documents start at 1 % and are 85 % of all.
-    Class 0 is good and stays it by the two limits above.
+    Class 0 is good and stays it by the limits above.
     """
     v = votes(codes)
     alarm = np.array([name not in VIRTUES for name in RULES])
@@ -165,7 +169,11 @@ def fit(codes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> dict:
         rate = seen / seen.sum(axis=2, keepdims=True)
         rate[0, alarm, 1] = np.minimum(rate[0, alarm, 1], FALSE_ALARMS)
         rate[0, ~alarm, 2] = np.minimum(rate[0, ~alarm, 2], 1 - LACKS)
-        rate[0, :, 0] = 1 - rate[0, :, 1:].sum(axis=1)
+        own = np.arange(1, len(prior))
+        rate[own, kinds, 1] = np.maximum(rate[own, kinds, 1], SHOWS)
+        rate[own, kinds, 2] = np.minimum(rate[own, kinds, 2], (1 - SHOWS) / 2)
+        rate[1:, ~alarm, 2] = np.minimum(rate[1:, ~alarm, 2], rate[:1, ~alarm, 2])
+        rate[:, :, 0] = np.maximum(1 - rate[:, :, 1:].sum(axis=2), 1e-9)
         prior = (weight @ share + 1) / (weight.sum() + len(prior))
     return {"prior": prior, "rate": rate}
 

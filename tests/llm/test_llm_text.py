@@ -73,6 +73,15 @@ def test_em_finds_each_kind_of_junk():
     assert abs(model["prior"][0] - 8000 / 9500) < 0.03
 
 
+def test_em_without_junk_keeps_all():
+    n = len(quality_rules.RULES)
+    clean = int("0" * (n - 3) + "222", 3)
+    for counts in ({clean: 220_000, clean - 2: 30_000}, {clean: 500}, {clean: 10**7, clean - 2: 900, clean - 6: 80}):
+        codes = np.array(sorted(counts))
+        model = quality_rules.fit(codes, np.array([counts[c] for c in codes]))
+        assert (quality_rules.posterior(model, codes) > 0.9).all()
+
+
 def test_rules_score_and_filter(spark):
     good = " ".join(f"word{i}" for i in range(120))
     junk = " ".join(f"word{i}$$$" for i in range(120))
