@@ -2,7 +2,7 @@
 
 1. Chunks of documents are split into pre-tokens (``PATTERN``).  A chunk keeps
    its documents as positions: for each pre-token the number of its word among
-   the chunk's distinct words.
+   the chunk's distinct words, or a mark where a word comes for the first time.
 2. The distinct words of each chunk are shuffled by a hash of the word; every
    bucket of words encodes each distinct word once.
 3. Ids go back to the chunks that sent the word, which reassemble their
@@ -22,6 +22,7 @@ import base64
 import hashlib
 import math
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -54,11 +55,13 @@ def splitter():
 
 
 def packed(values: np.ndarray) -> bytes:
-    return zstandard.compress(values.tobytes(), 3)
+    """Numbers below 2 ** 32, compressed byte by byte of equal weight."""
+    return zstandard.compress(np.ascontiguousarray(values.astype("<u4").view("u1").reshape(-1, 4).T).tobytes(), 6)
 
 
-def unpacked(data: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(data), kind)
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), "u1").reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
 def pack_words(words: list[bytes]) -> bytes:
@@ -74,27 +77,29 @@ def unpack_words(data: bytes) -> list[bytes]:
     return [data[a:b] for a, b in zip([4 + 4 * n, *ends[:-1].tolist()], ends.tolist(), strict=True)]
 
 
-#: kind 0: the positions of a chunk's document; kind 1: the chunk's words of one bucket.
-SPLIT = "kind int, chunk bigint, bucket int, doc_id bigint, words binary, positions binary"
-SPLIT_TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+#: kind 0: a chunk's documents (ids, sizes, positions); kind 1: its words of one bucket.
+SPLIT = "kind int, chunk bigint, bucket int, ids array<bigint>, words binary, positions binary"
+SPLIT_TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
 
 
 def split_chunk(chunk: int, ids: list, texts: list[str], n_buckets: int) -> list[tuple]:
-    """One chunk's rows of ``SPLIT``.  Words are numbered by falling frequency, so
-    that positions are small numbers and compress well."""
+    """One chunk's rows of ``SPLIT``.  Words are numbered as they first occur, so
+    that a first occurrence needs no number (0) and a later one is its number
+    plus 1: most distinct words occur once."""
     number: dict[str, int] = {}
     add, find = number.setdefault, splitter()
-    at = [np.fromiter((add(w, len(number)) for w in find(t)), np.int64) for t in texts]
-    flat = np.concatenate(at) if at else np.empty(0, np.int64)
-    order = np.argsort(-np.bincount(flat, minlength=len(number)), kind="stable")
-    rank = np.empty(len(number), np.int64)
-    rank[order] = np.arange(len(number))
-    rows = [(0, chunk, None, doc, None, packed(rank[a].astype("<u4").view("u1").reshape(-1, 4).T)) for doc, a in zip(ids, at, strict=True)]
+    at = [[add(w, len(number)) for w in find(t)] for t in texts]
+    sizes = np.fromiter(map(len, at), np.int64, len(at))
+    flat = np.fromiter((k for a in at for k in a), np.int64, int(sizes.sum()))
+    del at
+    known = np.concatenate([[-1], np.maximum.accumulate(flat)[:-1]]) if len(flat) else flat
+    rows = [(0, chunk, None, ids, packed(sizes), packed(np.where(flat > known, 0, flat + 1)))]
     words = [w.encode("utf-8", "surrogatepass") for w in number]
     bucket = np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words)) % n_buckets
-    for k in np.unique(bucket).tolist():
-        own = order[bucket[order] == k] if n_buckets > 1 else order
-        rows.append((1, chunk, k, None, pack_words([words[i] for i in own.tolist()]), packed(rank[own].astype("<u4"))))
+    order = np.argsort(bucket, kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
+        data = pack_words([words[i] for i in own.tolist()])
+        rows.append((1, chunk, int(bucket[own[0]]), None, data, packed(np.diff(own, prepend=0))))
     return rows
 
 
@@ -121,7 +126,7 @@ def encode_bucket(ranks_path: str):
 
     def run(rows: pa.Table) -> pa.Table:
         encode = word_encoder(ranks_path)
-        known: dict[bytes, np.ndarray] = {}
+        known: dict[bytes, bytes] = {}
         sizes, ids = [], []
         for data in rows["words"]:
             own = unpack_words(data.as_py())
@@ -129,8 +134,8 @@ def encode_bucket(ranks_path: str):
                 if w not in known:
                     known[w] = encode(w)
             got = [known[w] for w in own]
-            sizes.append(packed(np.fromiter(map(len, got), "<u4", len(got))))
-            ids.append(packed(np.concatenate(got)))
+            sizes.append(packed(np.fromiter(map(len, got), np.int64, len(got)) // 4))
+            ids.append(packed(np.frombuffer(b"".join(got), "<u4")))
         return pa.table(
             {"chunk": rows["chunk"].combine_chunks(), "positions": rows["positions"].combine_chunks()}
             | {"sizes": pa.array(sizes, pa.binary()), "ids": pa.array(ids, pa.binary())}
@@ -140,42 +145,82 @@ def encode_bucket(ranks_path: str):
 
 
 def word_encoder(ranks_path: str):
-    """Bytes of one pre-token to its ids, by the ranks."""
+    """Bytes of one pre-token to its ids (as 32-bit numbers), by the ranks."""
     import tiktoken
 
     ranks = load_ranks(ranks_path)
     one = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     single = one._core_bpe.encode_single_piece
-    return lambda w: np.array([ranks[w]] if w in ranks else single(w), "<u4")
+    return lambda w: array("I", [ranks[w]] if w in ranks else single(w)).tobytes()
 
 
-def reassemble(_key: tuple, docs: pa.Table, words: pa.Table) -> pa.Table:
+def reassemble(docs: pa.Table, words: pa.Table) -> Iterator[tuple[int | None, np.ndarray]]:
     """One chunk's documents as ids: the words' ids, taken by position."""
-    n_words = 0
-    parts = []
-    for k in range(len(words)):
-        numbers, sizes, ids = (unpacked(words[c][k].as_py(), "<u4") for c in ("positions", "sizes", "ids"))
-        parts.append((numbers.astype(np.int64), sizes.astype(np.int64), ids))
-        n_words += len(numbers)
-    size, start = np.zeros(n_words, np.int64), np.zeros(n_words, np.int64)
-    base, flat = 0, [p[2] for p in parts]
-    for numbers, sizes, ids in parts:
+    parts = [tuple(unpacked(words[c][k].as_py()) for c in ("positions", "sizes", "ids")) for k in range(len(words))]
+    n_words = sum(len(p[0]) for p in parts)
+    size, start, base = np.zeros(n_words, np.int64), np.zeros(n_words, np.int64), 0
+    for steps, sizes, ids in parts:
+        numbers = np.cumsum(steps)
         size[numbers] = sizes
         start[numbers] = base + np.cumsum(sizes) - sizes
         base += len(ids)
-    table = np.concatenate(flat) if flat else np.empty(0, "<u4")
-    out = []
-    for data in docs["positions"]:
-        at = unpacked(data.as_py(), "u1").reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
-        n = size[at]
-        total = int(n.sum())
-        take = np.repeat(start[at] - np.cumsum(n) + n, n) + np.arange(total)
-        out.append(table[take].astype("<u4").tobytes())
-    return pa.table({"doc_id": docs["doc_id"].combine_chunks(), "ids": pa.array(out, pa.binary())})
+    table = np.concatenate([p[2] for p in parts]).astype("<u4") if parts else np.empty(0, "<u4")
+    del parts
+    for data, sizes, ids in zip(docs["positions"], docs["words"], docs["ids"], strict=True):
+        at = unpacked(data.as_py())
+        first = at == 0
+        at = np.where(first, np.cumsum(first) - 1, at - 1)
+        ends = np.cumsum(unpacked(sizes.as_py())).tolist()
+        for doc, a, b in zip(ids.as_py(), [0, *ends[:-1]], ends, strict=True):
+            own = at[a:b]
+            n = size[own]
+            yield doc, table[np.repeat(start[own] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
 
 
-def encode(docs: DataFrame, ranks_path: str = RANKS, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """doc_id and ids (binary: unsigned 32-bit, little-endian) of every document.
+ENCODED = "doc_id bigint, ids binary"
+
+
+def as_ids(_ranks_path: str):
+    """Rows of ``ENCODED``."""
+
+    def finish(found: Iterator[tuple[int | None, np.ndarray]]) -> pa.Table:
+        rows = [(doc, ids.tobytes()) for doc, ids in found]
+        return pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "ids": pa.array([r[1] for r in rows], pa.binary())})
+
+    return finish
+
+
+DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+
+
+def as_digests(ranks_path: str):
+    """Rows of ``DIGESTS``: the ids, and the bytes that they decode to."""
+
+    def finish(found: Iterator[tuple[int | None, np.ndarray]]) -> pa.Table:
+        table = token_bytes(ranks_path)
+        token, decimal = table.__getitem__, decimals(len(table)).__getitem__
+        rows = []
+        for doc, ids in found:
+            ids = ids.tolist()
+            said = hashlib.sha256(b" ".join(map(decimal, ids))).hexdigest()
+            rows.append((doc, len(ids), said, hashlib.sha256(b"".join(map(token, ids))).hexdigest()))
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
+        names = [f.split()[0] for f in DIGESTS.split(", ")]
+        return pa.table({name: pa.array([r[k] for r in rows], kind) for k, (name, kind) in enumerate(zip(names, kinds, strict=True))})
+
+    return finish
+
+
+def encode(
+    docs: DataFrame,
+    ranks_path: str = RANKS,
+    chunk_bytes: int = CHUNK_BYTES,
+    bucket_bytes: int = BUCKET_BYTES,
+    finish=as_ids,
+    schema: str = ENCODED,
+) -> DataFrame:
+    """doc_id and ids (binary: unsigned 32-bit, little-endian) of every document,
+    or what ``finish`` makes of a chunk's (doc_id, ids).
 
     Null and empty texts have no ids.  Null and repeated ids keep their rows;
     other columns aren't read; an empty table gives no rows.
@@ -184,10 +229,15 @@ def encode(docs: DataFrame, ranks_path: str = RANKS, chunk_bytes: int = CHUNK_BY
     parts = written(split(docs, max(8, math.ceil(total / bucket_bytes)), chunk_bytes), "split")
     words = parts.where("kind = 1").select("bucket", "chunk", "words", "positions")
     ids = words.groupBy("bucket").applyInArrow(encode_bucket(ranks_path), "chunk bigint, positions binary, sizes binary, ids binary")
-    places = parts.where("kind = 0").select("chunk", "doc_id", "positions")
-    return places.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(reassemble, "doc_id bigint, ids binary")
+    places = parts.where("kind = 0").select("chunk", "ids", "words", "positions")
 
+    def run(_key: tuple, chunk: pa.Table, found: pa.Table) -> pa.Table:
+        return finish(ranks_path)(reassemble(chunk, found))
 
+    return places.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(run, schema)
+
+
+@lru_cache(2)
 def token_bytes(ranks_path: str = RANKS) -> list[bytes]:
     """The token-byte table: bytes by id."""
     ranks = load_ranks(ranks_path)
@@ -197,6 +247,11 @@ def token_bytes(ranks_path: str = RANKS) -> list[bytes]:
     return table
 
 
+@lru_cache(1)
+def decimals(n: int) -> list[bytes]:
+    return [str(k).encode() for k in range(n)]
+
+
 def decode(encoded: DataFrame, ranks_path: str = RANKS) -> DataFrame:
     """doc_id and bytes of every row of ``encode``."""
 
@@ -211,20 +266,4 @@ def decode(encoded: DataFrame, ranks_path: str = RANKS) -> DataFrame:
 
 def digests(docs: DataFrame, ranks_path: str = RANKS) -> DataFrame:
     """Every document encoded, then decoded from its ids: counts and checksums."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = token_bytes(ranks_path)
-        token, decimal = table.__getitem__, [str(k).encode() for k in range(len(table))].__getitem__
-        for b in batches:
-            n, sha, back = [], [], []
-            for x in utf8(b.column(1)):
-                ids = np.frombuffer(x, "<u4").tolist()
-                n.append(len(ids))
-                sha.append(hashlib.sha256(b" ".join(map(decimal, ids))).hexdigest())
-                back.append(hashlib.sha256(b"".join(map(token, ids))).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return encode(docs, ranks_path).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return encode(docs, ranks_path, finish=as_digests, schema=DIGESTS)
