@@ -13,7 +13,9 @@ hence broadcast) and joins the bytes.
 Scale: a very frequent word is sent once per chunk, not once per occurrence,
 so no bucket is hot; words travel packed, many to a row, in rows bounded by
 the chunk.  A chunk holds about ``chunk_bytes`` of text (or one longer one).
-The number of buckets follows the input.
+The number of buckets follows the input.  Chunks follow the order of rows in the
+input's partitions, which must be the same when read again (as of files); a
+difference is noticed and fails the job.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import spans, strings, utf8, written
+from logweave.llm.common import spans, strings, utf8
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 CHUNK_BYTES = 4 << 20
@@ -169,6 +171,8 @@ def reassemble(docs: pa.Table, words: pa.Table) -> Iterator[tuple[int | None, np
     for data, sizes, ids in zip(docs["positions"], docs["words"], docs["ids"], strict=True):
         at = unpacked(data.as_py())
         first = at == 0
+        if np.count_nonzero(first) != n_words:
+            raise RuntimeError("the input changed between the passes")
         at = np.where(first, np.cumsum(first) - 1, at - 1)
         ends = np.cumsum(unpacked(sizes.as_py())).tolist()
         for doc, a, b in zip(ids.as_py(), [0, *ends[:-1]], ends, strict=True):
@@ -226,7 +230,9 @@ def encode(
     other columns aren't read; an empty table gives no rows.
     """
     total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = written(split(docs, max(8, math.ceil(total / bucket_bytes)), chunk_bytes), "split")
+    # Read twice, for its words and for its positions: splitting a file split again
+    # costs less than keeping both on disk, and gives the same chunks.
+    parts = split(docs, max(8, math.ceil(total / bucket_bytes)), chunk_bytes)
     words = parts.where("kind = 1").select("bucket", "chunk", "words", "positions")
     ids = words.groupBy("bucket").applyInArrow(encode_bucket(ranks_path), "chunk bigint, positions binary, sizes binary, ids binary")
     places = parts.where("kind = 0").select("chunk", "ids", "words", "positions")
