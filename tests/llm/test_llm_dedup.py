@@ -98,6 +98,44 @@ def test_classes(spark):
     assert neardup.classes(docs.limit(0)).count() == 0 and neardup.first_of_class(docs.limit(0)).count() == 0
 
 
+def replaced(rng, text, n):
+    """Exactly ``n`` words replaced, at random places."""
+    words = text.split()
+    for i in rng.sample(range(len(words)), n):
+        words[i] = f"x{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_pairs_at_the_threshold(spark):
+    """Planted pairs of edit similarity 0.80, 0.82 and 0.85, and pairs just below."""
+    rng = random.Random(8)
+    rows = []
+    for n in (60, 54, 45, 61):
+        for base in texts(rng, 60, 300):
+            rows += [base, replaced(rng, base, n)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string").repartition(5)
+    found = {r.doc_id: r.class_id for r in neardup.classes(docs).collect()}
+    assert found == {i: i if i >= 360 else i - i % 2 for i in range(len(rows))}
+
+
+def test_candidates_at_the_threshold():
+    rng = random.Random(9)
+
+    def met(one, two):
+        (a, x), (b, y) = neardup.sketch(one.encode().split()), neardup.sketch(two.encode().split())
+        return bool(set(a) & set(b)) and sum(map(int.__eq__, x, y)) >= neardup.AGREE
+
+    pairs = [(t, replaced(rng, t, 60)) for t in texts(rng, 400, 300)]
+    assert sum(met(*p) for p in pairs) >= 398
+    every_fifth = [(t, " ".join("x" if i % 5 == 2 else w for i, w in enumerate(t.split()))) for t in texts(rng, 400, 300)]
+    assert sum(met(*p) for p in every_fifth) >= 380
+
+
+def test_rows_that_meet():
+    for entries, want in (([], []), ([1], [1]), ([1, 2, 3], [1, 0, 1]), ([1, 2, 2, 3, 4], [1, 1, 1, 0, 1]), ([1, 1, 2], [1, 1, 1])):
+        assert neardup._met(np.array(entries, np.int64)).tolist() == list(map(bool, want))
+
+
 def test_repeated_ids_with_other_texts(spark):
     rng = random.Random(4)
     a, b = texts(rng, 2, 80)
