@@ -131,6 +131,28 @@ def test_candidates_at_the_threshold():
     assert sum(met(*p) for p in every_fifth) >= 380
 
 
+def test_short_texts_against_brute_force(spark):
+    rng = random.Random(10)
+    rows = []
+    for n in [1, 2, 3, *range(4, 15), *range(4, 15)]:
+        base = [f"w{rng.randrange(4000)}" for _ in range(n)]
+        rows += [base, [*base[: n // 2], "y", *base[n // 2 + 1 :]], base[: n // 2] + base[n // 2 + 1 :]]
+        for _ in range(4):
+            copy = [w if rng.random() > 0.15 else f"x{rng.randrange(4)}" for w in base if rng.random() > 0.08]
+            rows.append(copy + ["z"] * (rng.random() < 0.2))
+    rows += [[rng.choice("ab") for _ in range(rng.randint(1, 14))] for _ in range(40)]
+    rows = [r for r in rows if 0 < len(r) < neardup.SHORT]
+    want = list(range(len(rows)))
+    for i, a in enumerate(rows):
+        for j, b in enumerate(rows[:i]):
+            if 5 * edit_distance(a, b) <= max(len(a), len(b)) and want[i] != want[j]:
+                low, high = sorted((want[i], want[j]))
+                want = [low if w == high else w for w in want]
+    docs = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id bigint, text string").repartition(5)
+    found = {r.doc_id: r.class_id for r in neardup.classes(docs).collect()}
+    assert found == dict(enumerate(want))
+
+
 def test_rows_that_meet():
     for entries, want in (([], []), ([1], [1]), ([1, 2, 3], [1, 0, 1]), ([1, 2, 2, 3, 4], [1, 1, 1, 0, 1]), ([1, 1, 2], [1, 1, 1])):
         assert neardup._met(np.array(entries, np.int64)).tolist() == list(map(bool, want))
