@@ -128,23 +128,46 @@ def levels_of(df: DataFrame, col: str, max_levels: int = 1000) -> tuple[list, bo
     )
     vals = [r.v for r in rows if r.v is not None]
     if len(vals) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels")
+        raise ValueError(f"{col} has more than {max_levels} levels: list those wanted, or use one_hot_long")
     return sorted(vals), len(vals) < len(rows)
 
 
-def one_hot(df: DataFrame, cols: Sequence[str], max_levels: int = 1000) -> DataFrame:
+def one_hot(
+    df: DataFrame, cols: Sequence[str], max_levels: int = 1000, levels: Mapping[str, Sequence] | None = None
+) -> DataFrame:
     """H5: dummies ``col_value``; first level dropped unless the column has NULLs;
-    a NULL row is 0 in every dummy.  The source column is removed."""
+    a NULL row is 0 in every dummy.  The source column is removed.  ``levels``
+    lists the dummies of a column as they are; beyond ``max_levels`` without a
+    list, ``one_hot_long`` has the same cells for any number of levels."""
     out = df
     for c in cols:
-        vals, has_null = levels_of(df, c, max_levels)
-        keep = vals if has_null else vals[1:]
+        if levels and c in levels:
+            keep = list(levels[c])
+        else:
+            vals, has_null = levels_of(df, c, max_levels)
+            keep = vals if has_null else vals[1:]
         out = out.withColumns(
             {f"{c}_{v}": F.when(_q(c) == F.lit(v), 1).otherwise(0).cast("int") for v in keep}
         ).drop(c)
     return out
 
 
+def one_hot_long(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """H5 without a bound on levels: ``(*keys, column, level)``, one row for each 1
+    of the dummies of ``one_hot`` (level as a string).  Its dropped levels, the
+    lowest of each column without NULLs, come from one aggregate."""
+    if not cols:
+        raise ValueError("no columns to encode")
+    own = df.agg(*[x for c in cols for x in (F.min(_q(c)), F.bool_or(_q(c).isNull()))]).first()
+    cells = []
+    for k, c in enumerate(cols):
+        low, has_null = own[2 * k], own[2 * k + 1]
+        kept = _q(c).isNotNull() if has_null or low is None else _q(c) != F.lit(low)
+        cells.append(F.when(kept, F.struct(F.lit(c).alias("column"), _q(c).cast("string").alias("level"))))
+    out = df.select(*[_q(k) for k in keys], F.explode(F.array_compact(F.array(*cells))).alias("__cell"))
+    return out.select(*[_q(k) for k in keys], "__cell.column", "__cell.level")
+
+
 # Per-group statistic tables up to this many rows are broadcast to the
 # rows being filled; larger ones use an ordinary join.
 MAX_BROADCAST_GROUPS = 100_000

@@ -19,6 +19,19 @@ def test_one_hot_drop_first_unless_null(spark):
     assert (r[2].b_u, r[2].b_v) == (0, 0)
 
 
+def test_one_hot_long_any_number_of_levels(spark):
+    data = [(i, f"v{i % 1500:04d}", "u" if i % 3 else None, i % 7) for i in range(3000)]
+    df = spark.createDataFrame(data, "i int, a string, b string, c int")
+    with pytest.raises(ValueError):
+        P.one_hot(df, ["a"])
+    got = sorted(tuple(r) for r in P.one_hot_long(df, ["i"], ["a", "b", "c"]).collect())
+    want = [(i, "a", a) for i, a, _, _ in data if a != "v0000"]
+    want += [(i, "b", b) for i, _, b, _ in data if b] + [(i, "c", str(c)) for i, _, _, c in data if c]
+    assert got == sorted(want)
+    wide = P.one_hot(df, ["a"], levels={"a": ["v0000", "v1499"]})
+    assert wide.columns == ["i", "b", "c", "a_v0000", "a_v1499"] and wide.agg({"a_v1499": "sum"}).first()[0] == 2
+
+
 def test_single_level_column(spark):
     df = spark.createDataFrame([(1, "x"), (2, "x")], "i int, a string")
     assert P.one_hot(df, ["a"]).columns == ["i"]
