@@ -87,11 +87,33 @@ def rf_proximity(
     return leaf_distances(leaves, trees)
 
 
-# The result is a matrix of labels; a label with more values is no label.
+# The result of leaf_distances without a list is a matrix of so many labels at most.
 MAX_LABELS = 2000
 
 
-def leaf_distances(leaves: DataFrame, trees: int) -> DataFrame:
+def leaf_pairs(leaves: DataFrame, trees: int) -> DataFrame:
+    """``leaf_distances`` without a bound on labels: ``(a, b, distance)`` for the
+    pairs that share a leaf; all others are at distance 1."""
+    c = leaves.groupBy("tree", "leaf", "lab").agg(F.count(F.lit(1)).alias("c"))
+    return _near(c, _sizes(c, trees), trees)
+
+
+def _sizes(c: DataFrame, trees: int) -> DataFrame:
+    return cut_lineage(c.groupBy("lab").agg((F.sum("c") / trees).cast("long").alias("n")))
+
+
+def _near(c: DataFrame, n: DataFrame, trees: int) -> DataFrame:
+    a = c.select("tree", "leaf", F.col("lab").alias("a"), F.col("c").alias("ca"))
+    b = c.select("tree", "leaf", F.col("lab").alias("b"), F.col("c").alias("cb"))
+    same = a.join(b, ["tree", "leaf"]).groupBy("a", "b").agg(F.sum(F.col("ca") * F.col("cb")).alias("_s"))
+    na = n.select(F.col("lab").alias("a"), F.col("n").alias("na"))
+    nb = n.select(F.col("lab").alias("b"), F.col("n").alias("nb"))
+    s = same.join(na, "a").join(nb, "b")
+    num = F.when(F.col("a") == F.col("b"), (F.col("_s") + trees * F.col("na")) / 2).otherwise(F.col("_s"))
+    return s.select("a", "b", (1 - num / (trees * F.col("na") * F.col("nb"))).alias("distance"))
+
+
+def leaf_distances(leaves: DataFrame, trees: int, labels: Sequence | None = None) -> DataFrame:
     """L4, the relational part: ``(lab, tree, leaf)`` rows (one per row and tree)
     -> ``(a, b, distance)`` for every pair of labels,
 
@@ -100,19 +122,18 @@ def leaf_distances(leaves: DataFrame, trees: int) -> DataFrame:
     labels that never share a leaf are at distance 1.  The same-leaf count is
     an equi-join of per-(tree, leaf, label) counts, not a row-pair loop.  For
     a = b ordered pairs i >= j count, i.e. (sum c^2 + trees n) / 2.
+
+    The dense matrix is made for the ``labels`` that the caller lists, or for all
+    if there are at most ``MAX_LABELS``; ``leaf_pairs`` takes any number.
     """
+    if labels is not None:
+        leaves = leaves.where(F.col("lab").isin(list(labels)))
     c = leaves.groupBy("tree", "leaf", "lab").agg(F.count(F.lit(1)).alias("c"))
-    n = cut_lineage(c.groupBy("lab").agg((F.sum("c") / trees).cast("long").alias("n")))
-    if n.count() > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} labels; their distance matrix is no summary")
-    a = c.select("tree", "leaf", F.col("lab").alias("a"), F.col("c").alias("ca"))
-    b = c.select("tree", "leaf", F.col("lab").alias("b"), F.col("c").alias("cb"))
-    same = a.join(b, ["tree", "leaf"]).groupBy("a", "b").agg(F.sum(F.col("ca") * F.col("cb")).alias("_s"))
-    na = n.select(F.col("lab").alias("a"), F.col("n").alias("na"))
-    nb = n.select(F.col("lab").alias("b"), F.col("n").alias("nb"))
-    s = na.crossJoin(nb).join(same, ["a", "b"], "left").withColumn("_s", F.coalesce("_s", F.lit(0)))
-    num = F.when(F.col("a") == F.col("b"), (F.col("_s") + trees * F.col("na")) / 2).otherwise(F.col("_s"))
-    return s.select("a", "b", (1 - num / (trees * F.col("na") * F.col("nb"))).alias("distance"))
+    n = _sizes(c, trees)
+    if labels is None and n.count() > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels: list those wanted, or use leaf_pairs")
+    every = n.select(F.col("lab").alias("a")).crossJoin(n.select(F.col("lab").alias("b")))
+    return every.join(_near(c, n, trees), ["a", "b"], "left").select("a", "b", F.coalesce("distance", F.lit(1.0)).alias("distance"))
 
 
 def label_distances(df: DataFrame, label: str, vec: str) -> DataFrame:

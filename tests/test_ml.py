@@ -60,3 +60,14 @@ def test_labels_without_a_common_leaf_are_far(spark):
     got = {(r.a, r.b): r.distance for r in CL.leaf_distances(df, 2).collect()}
     assert len(got) == 9 and got[("a", "b")] == got[("b", "a")] == got[("b", "c")] == 1.0
     assert got[("a", "c")] == pytest.approx(1 - 2 / (2 * 2 * 1)) and got[("b", "b")] == 0.0
+
+
+def test_leaf_pairs_of_many_labels(spark):
+    leaves = [(f"l{i}", t, i // 2 if t else -i) for i in range(2100) for t in (0, 1)]
+    df = spark.createDataFrame(leaves, "lab string, tree int, leaf int")
+    with pytest.raises(ValueError):
+        CL.leaf_distances(df, 2)
+    got = {(r.a, r.b): r.distance for r in CL.leaf_pairs(df, 2).collect()}
+    assert got == {(f"l{i}", f"l{j}"): 0.0 if i == j else 0.5 for i in range(2100) for j in (i, i ^ 1)}
+    some = {(r.a, r.b): r.distance for r in CL.leaf_distances(df, 2, ["l0", "l1", "l9"]).collect()}
+    assert len(some) == 9 and some[("l0", "l1")] == 0.5 and some[("l0", "l9")] == 1.0
