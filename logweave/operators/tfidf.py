@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweave.functions.stats import describe_compressed
+from logweave.operators.overlap import common_filter
 
 # Fixed value: the vectorizer's default token pattern (2+ word characters).
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
@@ -46,10 +47,15 @@ def corpus(log: DataFrame, field: str) -> DataFrame:
     return _tf(rows)
 
 
-def corpus_by_batch(blog: DataFrame) -> DataFrame:
-    """K2: doc = n-day batch; tokens = all FileIDs of the batch."""
-    rows = blog.select(F.col("batch_id").cast("string").alias("doc"), "FileID")
-    return _tf(rows)
+def corpus_by_batch(blog: DataFrame, target: dict[str, DataFrame] | None = None, typ: str = "tight") -> DataFrame:
+    """K2: doc = n-day batch; tokens = all FileIDs of the batch, with ``target``
+    (member sets) only of the rows that ``common_filter`` keeps.  A batch that
+    the filter empties is still a document: all have a ``(doc, NULL, 0)`` row then."""
+    doc = F.col("batch_id").cast("string").alias("doc")
+    if target is None:
+        return _tf(blog.select(doc, "FileID"))
+    rows = common_filter(blog, target, typ).select(doc, "FileID")
+    return _tf(rows.unionByName(blog.select(doc).distinct().withColumn("FileID", F.lit(None).cast("string"))))
 
 
 def _tf(rows: DataFrame) -> DataFrame:

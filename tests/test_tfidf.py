@@ -43,3 +43,21 @@ def test_tfidf_summary_matches_dense(spark):
         for k, v in e.items():
             col = f"P_idf" if k == "idf" else f"P_tfidf_{k}"
             assert got[tok][col] == pytest.approx(v, abs=1e-12), (tok, k)
+
+
+def test_corpus_by_batch_of_the_overlap(spark):
+    rows = [(0, "fa", "p1", "c1"), (0, "fb", "p1", "c2"), (0, "fa", "p1", "c1"), (1, "fb", "p2", "c1"), (2, "fc", "p2", "c2")]
+    log = spark.createDataFrame(rows, "batch_id int, FileID string, ProductID string, CustomerID string")
+    target = {
+        "prod_cus": spark.createDataFrame([("p1", "c1"), ("p2", "c2")], "ProductID string, CustomerID string"),
+        "product": spark.createDataFrame([("p1",)], "ProductID string"),
+        "customer": spark.createDataFrame([("c1",)], "CustomerID string"),
+    }
+    empty = {("0", None, 0), ("1", None, 0), ("2", None, 0)}
+    got = lambda *a: {tuple(r) for r in T.corpus_by_batch(log, *a).collect()}
+    assert got(target) == empty | {("0", "fa", 2), ("2", "fc", 1)}
+    assert got(target, "product") == empty | {("0", "fa", 2), ("0", "fb", 1)}
+    assert got() == {("0", "fa", 2), ("0", "fb", 1), ("1", "fb", 1), ("2", "fc", 1)}
+    # Batch 1 is empty but counts: idf of a token of one of three documents.
+    idf = {r.FileID: r.d_idf for r in T.tfidf_summary(T.corpus_by_batch(log, target), "d").collect()}
+    assert idf["fa"] == pytest.approx(np.log(4 / 2) + 1)
