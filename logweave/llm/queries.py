@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import bpe, chat, cotrain, neardup, packing, pii, quality_rules, search, shard, warc
+from logweave.llm import bpe, chat, cotrain, neardup, packing, pii, quality_rules, search, shard, substrings, warc
 from logweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,28 @@ def op9_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by rank and decoded."""
     return bpe.digests(table(spark, sf_dir, "documents"))
+
+
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+@query(
+    f"""
+    WITH d AS (SELECT doc_id, {WORDS} AS w, row_number() OVER () AS k FROM documents),
+    win AS (
+        SELECT k, i, array_to_string(list_slice(w, i, i + 34), ' ') AS s
+        FROM (SELECT k, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+    again AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY s) AS n FROM win) WHERE n > 1),
+    gone AS (SELECT DISTINCT k, unnest(range(i, i + 35)) AS i FROM again),
+    word AS (SELECT k, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+    kept AS (
+        SELECT k, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+        FROM word ANTI JOIN gone USING (k, i) GROUP BY k)
+    SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, cast(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+        sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (k)
+    """
+)
+def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of 35-word windows that occur again."""
+    return substrings.digests(table(spark, sf_dir, "documents"))
