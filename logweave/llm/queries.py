@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import bpe, chat, cotrain, neardup, packing, pii, quality_rules, search, shard, substrings, warc
+from logweave.llm import bpe, chat, cotrain, neardup, packing, pii, quality_rules, runs, search, shard, substrings, warc
 from logweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +182,57 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the words of 35-word windows that occur again."""
     return substrings.digests(table(spark, sf_dir, "documents"))
+
+
+def repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """One document in ten becomes periodic from some word on, by its id's checksum;
+    a null id leaves its words as they are."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * -(-(n - a) // p))[: n - a]
+
+
+# The checksum's table by bits, then byte by byte over the id's digits.
+CRC_TABLE = "list_reduce(list_prepend(b, range(8)), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+CRC = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+    lambda c, x: xor(crc_table[(xor(c, x) & 255) + 1], c >> 8)))"""
+
+
+@query(
+    f"""
+    WITH crc AS (SELECT list({CRC_TABLE} ORDER BY b) AS crc_table FROM range(256) r(b)),
+    d AS (
+        SELECT doc_id, {WORDS} AS w, row_number() OVER () AS k, CASE WHEN doc_id IS NULL THEN 1 ELSE {CRC} END AS h
+        FROM documents, crc),
+    e AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+    f AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM e),
+    word AS (
+        SELECT k, n, i, w[CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END + 1] AS word
+        FROM (SELECT *, unnest(range(n)) AS i FROM f)),
+    pair AS (
+        SELECT x.k, y.i - x.i AS q, x.i FROM word x JOIN word y
+        ON x.k = y.k AND x.word = y.word AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+    stretch AS (
+        SELECT k, q, min(i) AS start, count(*) + q AS length
+        FROM (SELECT k, q, i, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS island FROM pair)
+        GROUP BY k, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+    run AS (SELECT k, start, length, min(q) AS period FROM stretch GROUP BY k, start, length),
+    best AS (
+        SELECT * FROM run QUALIFY row_number() OVER (
+            PARTITION BY k ORDER BY length::DOUBLE / period DESC, start, period) = 1),
+    said AS (SELECT k, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS text FROM run GROUP BY k),
+    gone AS (SELECT DISTINCT k, unnest(range(start + period, start + length)) AS i FROM run),
+    kept AS (SELECT k, string_agg(word, ' ' ORDER BY i) AS text FROM word ANTI JOIN gone USING (k, i) GROUP BY k)
+    SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+        sha256(coalesce(said.text, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+    FROM d LEFT JOIN best USING (k) LEFT JOIN said USING (k) LEFT JOIN kept USING (k)
+    """
+)
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of all documents, some of them made periodic first."""
+    return runs.runs(table(spark, sf_dir, "documents"), change=repeated_tail, finish=runs.as_digests, schema=runs.DIGESTS)
