@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import bpe, chat, cotrain, neardup, packing, pii, quality_rules, runs, search, shard, substrings, warc
+from logweave.llm import bpe, chat, cotrain, neardup, packing, pii, quality_rules, runs, search, shard, substrings, warc, whitening
 from logweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,6 +184,12 @@ def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on the four leading components, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """One document in ten becomes periodic from some word on, by its id's checksum;
     a null id leaves its words as they are."""
