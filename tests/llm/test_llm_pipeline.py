@@ -32,8 +32,8 @@ def test_stages(spark):
     assert {r.doc_id for r in ran.collect()} == set(ids)
 
 
-def test_ten_operators():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+def test_numbered_operators():
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLE) <= set(queries.QUERIES)
 
 
@@ -47,6 +47,6 @@ def test_entry_without_the_subpackage(tmp_path):
     n = run()
     assert n[1:] == ["False", "False"]  # no pipeline module, no llm queries
     shutil.copy(os.path.join(ROOT, "corpus_pipeline.py"), tmp_path)
-    assert run() == [str(int(n[0]) + 11), "True", "True"]
+    assert run() == [str(int(n[0]) + 14), "True", "True"]
     shutil.rmtree(tmp_path / "logweave" / "llm")
     assert run() == n
