@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation
@@ -79,58 +80,74 @@ def sliding_min(x: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (size - width)], x[size - width :]) if size > width else x
 
 
-def chunk_pieces(texts: list[bytes], hot: np.ndarray, window: int) -> tuple[list[bytes], list[tuple[int, int]], list[np.ndarray], np.ndarray, np.ndarray]:
-    """All words of a chunk; its distinct pieces as (first word, words), the words
-    at which each starts, its minimiser, and the hash that chooses its bucket."""
-    words, ends = [], []
-    for t in texts:
-        words += t.split()
-        ends.append(len(words))
-    number: dict[bytes, int] = {}
-    add = number.setdefault
-    own = np.fromiter((add(w, len(number)) for w in words), np.uint32, len(words))
-    n = len(words) - window + 1
-    none = np.empty(0, np.uint64)
-    if n <= 0:
-        return words, [], [], none, none
-    hashed = mix(np.fromiter(map(zlib.crc32, number), np.uint64, len(number)) + ODD[0])[own]
-    least = sliding_min(mix(rolled(hashed, MINIMISER)), window - MINIMISER + 1)
-    starts = np.arange(n)
-    inside = np.asarray(ends)[np.searchsorted(ends, starts, "right")] - starts >= window
-    alone = np.isin(least, hot)
-    first = inside & np.concatenate([[True], ~inside[:-1] | (least[1:] != least[:-1])])
-    begin = np.flatnonzero(first)
-    # Longer pieces are cut after LONGEST windows; those of a hot minimiser after each.
-    stretch = np.cumsum(first) - 1
-    offset = starts - begin[np.maximum(stretch, 0)] if len(begin) else starts
-    first |= inside & (alone | (offset % LONGEST == 0))
-    begin = np.flatnonzero(first)
-    stop = np.concatenate([begin[1:], [n]])
-    last = np.cumsum(np.concatenate([[0], inside]))
-    sizes = last[stop] - last[begin] + window - 1
-    found: dict[bytes, int] = {}
-    pieces: list[tuple[int, int]] = []
-    places: list[list[int]] = []
-    for a, size in zip(begin.tolist(), sizes.tolist(), strict=True):
-        k = found.setdefault(own[a : a + size].tobytes(), len(pieces))
-        if k == len(pieces):
-            pieces.append((a, size))
-            places.append([a])
-        else:
-            places[k].append(a)
-    heads = np.fromiter((a for a, _ in pieces), np.int64, len(pieces))
-    whole = rolled(hashed, window)[heads]
-    return words, pieces, places, least[heads], mix(np.where(alone[heads], whole, least[heads]) + ODD[1])
-
-
-def chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[tuple[int, int, list, list[bytes]]]:
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one after the other, and how many each text has."""
+    texts = pc.ascii_trim_whitespace(texts)
+    texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), None, texts)
+    lists = pc.ascii_split_whitespace(texts)
+    return lists.flatten(), pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def numbers(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Words as numbers, equal ones the same, and the distinct words."""
+    coded = words.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.uint32), coded.dictionary
+
+
+class Chunk:
+    """The distinct pieces of a chunk of texts: ``pieces`` as (first word, words),
+    the words at which each starts (``places``), its minimiser (``least``) and the
+    hash that chooses its bucket (``chosen``)."""
+
+    def __init__(self, texts: pa.Array, hot: np.ndarray, window: int):
+        self.words, counts = split_words(texts)
+        self.pieces, self.places = [], []
+        self.least = self.chosen = np.empty(0, np.uint64)
+        n = len(self.words) - window + 1
+        if n <= 0:
+            return
+        own, distinct = numbers(self.words)
+        hashed = mix(np.fromiter(map(zlib.crc32, distinct.cast(pa.binary()).to_pylist()), np.uint64, len(distinct)) + ODD[0])[own]
+        least = sliding_min(mix(rolled(hashed, MINIMISER)), window - MINIMISER + 1)
+        # A window starts where its text has as many words left.
+        left = np.cumsum(counts)
+        inside = np.repeat(left, counts)[:n] - np.arange(n) >= window
+        alone = np.isin(least, hot) if len(hot) else np.zeros(n, bool)
+        first = inside & np.concatenate([[True], ~inside[:-1] | (least[1:] != least[:-1])])
+        # Longer pieces are cut after LONGEST windows; those of a hot minimiser after each.
+        begin = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+        first |= inside & (alone | ((np.arange(n) - begin) % LONGEST == 0))
+        begin = np.flatnonzero(first)
+        upto = np.cumsum(np.concatenate([[0], inside]))
+        sizes = upto[np.concatenate([begin[1:], [n]])] - upto[begin] + window - 1
+        found: dict[bytes, int] = {}
+        for a, size in zip(begin.tolist(), sizes.tolist(), strict=True):
+            k = found.setdefault(own[a : a + size].tobytes(), len(self.pieces))
+            if k == len(self.pieces):
+                self.pieces.append((a, size))
+                self.places.append([a])
+            else:
+                self.places[k].append(a)
+        heads = np.fromiter((a for a, _ in self.pieces), np.int64, len(self.pieces))
+        self.least = least[heads]
+        whole = rolled(hashed, window)[heads] if alone.any() else self.least
+        self.chosen = mix(np.where(alone[heads], whole, self.least) + ODD[1])
+
+    def joined(self) -> tuple[bytes, list[int]]:
+        """All words joined by one space, and where each begins."""
+        text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(self.words)], pa.int32()), self.words), " ")
+        ends = np.cumsum(pc.binary_length(self.words).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        return text.cast(pa.binary())[0].as_py(), [0, *ends.tolist()]
+
+
+def chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[tuple[int, int, list, pa.Array]]:
     """(chunk, checksum, ids, texts), numbered by the partition of the input."""
     chunk = TaskContext.get().partitionId() << 32
     for b in batches:
-        ids, texts = b.column(0).to_pylist(), list(utf8(b.column(1)))
-        for i, j in spans(map(len, texts), chunk_bytes):
+        ids, texts = b.column(0).to_pylist(), b.column(1)
+        for i, j in spans(pc.binary_length(texts).fill_null(0).to_pylist(), chunk_bytes):
             check = zlib.crc32(repr(ids[i:j]).encode())
-            for t in texts[i:j]:
+            for t in utf8(texts[i:j]):
                 check = zlib.crc32(t, zlib.crc32(b"\0", check))
             yield chunk, check, ids[i:j], texts[i:j]
             chunk += 1
@@ -160,7 +177,7 @@ def hot_minimisers(docs: DataFrame, n_buckets: int, chunk_bytes: int, window: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, _, texts in chunks(batches, chunk_bytes):
-            least, n = np.unique(chunk_pieces(texts, none, window)[3], return_counts=True)
+            least, n = np.unique(Chunk(texts, none, window).least, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(least.view(np.int64)), pa.array(n)], ["minimiser", "n"])
 
     loads = source(docs).mapInArrow(run, LOADS).groupBy("minimiser").agg(F.sum("n").alias("n"))
@@ -180,17 +197,19 @@ def sent(docs: DataFrame, hot: np.ndarray, n_buckets: int, chunk_bytes: int, win
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_ = zstandard.ZstdCompressor(3).compress
         for chunk, check, _, texts in chunks(batches, chunk_bytes):
-            words, pieces, places, _, chosen = chunk_pieces(texts, known.value, window)
-            bucket = (chosen % np.uint64(n_buckets)).astype(np.int64)
+            own = Chunk(texts, known.value, window)
+            text, at = own.joined()
+            bucket = (own.chosen % np.uint64(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             rows = []
-            for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
-                own = own.tolist()
-                text = b" ".join(b" ".join(words[a : a + size]) for a, size in (pieces[k] for k in own))
-                copies = np.fromiter((len(places[k]) for k in own), np.int64, len(own))
-                starts = np.fromiter((a for k in own for a in places[k]), np.int64, int(copies.sum()))
-                sizes = np.fromiter((pieces[k][1] for k in own), np.int64, len(own))
-                rows.append((int(bucket[own[0]]), chunk, check, zip_(text), packed(sizes), packed(copies), packed(starts)))
+            for some in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
+                some = some.tolist()
+                picked = [own.pieces[k] for k in some]
+                copies = np.fromiter((len(own.places[k]) for k in some), np.int64, len(some))
+                starts = np.fromiter((a for k in some for a in own.places[k]), np.int64, int(copies.sum()))
+                sizes = np.fromiter((size for _, size in picked), np.int64, len(some))
+                data = zip_(b"".join(text[at[a] : at[a + size]] for a, size in picked))
+                rows.append((int(bucket[some[0]]), chunk, check, data, packed(sizes), packed(copies), packed(starts)))
             yield batch(PIECES, rows)
 
     return source(docs).mapInArrow(run, PIECES)
@@ -226,15 +245,10 @@ def count_bucket(window: int):
     repeated windows cover."""
 
     def run(rows: pa.Table) -> pa.Table:
-        number: dict[bytes, int] = {}
-        add, unzip = number.setdefault, zstandard.ZstdDecompressor().decompress
-        own, sizes, copies, starts = [], [], [], []
-        for k in range(len(rows)):
-            words = unzip(rows["words"][k].as_py()).split()
-            own.append(np.fromiter((add(w, len(number)) for w in words), np.uint32, len(words)))
-            for kept, name in ((sizes, "sizes"), (copies, "copies"), (starts, "starts")):
-                kept.append(unpacked(rows[name][k].as_py()))
-        flat, size, copy = np.concatenate(own), np.concatenate(sizes), np.concatenate(copies)
+        unzip = zstandard.ZstdDecompressor().decompress
+        flat = numbers(split_words(pa.array([unzip(w.as_py()) for w in rows["words"]], pa.binary()).view(pa.string()))[0])[0]
+        sizes, copies, starts = ([unpacked(k.as_py()) for k in rows[name]] for name in ("sizes", "copies", "starts"))
+        size, copy = np.concatenate(sizes), np.concatenate(copies)
         begin = np.cumsum(size) - size
         piece = np.repeat(np.arange(len(size)), size - window + 1)
         at = np.arange(len(piece)) + (begin - (np.cumsum(size - window + 1) - (size - window + 1)))[piece]
@@ -271,7 +285,7 @@ def kept_texts(docs: DataFrame, chunk_bytes: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, check, ids, texts in chunks(batches, chunk_bytes):
-            yield batch(TEXTS, [(chunk, check, ids, pack_words(texts))])
+            yield batch(TEXTS, [(chunk, check, ids, pack_words(list(utf8(texts))))])
 
     return source(docs).mapInArrow(run, TEXTS)
 
