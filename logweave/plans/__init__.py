@@ -8,6 +8,7 @@ from logweave.plans import (  # noqa: F401
     stream_plans,
     overlap_plans,
     prep_plans,
+    sampling_plans,
     sink_plans,
     tensor_plans,
     tfidf_plans,
