@@ -12,6 +12,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from logweave.llm import bpe, chat, packing, quality_rules
 
 DOCS = "doc_id bigint, text string, bucket string"
@@ -242,3 +244,23 @@ def test_one_length_for_all(spark):
     docs = spark.range(5000).selectExpr("id as doc_id", "'a b' as text")
     out = packing.pack_documents(docs).groupBy("sequence_id").count().collect()
     assert len(out) == -(-5000 * 3 // 2046) and max(r["count"] for r in out) == 2048 // 3
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 1_500_000, "\u3000" * 1_000_000, "a b" * 100_000 + " " * 1_100_000 + "<|endoftext|>x\n \n  y"])
+def test_long_white_space(text):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.encoder(packing.VOCABULARY)(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_pack_long_white_space(spark):
+    docs = spark.createDataFrame([(1, " " * 1_200_000), (2, "x")], "doc_id bigint, text string")
+    got = packing.pack_documents(docs).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("length").alias("most")).collect()
+    assert {r.doc_id: r.n for r in got} == {1: 1_200_001, 2: 2} and max(r.most for r in got) == 2048
+
+
+def test_bpe_decoded_digest(spark):
+    rows = [(i, t) for i, t in enumerate(["", None, "plain words", "  \n\t x", "é 日本 \U0001f600 naïve", "a" * 5000, "1234 <|endoftext|> 5"])]
+    got = {r.doc_id: r.decoded_sha256 for r in bpe.digests(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in rows}
