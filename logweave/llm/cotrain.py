@@ -9,10 +9,15 @@ the same score, held-out labelled documents had that label in ``PRECISION`` of
 all cases; a view that can't reach it teaches nothing.  In the end both views'
 scores are calibrated on held-out labels and combined into one probability.
 
-Bounds (documented, parameters): at most ``MAX_LABELLED`` labelled rows and a
-pool of ``MAX_POOL`` unlabelled ones, drawn by hash over all ids, are used to
-*fit*; everything else runs over all documents: one pass scores them where
-they are read, with no shuffle.  Coefficients (bounded by the hash spaces) and
+Every unlabelled document takes part: in each round both views score all of
+them where they are read, and the confident ones are counted.  What is bounded
+(documented, parameters) are the rows handed to a fit: ``MAX_LABELLED`` labelled
+ones, drawn by hash from the labels of documents that exist, and per round,
+view and label ``MAX_PSEUDO`` pseudo-labelled ones, drawn by a hash of their
+rows from all confident ones, others in each round.
+
+Scale: vectors of all documents are made once and written; rounds read that
+table without a shuffle.  Coefficients (bounded by the hash spaces), counts and
 the held-out scores (bounded by the sample) are what the driver sees.
 """
 
@@ -27,7 +32,7 @@ from pyspark.sql import functions as F
 
 from logweave.llm.common import written
 
-MAX_LABELLED, MAX_POOL = 12_000, 6_000
+MAX_LABELLED, MAX_PSEUDO = 12_000, 2_000
 ROUNDS, PRECISION, HELD_OUT = 2, 0.95, 0.3
 WORDS, SHAPES, SHARES, META = 1 << 12, 1 << 9, 1 << 9, 1 << 8
 #: At most this share of held-out good documents may fall below the threshold.
@@ -73,23 +78,22 @@ def features(docs: DataFrame) -> DataFrame:
     return out.drop("__t", "__w", "__s", "__m", "__c", "__tw", "__ts", "__tc", "__twn", "__tsn")
 
 
-def sample(docs: DataFrame, labels: DataFrame, max_labelled: int, max_pool: int) -> DataFrame:
-    """The rows to fit on: y (null in the pool), part (0 to 1, by hash) and vectors."""
+def prepared(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """The vectors of all rows, written: __row, __id, __y (null if unlabelled or beyond
+    the bound), __part (0 to 1, by hash of the id) and a vector per view."""
     known = (
         labels.where("doc_id is not null and quality in (0, 1)")
         .groupBy(F.col("doc_id").cast("bigint").alias("__id"))
         .agg(F.min("quality").cast("double").alias("__y"))
     )
-    known = known.orderBy(F.xxhash64("__id"), "__id").limit(max_labelled)
-    ids = docs.select(F.col("doc_id").cast("bigint").alias("__id")).where("__id is not null").distinct()
-    pool = ids.join(labels.select(F.col("doc_id").cast("bigint").alias("__id")), "__id", "left_anti")
-    pool = pool.orderBy(F.xxhash64("__id"), "__id").limit(max_pool).withColumn("__y", F.lit(None).cast("double"))
-    drawn = written(known.unionByName(pool), "drawn")
+    # Labels of documents that aren't there don't use up the bound.
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("__id")).distinct()
+    known = known.join(ids, "__id", "left_semi").orderBy(F.xxhash64("__id"), "__id").limit(max_labelled)
     has = [c for c in ("text", "source", "lang", "n_chars") if c in docs.columns]
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("__id"), *has).join(F.broadcast(drawn), "__id")  # bounded
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("__id"), *has).join(F.broadcast(written(known, "known")), "__id", "left")  # bounded
     part = F.pmod(F.xxhash64(F.lit("part"), "__id"), F.lit(1000)) / 1000
     out = features(rows).select("__id", "__y", part.alias("__part"), *(f"__{v}" for v in VIEWS))
-    return out
+    return written(out.withColumn("__row", F.monotonically_increasing_id()), "features")
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -121,55 +125,85 @@ def scored(model, df: DataFrame, name: str) -> DataFrame:
     return out.withColumn(name, vector_to_array("__raw")[1]).drop("__raw")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL, rounds: int = ROUNDS) -> dict | None:
-    """Both views' models and how to combine them; None without labels of both kinds."""
-    rows = written(sample(docs, labels, max_labelled, max_pool), "sample")
-    known = rows.where("__y is not null")
+def sure(view: str, limits: dict[int, float | None]) -> F.Column:
+    """The label that a view is confident of, by its margin; null between the limits."""
+    margin, said = F.col(f"__m_{view}"), F.lit(None).cast("double")
+    for label, limit in limits.items():
+        if limit is not None:
+            said = F.coalesce(said, F.when(margin >= limit if label else margin <= limit, F.lit(float(label))))
+    return said
+
+
+def exchanged(rows: DataFrame, models: dict, limits: dict[str, dict], turn: int, max_pseudo: int) -> tuple[dict, dict]:
+    """One exchange over all unlabelled rows: what each view teaches the other, and
+    how many rows it is confident of by (view, label); (None, "all"): rows scored.
+
+    Rows taught are drawn by a hash of round, view and row: about ``max_pseudo`` of
+    a label, all if there are fewer."""
+    pool = rows.where("__y is null")
+    both = pool
+    for v in VIEWS:
+        both = scored(models[v], both, f"__m_{v}")
+    both = both.select("__row", *[sure(v, limits[v]).alias(f"__s_{v}") for v in VIEWS])
+    counts = both.agg(
+        F.count(F.lit(1)), *[F.count(F.when(F.col(f"__s_{v}") == label, 1)) for v in VIEWS for label in (0, 1)]
+    ).first()
+    known = {(None, "all"): counts[0]} | {(v, label): counts[1 + 2 * i + label] for i, v in enumerate(VIEWS) for label in (0, 1)}
+    taught = {}
+    for v, other in (VIEWS, VIEWS[::-1]):
+        if not known[v, 0] + known[v, 1]:
+            continue
+        draw = F.pmod(F.xxhash64(F.lit(f"{turn} {v}"), "__row"), F.lit(1 << 30)) / float(1 << 30)
+        share = [min(1.0, max_pseudo / max(1, known[v, label])) for label in (0, 1)]
+        some = scored(models[v], pool.where(draw < max(share)), f"__m_{v}").withColumn("__said", sure(v, limits[v]))
+        some = some.where(draw < F.when(F.col("__said") == 1, share[1]).when(F.col("__said") == 0, share[0]))
+        taught[other] = written(some.select(F.col("__said").alias("__y"), f"__{other}"), "taught")
+    return taught, known
+
+
+def fit(rows: DataFrame, rounds: int = ROUNDS, max_pseudo: int = MAX_PSEUDO) -> dict | None:
+    """Both views' models from ``prepared`` rows and how to combine them; None without
+    labels of both kinds."""
+    # One row of each labelled id: an id may have any number of copies.
+    known = written(rows.where("__y is not null").dropDuplicates(["__id"]), "labelled")
     held, train = known.where(F.col("__part") < HELD_OUT), known.where(F.col("__part") >= HELD_OUT)
     for part in (held, train):
         if {r[0] for r in part.select("__y").distinct().collect()} != {0.0, 1.0}:
             return None
-    taught = {v: train.select("__y", f"__{v}") for v in VIEWS}
-    models = {}
+    taught: dict[str, DataFrame] = {}
+    models, seen_in = {}, []
     for turn in range(rounds + 1):
         for v in VIEWS:
+            own = train.select("__y", f"__{v}")
             models[v] = LogisticRegression(
                 featuresCol=f"__{v}", labelCol="__y", regParam=1e-3, maxIter=20, standardization=False
-            ).fit(taught[v].coalesce(4))
-        both = rows
+            ).fit((own.unionByName(taught[v]) if v in taught else own).coalesce(4))
+        tested = held
         for v in VIEWS:
-            both = scored(models[v], both, f"__m_{v}")
-        seen = both.where((F.col("__part") < HELD_OUT) & F.col("__y").isNotNull()).select("__y", "__m_text", "__m_meta").collect()
+            tested = scored(models[v], tested, f"__m_{v}")
+        seen = tested.select("__y", "__m_text", "__m_meta").collect()
         y = np.array([r[0] for r in seen])
         margins = {v: np.array([r[1 + k] for r in seen]) for k, v in enumerate(VIEWS)}
         if turn == rounds:
             break
-        pool = both.where("__y is null")
-        for v, other in (VIEWS, VIEWS[::-1]):
-            said = [(label, confident(margins[v], y, label, PRECISION)) for label in (0, 1)]
-            picked = None
-            for label, limit in said:
-                if limit is not None:
-                    sure = F.col(f"__m_{v}") >= limit if label else F.col(f"__m_{v}") <= limit
-                    picked = F.when(sure, float(label)) if picked is None else picked.when(sure, float(label))
-            if picked is not None:
-                pseudo = pool.select(picked.alias("__y"), f"__{other}").where("__y is not null")
-                taught[other] = train.select("__y", f"__{other}").unionByName(pseudo)
+        limits = {v: {label: confident(margins[v], y, label, PRECISION) for label in (0, 1)} for v in VIEWS}
+        taught, counts = exchanged(rows, models, limits, turn, max_pseudo)
+        seen_in.append(counts)
     platt = {v: logistic(margins[v][:, None], y) for v in VIEWS}
     logits = np.column_stack([margins[v] * platt[v][0] + platt[v][1] for v in VIEWS])
     weights = logistic(logits, y)
     p = 1 / (1 + np.exp(-np.clip(logits @ weights[:2] + weights[2], -30, 30)))
     threshold = min(0.5, float(np.quantile(p[y == 1], GOOD_LOSS)))
-    return {"models": models, "platt": platt, "weights": weights, "threshold": threshold}
+    return {"models": models, "platt": platt, "weights": weights, "threshold": threshold, "exchanges": seen_in}
 
 
-def add_scores(docs: DataFrame, model: dict | None) -> DataFrame:
-    """``docs`` with __p_text, __p_meta, __p (of both) and __kept.  Without a model
-    (no labels of both kinds) probabilities are null and all is kept."""
+def add_scores(vectors: DataFrame, model: dict | None) -> DataFrame:
+    """Rows with the views' vectors, and __p_text, __p_meta, __p (of both) and __kept.
+    Without a model (no labels of both kinds) probabilities are null and all is kept."""
     if model is None:
         none = F.lit(None).cast("double")
-        return docs.withColumns({"__p_text": none, "__p_meta": none, "__p": none, "__kept": F.lit(True)})
-    out = features(docs)
+        return vectors.withColumns({"__p_text": none, "__p_meta": none, "__p": none, "__kept": F.lit(True)})
+    out = vectors
     for v in VIEWS:
         out = scored(model["models"][v], out, f"__m_{v}").drop(f"__{v}")
     logit = {v: F.col(f"__m_{v}") * float(model["platt"][v][0]) + float(model["platt"][v][1]) for v in VIEWS}
@@ -180,23 +214,24 @@ def add_scores(docs: DataFrame, model: dict | None) -> DataFrame:
     return out.withColumn("__kept", F.col("__p") >= model["threshold"]).drop("__m_text", "__m_meta")
 
 
-def score(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, **bounds) -> DataFrame:
     """doc_id, p_text, p_meta, p_good and kept of every row of ``docs``.
 
     Null and empty texts are scored as empty; null ids and repeated rows keep
     their rows; ids with several labels count with the lowest; columns that
     clash with this module's names (``__...``) aren't read.
     """
-    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *[c for c in ("text", "source", "lang", "n_chars") if c in docs.columns])
-    out = add_scores(own, fit(own, labels, **bounds))
-    return out.select("doc_id", F.col("__p_text").alias("p_text"), F.col("__p_meta").alias("p_meta"), F.col("__p").alias("p_good"), F.col("__kept").alias("kept"))
+    rows = prepared(docs, labels, max_labelled)
+    out = add_scores(rows, fit(rows, **bounds))
+    return out.select(F.col("__id").alias("doc_id"), F.col("__p_text").alias("p_text"), F.col("__p_meta").alias("p_meta"), F.col("__p").alias("p_good"), F.col("__kept").alias("kept"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, **bounds) -> DataFrame:
     """The rows of ``docs`` that the combined classifier keeps, columns as they are."""
     has = [c for c in ("text", "source", "lang", "n_chars") if c in docs.columns]
-    model = fit(docs, labels, **bounds)
+    model = fit(prepared(docs, labels, max_labelled), **bounds)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    out = add_scores(docs.select(whole, *has), model)
+    own = docs.select(whole, *has)
+    out = add_scores(features(own) if model else own, model)
     # The id keeps Catalyst from copying the features into the filter, once per use.
     return out.withColumn("__id", F.monotonically_increasing_id()).where("__kept").select("__row.*")

@@ -353,6 +353,45 @@ def test_cotraining(spark):
     assert cotrain.score(docs.limit(0), labels).count() == 0
 
 
+def test_exchange_reads_all_unlabelled(spark):
+    docs, labels = labelled(spark, 600, 500)
+    gone = spark.createDataFrame([(10_000 + i, 1, 0) for i in range(3000)], labels.schema)  # labels of no document
+    rows = cotrain.prepared(docs, labels.unionByName(gone), max_labelled=600).cache()
+    assert rows.where("__y is not null").count() == 600
+    model = cotrain.fit(rows, max_pseudo=40)
+    assert len(model["exchanges"]) == cotrain.ROUNDS and all(e[None, "all"] == 500 for e in model["exchanges"])
+    limits = {"text": {0: -0.5, 1: 0.5}, "meta": {0: None, 1: 0.2}}
+    margins = rows.where("__y is null")
+    for v in cotrain.VIEWS:
+        margins = cotrain.scored(model["models"][v], margins, f"__m_{v}")
+    found = margins.select("__m_text", "__m_meta").collect()
+    taught, counts = cotrain.exchanged(rows, model["models"], limits, 0, 10**6)
+    want = {("text", 0): sum(a <= -0.5 for a, _ in found), ("text", 1): sum(a >= 0.5 for a, _ in found), ("meta", 0): 0, ("meta", 1): sum(b >= 0.2 for _, b in found)}
+    assert {k: n for k, n in counts.items() if k[0]} == want and min(n for k, n in want.items() if k != ("meta", 0)) > 20
+    for v, other in (("text", "meta"), ("meta", "text")):
+        got = Counter(r[0] for r in taught[other].select("__y").collect())
+        assert got == Counter({float(label): want[v, label] for label in (0, 1) if want[v, label]})
+        assert taught[other].columns == ["__y", f"__{other}"]
+    drawn = [cotrain.exchanged(rows, model["models"], limits, turn, 60)[0]["meta"] for turn in (0, 1)]
+    assert all(20 < d.where("__y = 1").count() < 120 for d in drawn)  # about 60, others each round
+    assert {tuple(r[1].indices) for r in drawn[0].collect()} is not None and drawn[0].count() + drawn[1].count() > 100
+    rows.unpersist()
+
+
+def test_cotraining_ties_long_texts_and_a_hot_id(spark):
+    docs, labels = labelled(spark, 200, 50)
+    same = docs.where("doc_id < 40")
+    long = spark.createDataFrame([(7000, "word " * 200_000, "en", "fine", 10**6, "m")], docs.schema)
+    many = docs.unionByName(long)
+    for _ in range(20):
+        many = many.unionByName(same)
+    rows = cotrain.prepared(many, labels, 150)
+    assert rows.count() == 251 + 800 and rows.where("__y is not null").select("__id").distinct().count() == 150
+    out = cotrain.score(many, labels)
+    assert out.count() == 251 + 800
+    assert out.groupBy("doc_id").agg(F.countDistinct("p_good").alias("n")).where("n > 1").count() == 0  # equal rows, equal scores
+
+
 def test_no_labels_keep_all(spark):
     docs, labels = labelled(spark, 20, 0)
     out = cotrain.score(docs, labels.where("quality = 1")).collect()
