@@ -18,7 +18,9 @@ from logweave.plans.metrics_plans import _BINNED_SQL
 from logweave.plans.registry import query
 from logweave.plans.tfidf_plans import corpus_sql
 from logweave.sources.fixtures import log_events, scored_events
+from logweave.sources.log import LOG_DDL
 from logweave.streaming import incremental as I
+from logweave.streaming import stateful as ST
 
 
 @query(
@@ -98,3 +100,53 @@ def stream_binned_auc(spark, d):
     stream = I.read_day_stream(spark, src, "event_id long, score double, label int, QueryTs long")
     I.stream_histogram(stream, base + "/out", base + "/ckpt", AUC_BINS)
     return auc_from_histogram(spark.read.parquet(base + "/out"))
+
+
+@query(
+    "stream_carried_intervals",
+    S.stats_sql(f"({_lag_sql('')})", ["FileID"], "QueryTsInterval", F12, name=lambda s: interval_name(s, "")),
+)
+def stream_carried_intervals(spark, d):
+    """I3 with carried state: a micro-batch reads its own rows only; F12 statistics of
+    the interval counts equal the one-pass feat_interval."""
+    out = I.stream_into(spark, "carried", log_events(spark, d), ST.carried_intervals)
+    value = F.col("QueryTsInterval")
+    comp = ST.read_carried(spark, out).select("FileID", value.cast("double").alias("x"), F.col("n").alias("w"), value.alias("xi"))
+    return describe_compressed(comp, ["FileID"], F12, name=lambda s: interval_name(s, ""))
+
+
+@query("stream_members", f'SELECT DISTINCT "ProductID", "CustomerID" FROM {S.LOG_EVENTS}')
+def stream_members(spark, d):
+    """I4 with bounded state: the member table after all day files."""
+    base = I.scratch(spark, "members")
+    src = I.stage_day_files(log_events(spark, d), f"{base}/in")
+    stream = ST.with_arrival(I.read_day_stream(spark, src, LOG_DDL))
+    ST.stream_members(stream, ["ProductID", "CustomerID"], f"{base}/out", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/out").select("ProductID", "CustomerID")
+
+
+_HOP_SQL = f"""
+SELECT CAST(pane - 86400 * k AS BIGINT) AS window_start, "FileID", count(*) AS n
+FROM (SELECT "FileID", floor("QueryTs" / 86400) * 86400 AS pane FROM {S.LOG_EVENTS}), range(0, 2) t(k)
+GROUP BY ALL
+"""
+
+
+@query("hopping_counts", _HOP_SQL)
+def hopping_counts(spark, d):
+    """I6 batch: events per FileID in 2-day windows every day."""
+    ts = F.timestamp_seconds(F.col("QueryTs"))
+    return (
+        log_events(spark, d)
+        .groupBy(F.window(ts, "2 days", "1 day"), "FileID")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.unix_timestamp(F.col("window.start")).alias("window_start"), "FileID", "n")
+    )
+
+
+@query("stream_hopping_counts", _HOP_SQL)
+def stream_hopping_counts(spark, d):
+    """I6 streaming: the same windows composed of daily facts added per micro-batch."""
+    day = 86400
+    out = I.stream_into(spark, "hopping", log_events(spark, d), lambda s, o, c: I.stream_hopping(s, 2 * day, day, o, c))
+    return I.read_hopping(spark, out, 2 * day, day).select("window_start", "FileID", "n")

@@ -8,10 +8,13 @@ built so that its final table equals the one-pass batch result:
 * I2 facts per (day, FileID) appended per micro-batch (``foreachBatch``,
   idempotent: each epoch overwrites only its own partition);
 * I3 intervals from additive (FileID, second, count) facts, equal to a
-  one-pass ``lag`` whatever the order in which files arrive;
-* I4 growing distinct sets via streaming ``dropDuplicates``;
+  one-pass ``lag`` whatever the order in which files arrive (``stateful``
+  has the twin with carried state, which never reads history);
+* I4 growing distinct sets via streaming ``dropDuplicates`` (``stateful``: with
+  bounded state);
 * I5 growing corpus as additive ``(doc, token, tf)`` facts;
 * I1 tumbling-window counts as additive facts (no late row is lost);
+* I6 hopping windows as additive facts per step, late rows counted;
 * I7 score histogram facts for a binned AUC.
 """
 
@@ -85,6 +88,18 @@ def run(writer, checkpoint: str) -> None:
         raise q.exception()
 
 
+def write_epoch(facts: DataFrame, out: str, epoch: int) -> None:
+    """Facts of one micro-batch under ``epoch=<id>``: a replayed epoch replaces its
+    own output instead of duplicating it (dynamic partition overwrite)."""
+    (
+        facts.withColumn("epoch", F.lit(epoch))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("epoch")
+        .parquet(out)
+    )
+
+
 # ----------------------------------------------------------------------- I2
 def stream_daily_facts(stream: DataFrame, out: str, checkpoint: str) -> None:
     """Rows per (day, FileID), appended per micro-batch.
@@ -95,13 +110,7 @@ def stream_daily_facts(stream: DataFrame, out: str, checkpoint: str) -> None:
 
     def write(batch: DataFrame, epoch: int) -> None:
         facts = batch.groupBy("day", "FileID").agg(F.count(F.lit(1)).alias("FileIDCountDaily"))
-        (
-            facts.withColumn("epoch", F.lit(epoch))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("epoch")
-            .parquet(out)
-        )
+        write_epoch(facts, out, epoch)
 
     run(stream.writeStream.foreachBatch(write), checkpoint)
 
@@ -118,13 +127,7 @@ def stream_intervals(stream: DataFrame, out: str, checkpoint: str) -> None:
 
     def write(batch: DataFrame, epoch: int) -> None:
         facts = batch.select("FileID", "QueryTs").dropna().groupBy("FileID", "QueryTs").agg(F.count(F.lit(1)).alias("n"))
-        (
-            facts.withColumn("epoch", F.lit(epoch))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("epoch")
-            .parquet(out)
-        )
+        write_epoch(facts, out, epoch)
 
     run(stream.writeStream.foreachBatch(write), checkpoint)
 
@@ -157,13 +160,7 @@ def stream_corpus(stream: DataFrame, field: str, out: str, checkpoint: str) -> N
             .groupBy("doc", "token")
             .agg(F.count(F.lit(1)).alias("tf"))
         )
-        (
-            tf.withColumn("epoch", F.lit(epoch))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("epoch")
-            .parquet(out)
-        )
+        write_epoch(tf, out, epoch)
 
     run(stream.writeStream.foreachBatch(write), checkpoint)
 
@@ -182,13 +179,7 @@ def stream_tumbling(stream: DataFrame, days: int, out: str, checkpoint: str) ->
     def write(batch: DataFrame, epoch: int) -> None:
         start = (F.floor(F.col("QueryTs") / width) * width).cast("long")
         facts = batch.groupBy(start.alias("window_start"), "FileID").agg(F.count(F.lit(1)).alias("n"))
-        (
-            facts.withColumn("epoch", F.lit(epoch))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("epoch")
-            .parquet(out)
-        )
+        write_epoch(facts, out, epoch)
 
     run(stream.writeStream.foreachBatch(write), checkpoint)
 
@@ -197,6 +188,42 @@ def read_tumbling(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(out).groupBy("window_start", "FileID").agg(F.sum("n").alias("n"))
 
 
+# ----------------------------------------------------------------------- I6
+def stream_hopping(stream: DataFrame, width: int, step: int, out: str, checkpoint: str, lateness: int = 0) -> None:
+    """Events per FileID in windows of ``width`` seconds every ``step`` (a divisor),
+    as additive facts per step; :func:`read_hopping` composes the windows.
+
+    No row is dropped.  ``late`` counts those that came more than ``lateness``
+    seconds behind the newest event of earlier micro-batches: the windows
+    they changed may have been read before."""
+    if width % step:
+        raise ValueError("the step must divide the width")
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        newest = None
+        if epoch:
+            newest = batch.sparkSession.read.schema(HOPPING_DDL).parquet(out).where(F.col("epoch") < epoch).agg(F.max("last")).first()[0]
+        late = F.lit(0) if newest is None else (F.col("QueryTs") < newest - lateness).cast("int")
+        start = (F.floor(F.col("QueryTs") / step) * step).cast("long")
+        facts = batch.where(F.col("QueryTs").isNotNull()).groupBy("FileID", start.alias("pane"))
+        facts = facts.agg(F.count(F.lit(1)).alias("n"), F.max("QueryTs").alias("last"), F.sum(late).cast("long").alias("late"))
+        write_epoch(facts, out, epoch)
+
+    run(stream.writeStream.foreachBatch(write), checkpoint)
+
+
+HOPPING_DDL = "FileID string, pane long, n long, last long, late long, epoch int"
+
+
+def read_hopping(spark: SparkSession, out: str, width: int, step: int) -> DataFrame:
+    """``(window_start, FileID, n, late)`` of all windows with an event.  A pane adds
+    to ``width / step`` windows; it is summed before it fans out."""
+    panes = spark.read.schema(HOPPING_DDL).parquet(out).groupBy("FileID", "pane").agg(F.sum("n").alias("n"), F.sum("late").alias("late"))
+    starts = F.sequence(F.col("pane") - F.lit(width - step), F.col("pane"), F.lit(step).cast("long"))
+    windows = panes.select("FileID", "n", "late", F.explode(starts).alias("window_start"))
+    return windows.groupBy("window_start", "FileID").agg(F.sum("n").alias("n"), F.sum("late").alias("late"))
+
+
 # ----------------------------------------------------------------------- I7
 def stream_histogram(stream: DataFrame, out: str, checkpoint: str, bins: int = 200) -> None:
     """Per micro-batch score histogram facts ``(bin, pos, neg)``."""
@@ -206,13 +233,7 @@ def stream_histogram(stream: DataFrame, out: str, checkpoint: str, bins: int = 2
         h = batch.groupBy(b.alias("bin")).agg(
             F.sum(F.col("label").cast("long")).alias("pos"), F.sum((1 - F.col("label")).cast("long")).alias("neg")
         )
-        (
-            h.withColumn("epoch", F.lit(epoch))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("epoch")
-            .parquet(out)
-        )
+        write_epoch(h, out, epoch)
 
     run(stream.writeStream.foreachBatch(write), checkpoint)
 
