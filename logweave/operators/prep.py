@@ -266,16 +266,6 @@ def combine_period(df: DataFrame, year: str, month: str, by: str = "m", out: str
     return df.withColumn(name, cp(year, month, by)).drop(year, month)
 
 
-def numeric_columns_probe(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    """String columns whose every non-NULL value parses as a number."""
-    aggs = [
-        F.sum((_q(c).isNotNull() & F.try_cast(_q(c), "double").isNull()).cast("long")).alias(c)
-        for c in cols
-    ]
-    row = df.agg(*aggs).first()
-    return [c for c in cols if (row[c] or 0) == 0]
-
-
 def impute_by_cluster(
     df: DataFrame,
     spec: Mapping[str, object],

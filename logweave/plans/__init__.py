@@ -6,6 +6,7 @@ from logweave.plans import (  # noqa: F401
     metrics_plans,
     ml_plans,
     stream_plans,
+    table_plans,
     overlap_plans,
     prep_plans,
     sampling_plans,
