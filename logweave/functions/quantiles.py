@@ -9,9 +9,11 @@ keep per-task memory bounded:
   -- then a constant-size ``max_by`` (or max + min) per group;
 * quantile q: a Greenwald-Khanna sketch (``percentile_approx``, rank error
   at most n/accuracy) gives values ``lo`` and ``hi`` whose ranks bracket the
-  target rank q(n-1).  Rows below ``lo`` are only counted; only the rows
-  between ``lo`` and ``hi`` (about 8n/accuracy of them) are ranked; groups
-  under accuracy/2 rows are ranked whole.  Linear interpolation as in
+  target rank q(n-1).  Rows below ``lo`` are only counted; the rows between
+  ``lo`` and ``hi`` are counted per value (a shuffle spread by value, so a
+  value that a third of all rows share is one row), and these distinct values
+  (about 8n/accuracy at most) are ranked by running counts; groups under
+  accuracy/2 rows are ranked whole.  Linear interpolation as in
   ``numpy.percentile``.
 
 A call without keys is one global group (constant key, no cross join).
@@ -95,13 +97,15 @@ def group_quantile(
     j = v.join(F.broadcast(sk) if small else sk, k)
     below = j.groupBy(*k).agg(F.sum((F.col("_x") < F.col("_lo")).cast("long")).alias("_below"))
     band = j.where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
-    pos = F.row_number().over(Window.partitionBy(*k).orderBy("_x")) - 1
-    ranked = band.select(*k, "_x", "_r", pos.alias("_pos")).join(below, k)
+    values = band.groupBy(*k, "_x").agg(F.count(F.lit(1)).alias("_c"), F.first("_r").alias("_r"))
+    upto = F.sum("_c").over(Window.partitionBy(*k).orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = values.withColumn("_end", upto).join(below, k)
+    holds = lambda rank: (F.col("_end") - F.col("_c") <= rank) & (rank < F.col("_end"))
     fl = F.floor(F.col("_r")) - F.col("_below")
     ce = F.ceil(F.col("_r")) - F.col("_below")
     picked = ranked.groupBy(*k).agg(
-        F.max(F.when(F.col("_pos") == fl, F.col("_x"))).alias("_a"),
-        F.max(F.when(F.col("_pos") == ce, F.col("_x"))).alias("_c"),
+        F.max(F.when(holds(fl), F.col("_x"))).alias("_a"),
+        F.max(F.when(holds(ce), F.col("_x"))).alias("_c"),
         F.first("_r").alias("_r"),
     )
     frac = F.col("_r") - F.floor(F.col("_r"))

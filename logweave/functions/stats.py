@@ -134,10 +134,18 @@ def describe_compressed(
         aggs.append(nu.alias("_nu"))
     qs = sorted({q for q in (quantile_of(s) for s in stats) if q is not None})
     if qs:
-        # Exact, linear interpolation, weighted by the compressed count.
-        aggs.append(
-            F.expr("percentile(x, array(" + ", ".join(repr(q) for q in qs) + "), w)").alias("_q")
-        )
+        # Exact, linear interpolation, weighted by the compressed count: the values
+        # that hold the two ranks around q (n - 1), by running counts in the same
+        # sorted window (it spills; a percentile buffer would hold every value).
+        ranked = Window.partitionBy(*keys).orderBy("x")
+        whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        comp = comp.withColumn("_end", F.sum(F.coalesce(wn, F.lit(0))).over(ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        comp = comp.withColumn("_all", F.sum(wn).over(whole))
+        for i, q in enumerate(qs):
+            at = F.lit(q) * (F.col("_all") - 1)
+            for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+                here = x.isNotNull() & (F.col("_end") - w <= rank) & (rank < F.col("_end"))
+                aggs.append(F.max(F.when(here, x)).alias(f"_{side}{i}"))
     if need_mu:
         if "xi" in comp.columns:
             # Integer facts, scaled by n: d = n x - s is an exact integer,
@@ -207,7 +215,8 @@ def describe_compressed(
             else:
                 c = F.col("_ad") / n
         else:
-            c = F.col("_q")[qs.index(q)]
+            i, at = qs.index(q), F.lit(q) * (n - 1)
+            c = F.col(f"_lo{i}") + (at - F.floor(at)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))
             if null_poison and s.startswith("percentile_"):
                 # numpy.percentile over data holding NaN returns NaN (-> 0);
                 # pandas' own median skips NaN.
@@ -236,19 +245,6 @@ def describe(
     return describe_compressed(comp, keys, stats, name, null_poison, fill, distinct_rows=zeros is None)
 
 
-def describe_long(
-    facts: DataFrame,
-    key: str,
-    dim: str,
-    value: str,
-    stats: Sequence[str],
-    zeros: DataFrame | None = None,
-    null_poison: bool = False,
-) -> DataFrame:
-    """Stats per ``(key, dim)`` kept long: one row per key and dimension."""
-    return describe(facts, [key, dim], value, stats, zeros=zeros, null_poison=null_poison)
-
-
 def widen(
     long_stats: DataFrame,
     key: str,

@@ -35,6 +35,12 @@ def count_facts(blog: DataFrame, field: str, deep: bool = True) -> DataFrame:
     return blog.groupBy("batch_id", "FileID", *ids).agg(F.count(F.lit(1)).alias(field))
 
 
+def deep_counts(log: DataFrame, field: str) -> DataFrame:
+    """Rows per (FileID, ids) over all batches: the sum of a fact's counts is one
+    count, so neither batches nor a second shuffle are needed."""
+    return log.groupBy("FileID", *COUNT_FIELDS[field]).agg(F.count(F.lit(1)).alias(field))
+
+
 def uniq_facts(blog: DataFrame, field: str) -> DataFrame:
     """Distinct ids (or id pairs) per (batch, FileID)."""
     ids = UNIQ_FIELDS[field]

@@ -1,22 +1,21 @@
 """Feature selection: variance, correlation, standardisation.
 
-Statistics are single aggregate passes with constant-size buffers
-(``var_pop``, ``corr``); only the small per-column / per-pair result
+Statistics are single passes with constant-size buffers; only the small per-column / per-pair result
 reaches the driver, where the (sequential) keep/drop rules run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from logweave.functions.encode import FEATURE_VARIANCE_THRESHOLD
 
-PAIRS_PER_PASS = 500
-
 
 def _q(c: str):
     return F.col(f"`{c}`")
@@ -75,31 +74,77 @@ def variance_filter(
     return df.drop(*drop)
 
 
-def pearson(a: str, b: str):
-    """Pairwise-complete Pearson correlation; NULL (not an ANSI error) when a
-    side is constant.  Built from the stable ``covar_pop`` / ``stddev_pop``
-    aggregates over rows where both values are present."""
-    x, y = _q(a), _q(b)
-    both = x.isNotNull() & y.isNotNull()
-    sx = F.stddev_pop(F.when(both, x))
-    sy = F.stddev_pop(F.when(both, y))
-    return F.try_divide(F.covar_pop(x, y), sx * sy)
+#: Columns of one block; a task holds four sums per pair of columns of a block pair.
+BLOCK_COLUMNS = 128
+
+
+def pair_sums(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
+    """For all pairs (i, j) of columns, over the rows where both are known: n, the sum
+    of i, of i * i and of i * j, as a (4, p, p) array.  One pass.
+
+    Tasks multiply their batches as matrices, by pairs of column blocks; the sums
+    of a block pair are added where they meet, as a stream.  Values are shifted by
+    a value of their column, so large offsets don't cancel."""
+    shift = df.agg(*[F.min(_q(c).cast("double")).alias(str(i)) for i, c in enumerate(cols)]).first()
+    base = np.array([0.0 if v is None else v for v in shift])
+    edges = [(a, min(a + BLOCK_COLUMNS, len(cols))) for a in range(0, len(cols), BLOCK_COLUMNS)]
+    schema = "i int, j int, sums binary"
+
+    def batch(found: dict) -> pa.RecordBatch:
+        keys = list(found)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int32()), pa.array([found[k].tobytes() for k in keys], pa.binary())],
+            ["i", "j", "sums"],
+        )
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict = {}
+        for b in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns]) - base
+            known = ~np.isnan(x)
+            x = np.where(known, x, 0.0)
+            known = known.astype(float)
+            for i, (a, z) in enumerate(edges):
+                for j, (c, e) in enumerate(edges):
+                    own, there = x[:, a:z], known[:, c:e]
+                    sums = np.stack([known[:, a:z].T @ there, own.T @ there, np.square(own).T @ there, own.T @ x[:, c:e]])
+                    found[i, j] = found[i, j] + sums if (i, j) in found else sums
+        yield batch(found)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict = {}
+        for b in batches:
+            for i, j, data in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                sums = np.frombuffer(data)
+                found[i, j] = found[i, j] + sums if (i, j) in found else sums
+        yield batch(found)
+
+    own = df.select(*[_q(c).cast("double").alias(f"_{i}") for i, c in enumerate(cols)])
+    blocks = own.mapInArrow(multiply, schema).repartition(len(edges) ** 2, "i", "j").mapInArrow(add, schema)
+    out = np.zeros((4, len(cols), len(cols)))
+    for r in blocks.collect():  # p * p * 32 bytes
+        (a, z), (c, e) = edges[r.i], edges[r.j]
+        out[:, a:z, c:e] = np.frombuffer(r.sums).reshape(4, z - a, e - c)
+    return out
+
+
+#: Below this share of the mean square a variance is rounding: the column is constant.
+ROUNDING = 1e-13
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(col_i, col_j, corr)`` for i > j (pairwise-complete Pearson).
-
-    Pairs are evaluated ``PAIRS_PER_PASS`` at a time, each pass one
-    aggregate; the result (p(p-1)/2 rows) is unpivoted to long form.
-    """
-    spark = df.sparkSession
-    pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i)]
-    rows = []
-    for k in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[k : k + PAIRS_PER_PASS]
-        r = df.agg(*[pearson(a, b).alias(f"p{n}") for n, (a, b) in enumerate(chunk)]).first()
-        rows += [(a, b, r[f"p{n}"]) for n, (a, b) in enumerate(chunk)]
-    return spark.createDataFrame(rows, "col_i string, col_j string, corr double")
+    """``(col_i, col_j, corr)`` for i > j (pairwise-complete Pearson), all pairs from
+    one pass; NULL if a side is constant.  NaN counts as missing."""
+    n, x, xx, xy = pair_sums(df, cols) if len(cols) > 1 else np.zeros((4, len(cols), len(cols)))
+    with np.errstate(all="ignore"):
+        mean, square = x / n, xx / n
+        var = square - mean**2
+        var = np.where(var > ROUNDING * square, var, 0.0)
+        corr = (xy / n - mean * mean.T) / np.sqrt(var * var.T)
+    rows = [
+        (cols[i], cols[j], float(corr[i, j]) if np.isfinite(corr[i, j]) else None) for i in range(len(cols)) for j in range(i)
+    ]
+    return df.sparkSession.createDataFrame(rows, "col_i string, col_j string, corr double")
 
 
 def low_corr_drop(pairs: DataFrame, threshold: float) -> DataFrame:

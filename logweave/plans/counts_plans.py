@@ -69,7 +69,7 @@ for _field in C.COUNT_FIELDS:
         @query(_FEAT_COUNT[field] + "_deep", feat_sql(count_sql(field, 31), field, deep=True))
         def _deep(spark, d):
             """31-day facts summed per (FileID, ids), then F11 stats."""
-            return C.fact_features(C.count_facts(blog(spark, d, 31), field), field, deep=True)
+            return C.fact_features(C.deep_counts(log_events(spark, d), field), field)
 
     _mk(_field)
 

@@ -81,7 +81,7 @@ def etl_monthly(log: DataFrame, out: str, days: list | None = None) -> list[str]
         ("countProduct", "trend_prod_count_deep"),
         ("countProductCustomer", "trend_prod_cus_count_deep"),
     ):
-        paths.append(_write(C.fact_features(C.count_facts(b, field), field, F11, deep=True), out, name))
+        paths.append(_write(C.fact_features(C.deep_counts(b, field), field, F11), out, name))
     for field, name in (
         ("uniqCustomer", "trend_cus_nuniq_deep"),
         ("uniqProduct", "trend_prod_nuniq_deep"),

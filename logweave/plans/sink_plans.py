@@ -143,7 +143,7 @@ def persist_sets(spark, d):
 def feature_table(spark, d, vari=False, cori=False):
     """K9: the versioned feature table of the reference's assembly step."""
     log = log_events(spark, d)
-    b1, b7, b31 = (assign_batches(log, n) for n in (1, 7, 31))
+    b1, b7 = (assign_batches(log, n) for n in (1, 7))
     hour = C.norm_percentage(C.hour_features(b1))
     week = C.norm_percentage(C.week_features(b7))
     tables = [
@@ -159,7 +159,7 @@ def feature_table(spark, d, vari=False, cori=False):
     ]
     deep = A.assemble(
         [
-            C.fact_features(C.count_facts(b31, f), f, deep=True)
+            C.fact_features(C.deep_counts(log, f), f)
             for f in ("countProduct", "countCustomer", "countProductCustomer")
         ]
     )

@@ -108,14 +108,3 @@ def small_table(df: DataFrame, cap: int = SMALL_TABLE_ROWS) -> tuple[DataFrame,
     if len(rows) <= cap:
         return df.sparkSession.createDataFrame(rows, df.schema), True
     return cut_lineage(df), False
-
-
-def broadcast_if_small(df: DataFrame, cap: int = SMALL_TABLE_ROWS) -> DataFrame:
-    """A lookup table to join against: broadcast when its size (checked in
-    one job) is at most ``cap`` rows, so rows sharing a hot key are never
-    shuffled into one task; otherwise checkpointed for an ordinary join
-    (AQE splits skewed partitions there)."""
-    from pyspark.sql import functions as F
-
-    t, small = small_table(df, cap)
-    return F.broadcast(t) if small else t
