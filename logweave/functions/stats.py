@@ -109,13 +109,11 @@ def describe_compressed(
     x, w = F.col("x"), F.col("w")
     wn = F.when(x.isNotNull(), w)
     need_mu = bool(_MOMENT_STATS & set(stats))
+    # Rows of a key in value order: the window and the aggregate below
+    # share this partitioning, so every float sum is taken in the same
+    # order on every run (results do not depend on arrival order).
+    kw = Window.partitionBy(*keys).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     if need_mu:
-        # Rows of a key in value order: the window and the aggregate below
-        # share this partitioning, so every float sum is taken in the same
-        # order on every run (results do not depend on arrival order).
-        kw = Window.partitionBy(*keys).orderBy("x").rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing
-        )
         comp = comp.withColumn("_mu", F.sum(x * w).over(kw) / F.sum(wn).over(kw))
         exact = "xi" in comp.columns
         if exact:
@@ -133,14 +131,19 @@ def describe_compressed(
         nu = F.count(x) if distinct_rows else F.count_distinct(x)
         aggs.append(nu.alias("_nu"))
     qs = sorted({q for q in (quantile_of(s) for s in stats) if q is not None})
-    if qs:
-        # Exact, linear interpolation, weighted by the compressed count: the values
-        # that hold the two ranks around q (n - 1), by running counts in the same
-        # sorted window (it spills; a percentile buffer would hold every value).
-        ranked = Window.partitionBy(*keys).orderBy("x")
-        whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        comp = comp.withColumn("_end", F.sum(F.coalesce(wn, F.lit(0))).over(ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        comp = comp.withColumn("_all", F.sum(wn).over(whole))
+    whole = "xi" in comp.columns
+    if qs and whole:
+        # Exact, linear interpolation, weighted by the compressed count.  Integer
+        # facts (counts, seconds) have few distinct values per key.
+        aggs.append(F.expr("percentile(x, array(" + ", ".join(repr(q) for q in qs) + "), w)").alias("_q"))
+    elif qs:
+        # Continuous facts: a percentile buffer would hold every value of a key.
+        # Running counts in the sorted window (it spills) find the values that hold
+        # the two ranks around q (n - 1).
+        end = F.sum(F.coalesce(wn, F.lit(0))).over(
+            Window.partitionBy(*keys).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        comp = comp.withColumns({"_end": end, "_all": F.sum(wn).over(kw)})
         for i, q in enumerate(qs):
             at = F.lit(q) * (F.col("_all") - 1)
             for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
@@ -216,7 +219,7 @@ def describe_compressed(
                 c = F.col("_ad") / n
         else:
             i, at = qs.index(q), F.lit(q) * (n - 1)
-            c = F.col(f"_lo{i}") + (at - F.floor(at)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))
+            c = F.col("_q")[i] if whole else F.col(f"_lo{i}") + (at - F.floor(at)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))
             if null_poison and s.startswith("percentile_"):
                 # numpy.percentile over data holding NaN returns NaN (-> 0);
                 # pandas' own median skips NaN.
