@@ -91,6 +91,28 @@ FROM m a JOIN m b ON a.pos = b.pos GROUP BY ALL
 """
 
 
+@query(
+    "leaf_pairs",
+    """
+    WITH v AS (SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS tree FROM embeddings),
+    t AS (SELECT count(DISTINCT tree) AS trees FROM v),
+    l AS (SELECT vec_id // 5 AS lab, tree, floor(v * 4) AS leaf FROM v),
+    c AS (SELECT lab, tree, leaf, count(*) AS c FROM l GROUP BY ALL),
+    n AS (SELECT vec_id // 5 AS lab, count(*) AS n FROM embeddings GROUP BY ALL),
+    s AS (SELECT x.lab AS a, y.lab AS b, sum(x.c * y.c) AS s FROM c x JOIN c y USING (tree, leaf) GROUP BY ALL)
+    SELECT a, b, round(1 - CASE WHEN a = b THEN (s + trees * p.n) / 2 ELSE s END / (trees * p.n * r.n), 6) AS distance
+    FROM s JOIN n p ON p.lab = a JOIN n r ON r.lab = b, t
+    """,
+)
+def leaf_pairs(spark, d):
+    """L4/C9 for any number of labels (groups of five vectors), on leaves cut from all
+    dimensions: the pairs of labels that share a leaf."""
+    rows = embedding_rows(spark, d)
+    trees = len(rows.first().embedding)
+    leaves = rows.select(F.floor(F.col("vec_id") / 5).alias("lab"), F.posexplode("embedding").alias("tree", "v"))
+    return CL.leaf_pairs(leaves.select("lab", "tree", F.floor(F.col("v").cast("double") * 4).alias("leaf")), trees)
+
+
 @query("label_distances", f"SELECT i, j, {S.rnd('d')} AS d FROM ({DIST_SQL})")
 def label_distances(spark, d):
     """Distance fixture: Euclidean distance of per-label mean embeddings."""
@@ -111,7 +133,32 @@ def kmedoids_assign(spark, d):
     return CL.kmedoids_assign(CL.label_distances(embedding_rows(spark, d), "label", "embedding"), MEDOIDS)
 
 
-@query("kmedoids")
+def _medoids_sql(steps=12):
+    """The loop unrolled: assignment to the nearest medoid, then the member with the
+    least mean distance; more steps than the test tables need to settle."""
+    parts = [
+        f"dd AS MATERIALIZED (SELECT i, j, CASE WHEN i = j THEN 0 ELSE d END AS d FROM ({DIST_SQL}))",
+        f"m0 AS (SELECT unnest([{', '.join(map(str, MEDOIDS))}]) AS medoid, unnest(range({len(MEDOIDS)})) AS o)",
+    ]
+    for t in range(steps):
+        parts.append(
+            f"a{t} AS MATERIALIZED (SELECT j AS point, medoid FROM dd JOIN m{t} ON i = medoid QUALIFY row_number() OVER (PARTITION BY j ORDER BY d, o) = 1)"
+        )
+        parts.append(
+            f"c{t} AS (SELECT x.medoid AS ci, j, avg(d) AS m FROM dd JOIN a{t} x ON x.point = i JOIN a{t} y ON y.point = j WHERE x.medoid = y.medoid GROUP BY ALL)"
+        )
+        parts.append(
+            f"m{t + 1} AS MATERIALIZED (SELECT j AS medoid, row_number() OVER (ORDER BY ci) - 1 AS o FROM (SELECT *, row_number() OVER (PARTITION BY ci ORDER BY m, j) AS r FROM c{t}) WHERE r = 1)"
+        )
+    last = f"a{steps - 1}"
+    parts.append(f"b AS (SELECT x.medoid AS ci, y.medoid AS cj, avg(d) AS m FROM dd JOIN {last} x ON x.point = i JOIN {last} y ON y.point = j GROUP BY ALL)")
+    parts.append(
+        "s AS (SELECT cj AS medoid, any_value(m) FILTER (ci = cj) AS a, min(m) FILTER (ci <> cj) AS b FROM b GROUP BY cj)"
+    )
+    return f"WITH {', '.join(parts)} SELECT medoid, point, {S.rnd('(b - a) / greatest(a, b)')} AS silhouette FROM {last} JOIN s USING (medoid)"
+
+
+@query("kmedoids", _medoids_sql())
 def kmedoids(spark, d):
     """K-medoids (k = 3) to convergence, with per-cluster silhouette."""
     dist = CL.label_distances(embedding_rows(spark, d), "label", "embedding")
@@ -210,3 +257,79 @@ def model_roundtrip(spark, d):
     path = scratch(spark, "model")
     MD.save_model(model, path)
     return MD.score(MD.load_pipeline(path), tab.where(F.col("split") == "test"))
+
+
+# ------------------------------------------------- learnable rules, row by row
+RULE = "CAST(floor(value / 50) AS INTEGER) >= 5"
+_RULE_SQL = f"SELECT event_id, CAST({RULE} AS INTEGER) AS said FROM events"
+
+
+def _rule_rows(spark, d):
+    """Events with the class that a rule on one of two features gives them; the
+    features have few values, so trees can cut exactly at the rule."""
+    ev = spark.read.parquet(f"{d}/events.parquet")
+    step = F.floor(F.col("value") / 50).cast("double")
+    rows = ev.select("event_id", step.alias("step"), F.pmod(F.col("user_id"), F.lit(7)).cast("double").alias("noise"))
+    return cut_lineage(CL.as_vector(rows.withColumn("y", (F.col("step") >= 5).cast("int")), ["noise", "step"]))
+
+
+def _said(model, rows):
+    return MD.score(model, rows, key="event_id").select("event_id", (F.col("probability") > 0.5).cast("int").alias("said"))
+
+
+@query("gbt_rule", _RULE_SQL)
+def gbt_rule(spark, d):
+    """Weighted trees learn a rule exactly; the class said for every row."""
+    rows = _rule_rows(spark, d)
+    return _said(MD.gbt(maxIter=5, maxDepth=3).fit(MD.with_weights(rows)), rows)
+
+
+@query("stacking_rule", _RULE_SQL)
+def stacking_rule(spark, d):
+    """M2: the stack learns the rule."""
+    rows = _rule_rows(spark, d)
+    bases = [MD.gbt(weight=None, maxIter=3, maxDepth=2), MD.rf(numTrees=5, maxDepth=3, featureSubsetStrategy="all")]
+    return _said(MD.stacking(rows, bases), rows)
+
+
+@query("model_roundtrip_rule", _RULE_SQL)
+def model_roundtrip_rule(spark, d):
+    """A saved and reloaded pipeline says the same, written and read back."""
+    rows = _rule_rows(spark, d)
+    path = scratch(spark, "rule")
+    MD.save_model(Pipeline(stages=[MD.gbt(weight=None, maxIter=3, maxDepth=2)]).fit(rows), f"{path}/model")
+    _said(MD.load_pipeline(f"{path}/model"), rows).write.mode("overwrite").parquet(f"{path}/said")
+    return spark.read.parquet(f"{path}/said")
+
+
+@query("search_rule", f"SELECT event_id, CAST({RULE} AS INTEGER) AS said, true AS found FROM events WHERE event_id % 5 = 0")
+def search_rule(spark, d):
+    """M3/M4: the search prefers the deeper trees, without which the rule of two
+    features can't be learnt from the noisy one; held-out rows scored."""
+    rows = _rule_rows(spark, d)
+    held = F.col("event_id") % 5 == 0
+    path = scratch(spark, "search-rule")
+    made = lambda depth, lone: MD.gbt(weight=None, maxIter=3, maxDepth=depth, maxBins=32, minInfoGain=lone)
+    found, best = MD.search_refit_score(
+        rows.where(~held), rows.where(held), made, {"depth": [0, 2], "lone": [0.0]}, path, draws=4, key="event_id"
+    )
+    return found.select("event_id", (F.col("probability") > 0.5).cast("int").alias("said"), F.lit(best["depth"] == 2).alias("found"))
+
+
+@query(
+    "gmm_planted",
+    "SELECT CAST(user_id % 3 AS BIGINT) AS planted, count(*) AS n, 1::BIGINT AS clusters, 3::BIGINT AS of FROM events GROUP BY 1",
+)
+def gmm_planted(spark, d):
+    """L1/L2: three far groups of events; of sizes 2 to 4 with every kind of
+    covariance the mixture of least AIC among those of 3 separates them."""
+    from logweave.operators import mixtures as G
+
+    ev = spark.read.parquet(f"{d}/events.parquet")
+    group = F.pmod(F.col("user_id"), F.lit(3))
+    x = F.array(group * 1000 + F.pmod(F.xxhash64("event_id"), F.lit(100)) / 10, F.pmod(F.xxhash64(F.lit(1), "event_id"), F.lit(100)) / 10 - group * 500)
+    rows = cut_lineage(ev.select(group.alias("planted"), x.alias("features")))
+    _, best = G.select_mixture(rows, [3], ("diag", "full"), max_iter=10)
+    found = G.assign(rows, best)
+    total = found.select("prediction").distinct().count()
+    return found.groupBy("planted").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("prediction").alias("clusters")).withColumn("of", F.lit(total).cast("long"))

