@@ -28,8 +28,9 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with pseudonyms for personal numbers and dates."""
-    return pii.pseudonymise(docs)
+    """Documents with pseudonyms for personal numbers and dates, by the key in the
+    session's settings; a session without one gets a key for test tables."""
+    return pii.pseudonymise(docs, pii.session_key(spark, "test tables"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

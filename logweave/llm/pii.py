@@ -20,10 +20,11 @@ where it is read: no shuffle, no Python, memory of one text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEY = "change this key"
+#: The session setting that holds the key: whoever knows it can undo the pseudonyms.
+SETTING = "spark.logweave.pii.key"
 ROUNDS = 8
 
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -183,20 +184,29 @@ def piece(key: str) -> str:
     return f"CASE WHEN length(p) < 7 AND instr(p, '@') = 0 THEN p {cases} {secret} ELSE p END"
 
 
-def pseudonymised(text: str = "text", key: str = KEY) -> Column:
+def pseudonymised(key: str, text: str = "text") -> Column:
     """The pseudonymised text of a string column."""
     found = f"regexp_extract_all({text}, {sql(PIECE)}, 0)"
     return F.expr(f"CASE WHEN {text} RLIKE {sql(ANY)} THEN array_join(transform({found}, p -> {piece(key)}), '') ELSE {text} END")
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """``docs`` with pseudonyms in ``text``; a numeric ``n_chars`` follows the text's
+def session_key(spark: SparkSession, default: str | None = None) -> str:
+    """The key in the session's settings, or the caller's default."""
+    key = spark.conf.get(SETTING, None) or default
+    if not key:
+        raise ValueError(f"no key: set {SETTING}, or pass one")
+    return key
+
+
+def pseudonymise(docs: DataFrame, key: str | None = None) -> DataFrame:
+    """``docs`` with pseudonyms in ``text``, by ``key`` or the one in the session's
+    settings (without either the call fails); a numeric ``n_chars`` follows the text's
     length, all else stays.  Null and empty texts stay; rows are independent, so
     repeated ids, null ids and extra columns are no special case."""
     name = "__new"
     while name in docs.columns:
         name += "_"
-    out = docs.withColumn(name, pseudonymised(key=key))
+    out = docs.withColumn(name, pseudonymised(key or session_key(docs.sparkSession)))
     grown = (F.col("n_chars") + F.length(name) - F.length("text")) if dict(docs.dtypes).get("n_chars") in ("int", "bigint") else None
     columns = []
     for c, kind in docs.dtypes:

@@ -123,8 +123,9 @@ def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents with pseudonyms for personal numbers and dates."""
-    return pii.pseudonymise(table(spark, sf_dir, "documents")).select("doc_id", "text")
+    """All documents with pseudonyms for personal numbers and dates (the session's key,
+    or a fixed one for test tables)."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), pii.session_key(spark, "test tables")).select("doc_id", "text")
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -9,7 +9,8 @@ Scale: a bucket holds about ``bucket_bytes``; their number follows the input.
 The hash covers the id, the text and the row's place in the input, so equal
 rows and hot ids scatter like all others (a retried task reads the same file
 split, hence deals the same places).  Bucket sizes are counted in a pass of its
-own, so texts are shuffled once and written once; pass 2 checks the counts.
+own, so texts are shuffled once and written once; pass 2 checks the counts and a
+checksum of the rows.  Buckets are small, so that tasks get some each.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from logweave.llm.common import work_path, written
 
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
 SEED = 17
 
 
@@ -48,7 +49,7 @@ def shuffle_bucket(seed: int):
 
     def run(key: tuple, rows: pa.Table, bucket: pa.Table) -> pa.Table:
         n, start = bucket["n"][0].as_py(), bucket["start"][0].as_py()
-        if n != len(rows):
+        if n != len(rows) or bucket["check"][0].as_py() != int(np.bitwise_xor.reduce(rows["key"].to_numpy())):
             raise RuntimeError("the input changed between the passes")
         rows = rows.sort_by([("key", "ascending"), ("place", "ascending")])
         order = list(range(n))
@@ -73,7 +74,7 @@ def shard(docs: DataFrame, path: str, n_shards: int = 16, bucket_bytes: int = BU
     total = docs.select(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     n_buckets = max(spark.sparkContext.defaultParallelism, math.ceil(total / bucket_bytes))
     mixed = scatter(docs, n_buckets, seed)
-    sizes = written(mixed.groupBy("bucket").agg(F.count("*").alias("n")), "buckets")
+    sizes = written(mixed.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor("key").alias("check")), "buckets")
     n = sizes.agg(F.sum("n")).first()[0] or 0
     # One row per bucket: where it starts in the global order.
     starts = sizes.withColumn("start", F.sum("n").over(Window.orderBy("bucket")) - F.col("n"))

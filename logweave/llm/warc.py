@@ -3,8 +3,8 @@
 ``write_archives`` stores records as whole-file gzip streams (one member per
 archive, as some crawlers leave them; no record can be read without inflating
 all before it).  ``normalise`` inflates each such stream once, rewrites every
-record as a gzip member of its own and writes a sidecar index (archive,
-record, offset, length).  ``read_records`` then reads any record by seeking.
+record as a gzip member of its own and writes a sidecar index (record, offset,
+length, page, type) beside each archive, and all of them as one table.  ``read_records`` then reads any record by seeking.
 
 Scale: tasks stream.  A writer task holds one Arrow batch of pages, the
 normaliser one inflated window and one record, a reader one record.  Archives
@@ -58,8 +58,9 @@ def base32(hexadecimal):
 def mark_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """page_id, url, html with payload_digest and refers_to: of equal payloads of
     ``least_bytes`` or more, the page with the smallest id is the response and
-    the others (also repeated rows of that id) refer to it; smaller payloads
-    are all responses.  A null id counts as larger than all others.
+    other pages refer to it (repeated rows of that id are responses, too);
+    smaller payloads are all responses.  A null id counts as larger than all
+    others.
     """
     raw = F.coalesce(F.col("html").cast("string"), F.lit(""))
     own = pages.select(
@@ -224,13 +225,15 @@ INDEX = "archive string, record bigint, offset bigint, length bigint, page_id bi
 
 
 def normalise(archives: DataFrame, folder: str) -> DataFrame:
-    """Rewrites each archive with a gzip member per record; returns the sidecar
-    index, which is also written beside the archives (``index`` table)."""
+    """Rewrites each archive with a gzip member per record, with its sidecar index
+    (``.idx``: a line of tab-separated record, offset, length, page, type for
+    each) beside it; returns the indexes of all archives as one table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for source in b.column(0).to_pylist():
-                target = Archive(folder, f"{source.rpartition('/')[2].removesuffix('.warc.gz')}-{uuid.uuid4().hex}.warc.gz")
+                name = f"{source.rpartition('/')[2].removesuffix('.warc.gz')}-{uuid.uuid4().hex}"
+                target = Archive(folder, f"{name}.warc.gz")
                 rows: list[tuple] = []
                 for n, (head, payload) in enumerate(stream_records(source)):
                     gzip = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
@@ -239,6 +242,9 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                     page = fields.get("x-page-id", "")
                     rows.append((target.uri, n, start, target.size - start, int(page) if page else None, fields["warc-type"]))
                 target.close()
+                sidecar = Archive(folder, f"{name}.idx")
+                sidecar.write("".join("\t".join("" if v is None else str(v) for v in r[1:]) + "\n" for r in rows).encode())
+                sidecar.close()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.string() if k in (0, 5) else pa.int64()) for k, c in enumerate(zip(*rows, strict=True))]
                     if rows

@@ -308,17 +308,30 @@ def test_clean_texts_stay(spark):
     assert one(spark, same) == same
 
 
+def test_the_key_comes_from_the_session(spark):
+    docs = spark.createDataFrame([(1, "born 1981-02-03")], "doc_id bigint, text string")
+    with pytest.raises(ValueError):
+        pii.pseudonymise(docs)
+    spark.conf.set(pii.SETTING, "one")
+    try:
+        own = pii.pseudonymise(docs).first().text
+        assert own == pii.pseudonymise(docs, "one").first().text != pii.pseudonymise(docs, "two").first().text
+        assert pii.session_key(spark, "other") == "one"
+    finally:
+        spark.conf.unset(pii.SETTING)
+
+
 def test_dates_are_permuted(spark):
     days = spark.range(73049).select(F.col("id").alias("doc_id"), F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).cast("string").alias("text"))
-    assert pii.pseudonymise(days).agg(F.countDistinct("text"), F.min("text"), F.max("text")).first() == (73049, "1900-01-01", "2099-12-31")
+    assert pii.pseudonymise(days, "k").agg(F.countDistinct("text"), F.min("text"), F.max("text")).first() == (73049, "1900-01-01", "2099-12-31")
 
 
 def test_columns_stay(spark):
     docs = spark.createDataFrame([(None, "ip 10.20.30.40", "a", 14), (1, None, None, 5), (1, "x", "", 1)], "doc_id bigint, text string, __new string, n_chars bigint")
-    out = pii.pseudonymise(docs).collect()
-    assert pii.pseudonymise(docs).columns == docs.columns and [r["__new"] for r in out] == ["a", None, ""]
+    out = pii.pseudonymise(docs, "k").collect()
+    assert pii.pseudonymise(docs, "k").columns == docs.columns and [r["__new"] for r in out] == ["a", None, ""]
     assert out[0].n_chars == len(out[0].text) and out[1].n_chars == 5
-    assert pii.pseudonymise(docs.limit(0)).count() == 0
+    assert pii.pseudonymise(docs.limit(0), "k").count() == 0
 
 
 # classifier

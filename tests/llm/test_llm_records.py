@@ -60,6 +60,12 @@ def test_normaliser_rewrites_members(spark):
         inflate.decompress(raw)
         assert inflate.eof and not inflate.unused_data  # one member: the whole file
     index = warc.normalise(archives, f"{folder}/members").collect()
+    for archive in {r.archive for r in index}:  # the sidecar says the same
+        files, at = warc.opened(archive.removesuffix(".warc.gz") + ".idx")
+        with files.open_input_stream(at) as f:
+            lines = [line.split("\t") for line in f.read().decode().splitlines()]
+        own = [["" if v is None else str(v) for v in r[1:]] for r in sorted((r for r in index if r.archive == archive), key=lambda r: r.record)]
+        assert lines == own
     assert len(index) == df.count()
     for r in index[:20]:
         files, at = warc.opened(r.archive)
