@@ -412,6 +412,36 @@ def test_no_labels_keep_all(spark):
     assert cotrain.keep_good(docs, labels.limit(0)).count() == 20
 
 
+@pytest.mark.parametrize("n", [16, 20, 30, 50, 51, 63, 64, 80])
+def test_every_fifth_word_replaced_is_found(n):
+    """The worst spread of changes at a similarity of 0.8: candidates by shared entries."""
+    rng, found = random.Random(n), 0
+    for _ in range(100):
+        a = [f"w{rng.randrange(5000)}".encode() for _ in range(n)]
+        b = [w if i % 5 else f"x{rng.randrange(10**6)}".encode() for i, w in enumerate(a)]
+        for k, fits in ((neardup.K, n >= neardup.BRIEF[0]), (neardup.BRIEF_K, n < neardup.BRIEF[1])):
+            if fits:
+                (x, xb), (y, yb) = neardup.sketch(a, k), neardup.sketch(b, k)
+                if set(x) & set(y) and sum(p == q for p, q in zip(xb, yb)) >= neardup.AGREE:
+                    found += 1
+                    break
+    assert found >= 90 and all(n2 < neardup.BRIEF[1] for n2 in range(51) if n2 * 4 / 5 < neardup.BRIEF[0])
+
+
+def test_brief_texts_meet_across_the_limits(spark):
+    rng = random.Random(8)
+    rows = []
+    for n in (20, 48, 52, 62, 66):
+        for _ in range(8):
+            a = [f"w{rng.randrange(9000)}" for _ in range(n)]
+            b = [w for i, w in enumerate(a) if i % 6]  # shorter by a sixth
+            rows += [" ".join(a), " ".join(b)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    got = {r.doc_id: r.class_id for r in neardup.classes(docs).collect()}
+    assert sum(got[i + 1] == got[i] == i for i in range(0, len(rows), 2)) >= 0.9 * len(rows) / 2
+    assert len(set(got.values())) >= len(rows) / 2
+
+
 def test_confident_needs_precision():
     margin, y = np.array([3.0, 2, 1, 0, -1, -2] * 20), np.array([1, 1, 1, 0, 0, 0] * 20)
     assert cotrain.confident(margin, y, 1, 0.95) == 1 and cotrain.confident(margin, y, 0, 0.95) == 0
