@@ -22,7 +22,7 @@ from logweave.plans.tensor_plans import sec_sql
 from logweave.session import cut_lineage
 from logweave.sources import sinks as SK
 from logweave.sources.fixtures import ids_events, ids_lineitem, log_events, log_lineitem
-from logweave.sources.log import read_query_log
+from logweave.sources.log import read_feature_table, read_id_list, read_query_log, read_tabular, union_train_test
 from logweave.streaming import incremental as I
 
 
@@ -177,3 +177,62 @@ def feature_table_v7(spark, d):
     return feature_table(spark, d)
 
 
+
+
+_EVENT_COUNTS = f'SELECT "FileID", count(*) AS n, max("QueryTs") AS last FROM {S.LOG_EVENTS} GROUP BY 1'
+
+
+@query("read_feature_table", f"SELECT *, 'csv' AS fmt FROM ({_EVENT_COUNTS}) UNION ALL SELECT *, 'parquet' FROM ({_EVENT_COUNTS})")
+def read_feature_table_query(spark, d):
+    """A feature table written in both formats and read with the table reader."""
+    counts = log_events(spark, d).groupBy("FileID").agg(F.count(F.lit(1)).alias("n"), F.max("QueryTs").alias("last"))
+    out = None
+    for fmt in ("csv", "parquet"):
+        path = I.scratch(spark, f"table-{fmt}")
+        SK.write_features(counts, path, fmt)
+        t = read_feature_table(spark, path, fmt).select("FileID", F.col("n").cast("long"), F.col("last").cast("long"), F.lit(fmt).alias("fmt"))
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+@query(
+    "read_id_lists",
+    f"SELECT \"FileID\", CASE WHEN split = 'train' THEN y END AS y, split FROM {S.IDS_EVENTS} UNION ALL SELECT 'none', NULL, 'empty' WHERE false",
+)
+def read_id_lists(spark, d):
+    """A4/A5: headerless training and testing lists (the latter's second column is
+    ignored), and an empty one, written and read back."""
+    ids = ids_events(spark, d)
+    base, out = I.scratch(spark, "ids"), None
+    for split, rows in (("train", ids.where("split = 'train'")), ("test", ids.where("split = 'test'")), ("empty", ids.limit(0))):
+        rows.select("FileID", "y").write.option("header", False).csv(f"{base}/{split}")
+        t = read_id_list(spark, f"{base}/{split}", split)
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+@query(
+    "read_tabular",
+    "SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 10 < 7 THEN c_acctbal END AS c_acctbal, "
+    "CASE WHEN c_custkey % 10 < 7 THEN 'train' ELSE 'test' END AS split FROM customer",
+)
+def read_tabular_query(spark, d):
+    """Header CSVs of both parts read by schema, the test one without its target,
+    and stacked."""
+    rows = spark.read.parquet(f"{d}/customer.parquet").select("c_custkey", "c_name", "c_nationkey", F.col("c_acctbal").cast("double"))
+    base, ddl = I.scratch(spark, "tabular"), "c_custkey long, c_name string, c_nationkey long"
+    train = F.col("c_custkey") % 10 < 7
+    rows.where(train).write.option("header", True).csv(f"{base}/train")
+    rows.where(~train).drop("c_acctbal").write.option("header", True).csv(f"{base}/test")
+    return union_train_test(read_tabular(spark, f"{base}/train", f"{ddl}, c_acctbal double"), read_tabular(spark, f"{base}/test", ddl))
+
+
+@query(
+    "class_weights",
+    f"SELECT y, count(*) AS n, CASE WHEN y = 1 THEN 8.0 ELSE 1.0 END * count(*) AS weight FROM {S.IDS_EVENTS} GROUP BY y",
+)
+def class_weights(spark, d):
+    """Rows and total weight of each class."""
+    from logweave.operators.models import with_weights
+
+    return with_weights(ids_events(spark, d)).groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("weight"))
