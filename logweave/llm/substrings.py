@@ -36,7 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweave.llm.bpe import pack_words, packed, unpack_words, unpacked
@@ -178,12 +178,14 @@ def hot_minimisers(docs: DataFrame, n_buckets: int, chunk_bytes: int, window: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, _, texts in chunks(batches, chunk_bytes):
             least, n = np.unique(Chunk(texts, none, window).least, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(least.view(np.int64)), pa.array(n)], ["minimiser", "n"])
+            own = pa.array(least.view(np.int64).tolist() + [None], pa.int64())  # null: all pieces of the chunk
+            yield pa.RecordBatch.from_arrays([own, pa.array(np.append(n, n.sum()))], ["minimiser", "n"])
 
     loads = source(docs).mapInArrow(run, LOADS).groupBy("minimiser").agg(F.sum("n").alias("n"))
-    seen = Observation()
-    many = written(loads.observe(seen, F.sum("n").alias("total")).where(F.col("n") >= FEW), "minimisers")
-    mean = (seen.get["total"] or 0) / n_buckets
+    many = written(loads.where((F.col("n") >= FEW) | F.col("minimiser").isNull()), "minimisers")
+    total = many.where("minimiser is null").first()
+    mean = (total.n if total else 0) / n_buckets
+    many = many.where("minimiser is not null")
     return np.sort(np.array([r.minimiser for r in many.where(F.col("n") > mean).collect()], np.int64).view(np.uint64))
 
 
