@@ -14,7 +14,7 @@ def spark():
         "logweave-tests",
         master="local[4]",
         shuffle_partitions=4,
-        extra={"spark.sql.adaptive.coalescePartitions.enabled": "true"},
+        extra={"spark.sql.adaptive.coalescePartitions.enabled": "true", "spark.driver.memory": "4g"},
     )
     yield s
     s.stop()
