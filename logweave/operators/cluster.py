@@ -6,6 +6,8 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -102,13 +104,88 @@ def _sizes(c: DataFrame, trees: int) -> DataFrame:
     return cut_lineage(c.groupBy("lab").agg((F.sum("c") / trees).cast("long").alias("n")))
 
 
+# Labels of a tile: a task holds one tile's counts against another's.
+TILE_LABELS = 1024
+
+
+def _shared(one: tuple, two: tuple) -> np.ndarray:
+    """Rows sharing a leaf, of every label of one tile with every label of another:
+    the sum over leaves of the products of their counts.  Leaves are given as
+    (row, leaf, count); those of many labels are multiplied as matrices, the others
+    pair by pair."""
+    (ra, la, ca, na), (rb, lb, cb, nb) = one, two
+    both = np.intersect1d(la, lb)
+    (ra, la, ca), (rb, lb, cb) = ((r[m], np.searchsorted(both, l[m]), c[m]) for r, l, c, m in ((ra, la, ca, np.isin(la, both)), (rb, lb, cb, np.isin(lb, both))))
+    out = np.zeros((na, nb), np.int64)
+    ka, kb = np.bincount(la, minlength=len(both)), np.bincount(lb, minlength=len(both))
+    crowded = ka * kb * 16 >= na * nb
+    at = np.flatnonzero(crowded)
+    most = int(ca.max(initial=0)) * int(cb.max(initial=0)) * max(1, len(at))
+    kind = np.float64 if most < 2**53 else np.int64  # products of floats are exact below
+    for k in range(0, len(at), 512):
+        some = at[k : k + 512]
+        a, b = np.zeros((na, len(some)), kind), np.zeros((nb, len(some)), kind)
+        for m, r, l, c in ((a, ra, la, ca), (b, rb, lb, cb)):
+            own = np.isin(l, some)
+            m[r[own], np.searchsorted(some, l[own])] = c[own]
+        out += (a @ b.T).astype(np.int64)
+    own = ~crowded[lb]
+    order = np.argsort(lb[own], kind="stable")
+    rb, cb, lb = rb[own][order], cb[own][order], lb[own][order]
+    start, size = np.searchsorted(lb, np.arange(len(both))), np.where(crowded, 0, kb)
+    own = np.flatnonzero(~crowded[la])
+    for k in range(0, len(own), 4096):
+        some = own[k : k + 4096]
+        many = size[la[some]]
+        left = np.repeat(some, many)
+        right = np.arange(len(left)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(start[la[some]], many)
+        np.add.at(out, (ra[left], rb[right]), ca[left] * cb[right])
+    return out
+
+
 def _near(c: DataFrame, n: DataFrame, trees: int) -> DataFrame:
-    a = c.select("tree", "leaf", F.col("lab").alias("a"), F.col("c").alias("ca"))
-    b = c.select("tree", "leaf", F.col("lab").alias("b"), F.col("c").alias("cb"))
-    same = a.join(b, ["tree", "leaf"]).groupBy("a", "b").agg(F.sum(F.col("ca") * F.col("cb")).alias("_s"))
-    na = n.select(F.col("lab").alias("a"), F.col("n").alias("na"))
-    nb = n.select(F.col("lab").alias("b"), F.col("n").alias("nb"))
-    s = same.join(na, "a").join(nb, "b")
+    """Labels are dealt into tiles, and every pair of tiles is a product of their counts
+    per leaf in one task: what is shuffled is one row per label and tile, and the pairs of
+    labels, which can be most of all, are the output only."""
+    tiles = -(-n.count() // TILE_LABELS) or 1
+    c = c.where("tree is not null and leaf is not null and lab is not null")
+    numbers = cut_lineage(c.select("tree", "leaf").distinct().withColumn("_leaf", F.monotonically_increasing_id()))
+    rows = c.join(numbers, ["tree", "leaf"]).groupBy("lab").agg(F.collect_list(F.struct("_leaf", "c")).alias("_l"))
+    tile = F.pmod(F.xxhash64("lab"), F.lit(tiles)).cast("int")
+    rows = cut_lineage(rows.join(n, "lab").select("lab", "n", F.col("_l._leaf").alias("leaves"), F.col("_l.c").alias("counts"), tile.alias("_t")))
+    other = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("_o")
+    parts = min(tiles * (tiles + 1) // 2, int(c.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sides = []
+    for i, j, upper in (("_t", "_o", "_t <= _o"), ("_o", "_t", "_o <= _t")):
+        # Columns of its own: both sides come from one table.
+        own = [F.col(x).alias(y) for x, y in ((i, "_i"), (j, "_j"), *[(x, x) for x in ("lab", "n", "leaves", "counts")])]
+        side = rows.select("*", other).where(upper).select(*own)
+        sides.append(side.repartition(parts, "_i", "_j").groupBy("_i", "_j"))
+
+    def unpacked(t: pa.Table) -> tuple:
+        leaves, counts = (t.column(x).combine_chunks() for x in ("leaves", "counts"))
+        row = np.repeat(np.arange(len(t)), leaves.value_lengths().to_numpy(zero_copy_only=False))
+        return row, leaves.flatten().to_numpy(), counts.flatten().to_numpy(), len(t)
+
+    def run(one: pa.Table, two: pa.Table) -> pa.Table:
+        names, out = ["a", "b", "_s", "na", "nb"], []
+        if len(one) and len(two):
+            s = _shared(unpacked(one), unpacked(two))
+            labels = [t.column("lab").combine_chunks() for t in (one, two)]
+            sizes = [t.column("n").combine_chunks() for t in (one, two)]
+            mirrored = one.column("_i")[0].as_py() != one.column("_j")[0].as_py()
+            for k in range(0, len(one), 64):
+                x, y = np.nonzero(s[k : k + 64])
+                sums, x, y = pa.array(s[k + x, y]), pa.array(k + x), pa.array(y)
+                a, b, na, nb = labels[0].take(x), labels[1].take(y), sizes[0].take(x), sizes[1].take(y)
+                out.append(pa.table([a, b, sums, na, nb], names))
+                if mirrored:
+                    out.append(pa.table([b, a, sums, nb, na], names))
+        kind = one.schema.field("lab").type
+        return pa.concat_tables(out) if out else pa.schema([("a", kind), ("b", kind), *[(x, pa.int64()) for x in names[2:]]]).empty_table()
+
+    kind = n.schema["lab"].dataType.simpleString()
+    s = sides[0].cogroup(sides[1]).applyInArrow(run, f"a {kind}, b {kind}, _s bigint, na bigint, nb bigint")
     num = F.when(F.col("a") == F.col("b"), (F.col("_s") + trees * F.col("na")) / 2).otherwise(F.col("_s"))
     return s.select("a", "b", (1 - num / (trees * F.col("na") * F.col("nb"))).alias("distance"))
 
@@ -120,7 +197,7 @@ def leaf_distances(leaves: DataFrame, trees: int, labels: Sequence | None = None
         1 - (rows of labels a and b sharing a leaf) / (trees * n_a * n_b);
 
     labels that never share a leaf are at distance 1.  The same-leaf count is
-    an equi-join of per-(tree, leaf, label) counts, not a row-pair loop.  For
+    a product of tiles of per-(tree, leaf, label) counts, not a row-pair loop.  For
     a = b ordered pairs i >= j count, i.e. (sum c^2 + trees n) / 2.
 
     The dense matrix is made for the ``labels`` that the caller lists, or for all

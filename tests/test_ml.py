@@ -71,3 +71,27 @@ def test_leaf_pairs_of_many_labels(spark):
     assert got == {(f"l{i}", f"l{j}"): 0.0 if i == j else 0.5 for i in range(2100) for j in (i, i ^ 1)}
     some = {(r.a, r.b): r.distance for r in CL.leaf_distances(df, 2, ["l0", "l1", "l9"]).collect()}
     assert len(some) == 9 and some[("l0", "l1")] == 0.5 and some[("l0", "l9")] == 1.0
+
+
+def test_leaf_pairs_of_many_tiles(spark, monkeypatch):
+    monkeypatch.setattr(CL, "TILE_LABELS", 8)
+    rng = np.random.default_rng(4)
+    rows = [(f"l{rng.integers(50)}", tree, int(rng.integers(2 if tree % 2 else 40))) for _ in range(300) for tree in range(4)]
+    rows += [("l1", 0, None), (None, 0, 1)]
+    leaves = spark.createDataFrame(rows, "lab string, tree int, leaf int")
+    out = CL.leaf_pairs(leaves, 4)
+    # Pairs of labels aren't summed over the shuffle, which held one row per pair and leaf.
+    assert "keys=[a#" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {(r.a, r.b): r.distance for r in out.collect()}
+    count = {}
+    for lab, tree, leaf in rows:
+        if lab is not None:
+            count.setdefault(lab, {}).setdefault((tree, leaf), 0)
+            count[lab][tree, leaf] += 1
+    size, want = {lab: sum(c.values()) // 4 for lab, c in count.items()}, {}
+    for a in count:
+        for b in count:
+            s = sum(k * count[b].get(leaf, 0) for leaf, k in count[a].items() if leaf[1] is not None)
+            if s:
+                want[a, b] = 1 - ((s + 4 * size[a]) / 2 if a == b else s) / (4 * size[a] * size[b])
+    assert len(got) == len(out.collect()) and got == want
