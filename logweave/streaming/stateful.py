@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -39,48 +40,97 @@ def with_rocksdb(spark: SparkSession, start) -> None:
 
 
 # ----------------------------------------------------------------------- I3
+def changes_of_files(known: tuple, trimmed: np.ndarray, events: tuple, keep: int) -> tuple[tuple, np.ndarray, tuple, np.ndarray]:
+    """What new events change in the intervals of some files, numbered from 0.
+
+    ``known`` are their seconds so far as (file, second), sorted and distinct; only
+    the latest where ``trimmed``.  ``events`` are the new ones as (file, second, count).
+    Returns the counts to add as (file, interval, count): an event between two known
+    seconds takes their interval back and adds two; events too late to be placed, per
+    file; and the new state: the seconds of the last ``keep`` and the one before."""
+    files = len(trimmed)
+    kf, ks = known
+    ef, es, ec = events
+    first = np.full(files, np.iinfo(np.int64).min)
+    starts = np.flatnonzero(np.diff(kf, prepend=-1))
+    first[kf[starts]] = np.where(trimmed[kf[starts]], ks[starts], first[kf[starts]])
+    late = es < first[ef]
+    too_late = np.bincount(ef[late], ec[late], files).astype(np.int64)
+    ef, es, ec = ef[~late], es[~late], ec[~late]
+    mf, ms = np.concatenate([kf, ef]), np.concatenate([ks, es])
+    order = np.lexsort((ms, mf))
+    mf, ms = mf[order], ms[order]
+    new = np.ones(len(mf), bool)
+    new[1:] = (mf[1:] != mf[:-1]) | (ms[1:] != ms[:-1])
+    mf, ms = mf[new], ms[new]
+    fresh = np.bincount(mf, minlength=files) - np.bincount(kf, minlength=files)
+    repeats = np.bincount(ef, ec, files).astype(np.int64) - fresh  # events in a second that has one already
+    parts = [(np.arange(files), np.zeros(files, np.int64), repeats)]
+    for sign, f, at in ((1, mf, ms), (-1, kf, ks)):
+        same = f[1:] == f[:-1]
+        parts.append((f[1:][same], np.diff(at)[same], np.full(same.sum(), sign)))
+    f, v, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((v, f))
+    f, v, n = f[order], v[order], n[order]
+    at = np.flatnonzero((np.diff(f, prepend=-1) != 0) | (np.diff(v, prepend=-1) != 0))
+    f, v, n = f[at], v[at], np.add.reduceat(n, at) if len(at) else n
+    last = np.zeros(files, np.int64)
+    last[mf] = ms  # of equal files the last one counts: the greatest second
+    stays = ms >= last[mf] - keep
+    stays[:-1] |= stays[1:] & (mf[1:] == mf[:-1])
+    cut = np.bincount(mf[~stays], minlength=files) > 0
+    return (f[n != 0], v[n != 0], n[n != 0]), too_late, (mf[stays], ms[stays]), trimmed | cut
+
+
 def interval_changes(known: np.ndarray, trimmed: bool, seconds: np.ndarray, counts: np.ndarray, keep: int) -> tuple[dict[int, int], int, np.ndarray, bool]:
-    """What new events change in a file's intervals.
-
-    ``known`` are its seconds so far (sorted, distinct; only the latest if
-    ``trimmed``), ``seconds`` and ``counts`` the new events.  Returns the counts
-    to add per interval (an event between two known seconds takes their interval
-    back and adds two), events too late to be placed, and the new state: the
-    seconds of the last ``keep`` and the one before."""
-    late = (seconds < known[0]) if trimmed and len(known) else np.zeros(len(seconds), bool)
-    too_late, seconds, counts = int(counts[late].sum()), seconds[~late], counts[~late]
-    fresh = ~np.isin(seconds, known)
-    merged = np.union1d(known, seconds)
-    change: dict[int, int] = {}
-    for sign, at in ((1, merged), (-1, known)):
-        values, n = np.unique(np.diff(at), return_counts=True)
-        for v, k in zip(values.tolist(), n.tolist(), strict=True):
-            change[v] = change.get(v, 0) + sign * k
-    repeats = int(counts.sum() - fresh.sum())  # events in a second that has one already
-    if repeats:
-        change[0] = change.get(0, 0) + repeats
-    cut = max(0, int(np.searchsorted(merged, merged[-1] - keep)) - 1) if len(merged) else 0
-    return {v: k for v, k in change.items() if k}, too_late, merged[cut:], trimmed or cut > 0
+    """``changes_of_files`` for one file: the counts to add per interval, events too
+    late to be placed, the seconds that stay and whether some were cut."""
+    zeros = lambda x: np.zeros(len(x), np.int64)
+    (_, v, n), late, (_, left), cut = changes_of_files((zeros(known), known), np.array([trimmed]), (zeros(seconds), seconds, counts), keep)
+    return dict(zip(v.tolist(), n.tolist(), strict=True)), int(late[0]), left, bool(cut[0])
+
+
+#: Files are dealt into so many groups by their hash: a micro-batch calls Python once per
+#: group, not per file, and a group's files are worked on together.
+FILE_GROUPS = 64
+STATE = pa.schema([("FileID", pa.string()), ("trimmed", pa.bool_()), ("seconds", pa.list_(pa.int64()))])
 
 
 class IntervalState(StatefulProcessor):
-    """Carries a file's latest seconds; gives changes of its interval counts."""
+    """Carries the latest seconds of a group of files; gives changes of their interval
+    counts."""
 
     def __init__(self, keep: int):
         self.keep = keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("seconds", "seconds array<bigint>, trimmed boolean")
+        self.state = handle.getValueState("seconds", "files binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        new = pd.concat(list(rows)).groupby("QueryTs")["n"].sum()
-        seconds, trimmed = self.state.get() if self.state.exists() else ([], False)
-        change, late, left, trimmed = interval_changes(
-            np.array(seconds, np.int64), trimmed, new.index.to_numpy(np.int64), new.to_numpy(np.int64), self.keep
-        )
-        self.state.update((left.tolist(), trimmed))
-        out = [(key[0], v, k, 0) for v, k in change.items()] + [(key[0], None, 0, late)] * (late > 0)
-        yield pd.DataFrame(out, columns=["FileID", "QueryTsInterval", "n", "late"]).astype({"QueryTsInterval": "Int64"})
+        new = pd.concat(list(rows)).groupby(["FileID", "QueryTs"], as_index=False)["n"].sum()
+        code, names = pd.factorize(new["FileID"])
+        before = pa.ipc.open_stream(bytes(self.state.get()[0])).read_all() if self.state.exists() else STATE.empty_table()
+        before = before.combine_chunks()
+        # Files with new events take part, the others' state stays as it is.
+        place = pd.Index(names).get_indexer(before["FileID"].to_pylist())
+        hit = place >= 0
+        own, place = before.filter(pa.array(hit)), place[hit]
+        trimmed = np.zeros(len(names), bool)
+        trimmed[place] = own["trimmed"].to_numpy()
+        lists = own["seconds"].combine_chunks()
+        file, second = np.repeat(place, lists.value_lengths().to_numpy(zero_copy_only=False)), lists.flatten().to_numpy()
+        order = np.argsort(file, kind="stable")
+        events = (code, new["QueryTs"].to_numpy(np.int64), new["n"].to_numpy(np.int64))
+        (f, v, n), late, (file, second), trimmed = changes_of_files((file[order], second[order]), trimmed, events, self.keep)
+        ends = np.searchsorted(file, np.arange(len(names) + 1)).astype(np.int32)
+        after = pa.table([pa.array(names, pa.string()), pa.array(trimmed), pa.ListArray.from_arrays(pa.array(ends), pa.array(second))], schema=STATE)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, STATE) as out:
+            out.write_table(pa.concat_tables([before.filter(pa.array(~hit)), after]))
+        self.state.update((sink.getvalue().to_pybytes(),))
+        behind = np.flatnonzero(late)
+        facts = {"FileID": np.concatenate([names[f], names[behind]]), "QueryTsInterval": pd.array([*v.tolist(), *[None] * len(behind)], "Int64")}
+        yield pd.DataFrame(facts | {"n": np.concatenate([n, 0 * behind]), "late": np.concatenate([0 * n, late[behind]])})
 
     def close(self) -> None:
         pass
@@ -108,7 +158,8 @@ def carried_intervals(stream: DataFrame, out: str, checkpoint: str, keep: int =
 
     def start() -> None:
         facts = stream.select("FileID", "QueryTs").mapInPandas(seconds_of_batches, "FileID string, QueryTs bigint, n bigint")
-        changes = facts.groupBy("FileID").transformWithStateInPandas(
+        group = F.pmod(F.xxhash64("FileID"), F.lit(FILE_GROUPS)).cast("int")
+        changes = facts.withColumn("group", group).groupBy("group").transformWithStateInPandas(
             statefulProcessor=IntervalState(keep), outputStructType=CHANGES, outputMode="Append", timeMode="None"
         )
 

@@ -54,6 +54,29 @@ def test_interval_changes_forget_what_is_old():
     assert change == {} and lost == 7 and after.tolist() == known.tolist()
 
 
+def test_files_of_a_group_are_worked_on_together():
+    rng = random.Random(5)
+    events = [(rng.randrange(6), rng.randrange(4000)) for _ in range(900)]
+    events.sort(key=lambda e: e[1] // 400)
+    known, trimmed, total = (np.empty(0, np.int64), np.empty(0, np.int64)), np.zeros(6, bool), Counter()
+    single = [(np.empty(0, np.int64), False) for _ in range(6)]
+    for at in range(0, 900, 60):
+        part = Counter(events[at : at + 60] + [(2, 1)] * (at == 840))
+        f, s, c = (np.array(x, np.int64) for x in zip(*[(*k, n) for k, n in sorted(part.items())]))
+        (cf, cv, cn), late, known, trimmed = ST.changes_of_files(known, trimmed, (f, s, c), 900)
+        got = {(a, b): n for a, b, n in zip(cf.tolist(), cv.tolist(), cn.tolist())}
+        want = {}
+        for i in range(6):
+            own = f == i
+            change, lost, *single[i] = ST.interval_changes(*single[i], s[own], c[own], 900)
+            want |= {(i, v): n for v, n in change.items()}
+            assert lost == late[i] and single[i][0].tolist() == known[1][known[0] == i].tolist() and single[i][1] == trimmed[i]
+        assert got == want
+        total.update(got)
+    want = Counter((i, v) for i in range(6) for v, n in lag_counts([t for k, t in events if k == i]).items() for _ in range(n))
+    assert trimmed.all() and {k: n for k, n in total.items() if n} == dict(want)
+
+
 def write_part(spark, rows, folder, day, mtime):
     spark.createDataFrame(rows, LOG_DDL).coalesce(1).write.csv(f"{folder}/part{mtime}")
     os.makedirs(f"{folder}/in/day={day}", exist_ok=True)
