@@ -8,12 +8,14 @@
 3. Inside its own block every node finds an upper bound of its k-th distance.
    By the triangle inequality only rings that this bound reaches can hold a
    neighbour: those pairs of blocks are visited, and no others.
-4. Each visited pair gives at most k + 1 candidates per node; ranks merge them.
+4. Neighbouring blocks form tiles: a task holds a tile, reads each block that any of
+   its blocks visits once, and keeps the k + 1 best candidates per node (and ties).
 
 Work follows the pairs of blocks that bounds can't exclude: few in data with
 structure, all of them (in blocks) where distances hardly differ.  Matrix
 products screen; distances are taken from differences, so they are exact to
-rounding.  Vectors move as packed blocks.  The driver and the tasks hold the
+rounding.  Vectors move as packed blocks, in single precision where that is exact; each block
+moves to as many tiles as there are, whose number is fixed up to ``TILE_BLOCKS`` each.  The driver and the tasks hold the
 pivots and one line per block (28 bytes for ``BLOCK_ROWS`` vectors).
 """
 
@@ -32,6 +34,8 @@ from logweave.operators.ranks import fraction, hash_ranks, seeded
 from logweave.session import cut_lineage
 
 BLOCK_ROWS = 1024
+#: Blocks of a tile (at most), and tiles that keep a cluster's cores busy.
+TILE_BLOCKS, TILES = 256, 24
 #: Pivots: the square root of the number of vectors, this many at most.
 MAX_PIVOTS = 2048
 #: Bounds give way by this much, for rounding.
@@ -90,16 +94,24 @@ def _pack(rows: int):
             for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(b)], strict=True):
                 for i in range(a, z, rows):
                     own = slice(i, min(i + rows, z))
-                    out.append((block, int(cell[i]), far[own].min(), far[own].max(), node[own].tobytes(), copies[own].tobytes(), x[own].tobytes()))
+                    out.append((block, int(cell[i]), far[own].min(), far[own].max(), node[own].tobytes(), copies[own].tobytes(), _packed(x[own])))
                     block += 1
             yield _batch(out, BLOCK, BLOCK_TYPES)
 
     return run
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """A byte for the precision, then the vectors: as floats if none of them changes."""
+    with np.errstate(over="ignore"):
+        single = x.astype(np.float32)
+    return b"4" + single.tobytes() if (single == x).all() else b"8" + x.tobytes()
+
+
 def _unpack(nodes: pa.Scalar, copies: pa.Scalar, vectors: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = np.frombuffer(nodes.as_py(), np.int64)
-    return n, np.frombuffer(copies.as_py(), np.int64), np.frombuffer(vectors.as_py()).reshape(len(n), -1)
+    n, data = np.frombuffer(nodes.as_py(), np.int64), vectors.as_py()
+    x = np.frombuffer(data, np.float32 if data[:1] == b"4" else np.float64, offset=1)
+    return n, np.frombuffer(copies.as_py(), np.int64), x.astype(float).reshape(len(n), -1)
 
 
 def _reach(x: np.ndarray, copies: np.ndarray, need: int) -> np.ndarray:
@@ -115,7 +127,7 @@ def _reach(x: np.ndarray, copies: np.ndarray, need: int) -> np.ndarray:
     return np.take_along_axis(np.take_along_axis(d, near, 1), enough[:, None], 1)[:, 0]
 
 
-PAIR = "block bigint, other bigint, bounds binary"
+PAIR = "block bigint, other bigint"
 
 
 def _visits(directory: tuple[np.ndarray, ...], pivots: np.ndarray, need: int):
@@ -133,9 +145,8 @@ def _visits(directory: tuple[np.ndarray, ...], pivots: np.ndarray, need: int):
                 for own in range(0, len(x), 64):  # some nodes against all rings at a time
                     far, reach = to_pivot[own : own + 64][:, cells], bound[own : own + 64, None] + slack
                     hit |= ((far - reach <= high) & (far + reach >= low)).any(0)
-                rows = [(b.column("block")[i].as_py(), o, bound.tobytes()) for o in others[hit].tolist()]
-                for k in range(0, len(rows), 256):
-                    yield _batch(rows[k : k + 256], PAIR, [pa.int64(), pa.int64(), pa.binary()])
+                found = pa.array(others[hit], pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([b.column("block")[i].as_py()] * len(found), pa.int64()), found], ["block", "other"])
 
     return run
 
@@ -143,21 +154,64 @@ def _visits(directory: tuple[np.ndarray, ...], pivots: np.ndarray, need: int):
 NEAR = "node bigint, other bigint, distance double"
 
 
+class Best:
+    """The nearest candidates so far for the nodes of a block."""
+
+    def __init__(self, node: np.ndarray, copies: np.ndarray, x: np.ndarray, need: int):
+        self.node, self.x, self.need, self.bound = node, x, need, _reach(x, copies, need)
+        self.rows, self.count, self.room = [], 0, 4 * need * len(x)
+
+    def meet(self, other: np.ndarray, y: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Adds candidates of another block.  Gives some away if ties fill the room."""
+        x, d, width = self.x, apart(self.x, y), min(self.need, len(y))
+        best = np.partition(d, width - 1, axis=1)[:, width - 1]
+        q, o = np.nonzero(d <= (np.minimum(self.bound, best) + 2 * rounding(x, y) + SLACK)[:, None])
+        self.rows.append((q, other[o], np.sqrt(np.square(x[q] - y[o]).sum(1))))
+        self.count += len(q)
+        if self.count > self.room:
+            self.prune()
+            self.room = max(self.room, 2 * self.count)
+            if self.count > 64 * self.need * len(x):
+                yield from self.left()
+
+    def prune(self) -> None:
+        q, o, d = (np.concatenate(c) for c in zip(*self.rows, strict=True))
+        order = np.lexsort((d, q))
+        q, o, d = q[order], o[order], d[order]
+        start = np.searchsorted(q, np.arange(len(self.x) + 1))
+        full = np.flatnonzero(np.diff(start) >= self.need)
+        self.bound[full] = np.minimum(self.bound[full], d[start[full] + self.need - 1])
+        stay = d <= self.bound[q]
+        self.rows, self.count = [(q[stay], o[stay], d[stay])], int(stay.sum())
+
+    def left(self) -> Iterator[pa.RecordBatch]:
+        if self.rows:
+            self.prune()
+            q, o, d = self.rows[0]
+            yield pa.RecordBatch.from_arrays([pa.array(self.node[q]), pa.array(o), pa.array(d)], ["node", "other", "distance"])
+        self.rows, self.count, self.room = [], 0, 4 * self.need * len(self.x)
+
+
 def _compare(need: int):
-    """The best candidates of one block for the nodes of another."""
+    """The best candidates for the nodes of a tile's blocks, which come first, among
+    those of the blocks that they visit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, held = None, {}
         for b in batches:
-            for i in range(len(b)):
-                node, _, x = _unpack(*(b.column(c)[i] for c in ("nodes", "copies", "vectors")))
-                other, _, y = _unpack(*(b.column(f"{c}_2")[i] for c in ("nodes", "copies", "vectors")))
-                bound = np.frombuffer(b.column("bounds")[i].as_py())
-                d, width = apart(x, y), min(need, len(y))
-                off = rounding(x, y)
-                best = np.partition(d, width - 1, axis=1)[:, width - 1]
-                q, o = np.nonzero(d <= (np.minimum(bound, best) + 2 * off + SLACK)[:, None])
-                exact = np.sqrt(np.square(x[q] - y[o]).sum(1))
-                yield pa.RecordBatch.from_arrays([pa.array(node[q]), pa.array(other[o]), pa.array(exact)], ["node", "other", "distance"])
+            tiles, blocks, visitors = (b.column(c).to_pylist() for c in ("tile", "block", "visitors"))
+            for i, (at, block, who) in enumerate(zip(tiles, blocks, visitors, strict=True)):
+                if at != tile:
+                    for own in held.values():
+                        yield from own.left()
+                    tile, held = at, {}
+                node, copies, x = _unpack(*(b.column(c)[i] for c in ("nodes", "copies", "vectors")))
+                if who is None:
+                    held[block] = Best(node, copies, x, need)
+                for own in who or ():
+                    yield from held[own].meet(node, x)
+        for own in held.values():
+            yield from own.left()
 
     return run
 
@@ -188,9 +242,16 @@ def nearest(points: DataFrame, k: int, key: str = "id", vec: str = "vec", block_
     lines = blocks.select("block", "cell", "low", "high").collect()
     directory = tuple(np.array([r[c] for r in lines], t) for c, t in (("block", np.int64), ("cell", np.int64), ("low", float), ("high", float)))
     pairs = cut_lineage(blocks.mapInArrow(_visits(directory, centres, need), PAIR))
-    theirs = blocks.select(F.col("block").alias("other"), *[F.col(c).alias(f"{c}_2") for c in ("nodes", "copies", "vectors")])
-    both = pairs.join(theirs, "other").join(blocks.select("block", "nodes", "copies", "vectors"), "block")
-    near = both.mapInArrow(_compare(need), NEAR)
+    # Consecutive blocks of consecutive cells form a tile.
+    many = max(-(-len(lines) // TILE_BLOCKS), min(len(lines), TILES))
+    placing = sorted((r.cell, r.low, r.block) for r in lines)
+    tiles = points.sparkSession.createDataFrame([(block, i * many // len(lines)) for i, (_, _, block) in enumerate(placing)], "block bigint, tile int")
+    visits = pairs.join(tiles, "block").groupBy("tile", "other").agg(F.collect_list("block").alias("visitors"))
+    packed = ["nodes", "copies", "vectors"]
+    theirs = visits.join(blocks.select(F.col("block").alias("other"), *packed), "other").select("tile", F.col("other").alias("block"), *packed, "visitors")
+    both = blocks.join(tiles, "block").select("tile", "block", *packed, F.lit(None).cast("array<bigint>").alias("visitors")).unionByName(theirs)
+    dealt = both.repartitionById(many, "tile").sortWithinPartitions("tile", F.col("visitors").isNotNull())
+    near = dealt.mapInArrow(_compare(need), NEAR)
     # The rank filter is applied before the shuffle, too (window group limit).
     names = nodes.select(F.col("node").alias("other"), "ids")
     least = near.join(names.select("other", F.col("ids")[0].alias("least")), "other")

@@ -58,6 +58,22 @@ def test_rings_out_of_reach_are_not_visited(spark):
     blocks.unpersist()
 
 
+def test_tiles_read_a_block_once(spark, monkeypatch):
+    monkeypatch.setattr(N, "TILE_BLOCKS", 3)
+    monkeypatch.setattr(N, "TILES", 2)
+    x = np.concatenate([CASES["even"][:, :4].astype(np.float32).astype(float), RNG.integers(0, 3, (200, 4))])
+    got = {}
+    for r in N.nearest(points(spark, range(600), x), 4, block_rows=50).collect():
+        got.setdefault(r.id, []).append((r.rank, r.neighbor))
+    want = brute(range(600), x, 4)
+    assert all([n for _, n in sorted(got[i])] == [n for _, n in want[i]] for i in range(600))
+    # Vectors that are floats move as floats, others whole.
+    assert [len(N._packed(v)) for v in (x, x + 0.1)] == [1 + 4 * x.size, 1 + 8 * x.size]
+    block = N.Best(np.arange(50), np.ones(50, np.int64), x[:50], 5)
+    assert not any(list(block.meet(np.arange(400)[k : k + 50], x[k : k + 50])) for k in range(0, 400, 50))
+    assert block.count <= block.room and sum(len(b) for b in block.left()) == 250  # not five per visited block
+
+
 def test_nearest_leaves_null_vectors_out(spark):
     df = spark.createDataFrame([(1, [0.0]), (2, None), (3, [1.0])], "id bigint, vec array<double>")
     assert sorted((r.id, r.neighbor) for r in N.nearest(df, 5).collect()) == [(1, 3), (3, 1)]
