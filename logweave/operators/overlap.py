@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.session import cut_lineage
+from logweave.session import kept_table
 
 KINDS = {"product": ["ProductID"], "customer": ["CustomerID"], "prod_cus": ["ProductID", "CustomerID"]}
 
@@ -24,28 +24,16 @@ def split_log(log: DataFrame, ids: DataFrame) -> DataFrame:
     return log.join(ids.select("FileID", "split"), "FileID").dropna()
 
 
-def _member_rows(s: DataFrame, kinds: Sequence[str]) -> DataFrame:
-    """One row per (split, kind, member) for every requested kind, from one pass."""
-    null = F.lit(None).cast("string")
-    parts = {
-        "product": F.struct(F.lit("product").alias("kind"), F.col("ProductID").alias("p"), null.alias("c")),
-        "customer": F.struct(F.lit("customer").alias("kind"), null.alias("p"), F.col("CustomerID").alias("c")),
-        "prod_cus": F.struct(F.lit("prod_cus").alias("kind"), F.col("ProductID").alias("p"), F.col("CustomerID").alias("c")),
-    }
-    m = s.select("split", F.explode(F.array(*[parts[k] for k in kinds])).alias("m"))
-    return m.select(
-        "split", F.col("m.kind").alias("kind"), F.col("m.p").alias("ProductID"), F.col("m.c").alias("CustomerID")
-    ).distinct()
-
-
 def train_test_sets(log: DataFrame, ids: DataFrame, kinds: Sequence[str] = tuple(KINDS)) -> dict[str, DataFrame]:
     """Distinct members per split, one long table per kind.
 
-    All kinds come from one scan and one shuffle (a ``distinct`` over
-    exploded member rows); each kind is a filter of that table.
+    All kinds come from one scan: the distinct pairs are kept, products and customers
+    are the distinct ones of those.
     """
-    members = _member_rows(split_log(log, ids), kinds)
-    return {k: members.where(F.col("kind") == k).select("split", *KINDS[k]) for k in kinds}
+    s = split_log(log, ids)
+    if len(kinds) > 1:
+        s = kept_table(s.select("split", *KINDS["prod_cus"]).distinct(), "pairs")
+    return {k: s.select("split", *KINDS[k]) if k == "prod_cus" and len(kinds) > 1 else s.select("split", *KINDS[k]).distinct() for k in kinds}
 
 
 def compare_sets(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -99,20 +87,14 @@ def per_product_sets(sets: dict[str, DataFrame], op: str) -> DataFrame:
 
 
 def overlap_all(log: DataFrame, ids: DataFrame, reverse: bool = False) -> dict[str, DataFrame]:
-    """Overlap of all three kinds from one scan of the log and one
-    comparison shuffle: members of every kind are grouped together with a
-    side bit per split."""
-    # Distinct pairs first: products and customers come from them, not from the
-    # log, and the comparison is computed once (lineage cut) for all three kinds.
-    pairs = split_log(log, ids).select("split", "ProductID", "CustomerID").distinct()
-    g = cut_lineage(_sides(_member_rows(pairs, tuple(KINDS)), ["kind", "ProductID", "CustomerID"]))
+    """Overlap of all three kinds from one scan of the log and one shuffle of its
+    pairs: a product's or customer's side bits are those of its pairs together."""
+    pairs = kept_table(_sides(split_log(log, ids), KINDS["prod_cus"]), "sides")
     both = F.col("_bits") == 3
-    out = {}
-    for k, cols in KINDS.items():
-        t = g.where(F.col("kind") == k)
-        out[k] = t.where(~both if reverse else both).select(*cols)
+    sides = {k: pairs if k == "prod_cus" else kept_table(pairs.groupBy(*cols).agg(F.bit_or("_bits").alias("_bits")), f"sides-{k}") for k, cols in KINDS.items()}
+    out = {k: t.where(~both if reverse else both).select(*KINDS[k]) for k, t in sides.items()}
     if reverse:
-        prods = g.where((F.col("kind") == "product") & both).select("ProductID")
+        prods = sides["product"].where(both).select("ProductID")
         out["prod_cus"] = out["prod_cus"].join(prods, "ProductID", "left_semi")
     return out
 
