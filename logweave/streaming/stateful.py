@@ -2,8 +2,8 @@
 
 * I3 the last seconds of every file (``transformWithStateInPandas``): intervals
   are complete as soon as an event has come, and no history is read again;
-* I4 members seen lately (``dropDuplicatesWithinWatermark``) before a merge into
-  the member table: the state doesn't grow with the set.
+* I4 members seen lately (``dropDuplicatesWithinWatermark``) before one merge per
+  run into the member table: the state doesn't grow with the set.
 
 Both keep their state in RocksDB, whose files live in the stream's checkpoint.
 """
@@ -20,24 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from logweave.operators.batches import SECONDS_PER_DAY
-from logweave.streaming.incremental import run, write_epoch
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-
-
-def with_rocksdb(spark: SparkSession, start) -> None:
-    """Runs a stream with the RocksDB store; the session's setting comes back."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
-    try:
-        start()
-    finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
-
+from logweave.streaming.incremental import run, with_rocksdb, write_epoch
 
 # ----------------------------------------------------------------------- I3
 def changes_of_files(known: tuple, trimmed: np.ndarray, events: tuple, keep: int) -> tuple[tuple, np.ndarray, tuple, np.ndarray]:
@@ -188,19 +171,29 @@ def stream_members(stream: DataFrame, cols: list[str], out: str, checkpoint: str
 
     ``arrived`` says when a row's file came (its modification time), so no row is
     late.  The store remembers members of the last ``horizon`` only and drops
-    their repeats; the rest is merged into the member table, which each epoch
-    extends by the members it doesn't have (a replayed epoch replaces its own).
+    their repeats; the rest is kept per epoch under the checkpoint.  Once all that is
+    available has come, the members the table doesn't have are added to it, under the
+    run's last epoch: the table is read once per run, not per micro-batch (a replayed
+    epoch, or a run that stopped before its merge, replaces its own).
     Returns the rows in the store after each micro-batch."""
-    spark, sizes = stream.sparkSession, []
+    spark, sizes, recent = stream.sparkSession, [], f"{checkpoint}-recent"
+    ddl = ", ".join(f"`{c}` {stream.schema[c].dataType.simpleString()}" for c in cols) + ", epoch int"
 
     def write(batch: DataFrame, epoch: int) -> None:
-        own = batch.select(*cols).distinct()
-        if epoch:
-            ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
-            known = spark.read.schema(f"{ddl}, epoch int").parquet(out).where(F.col("epoch") < epoch).select(*cols)
-            same = [F.col(f"own.{c}").eqNullSafe(F.col(f"known.{c}")) for c in cols]
-            own = own.alias("own").join(known.alias("known"), same, "left_anti")
-        write_epoch(own, out, epoch)
+        write_epoch(batch.select(*cols).distinct(), recent, epoch)
+
+    def merge() -> None:
+        def table(path: str) -> DataFrame:
+            return spark.read.schema(ddl).parquet(path) if has_files(spark, path) else spark.createDataFrame([], ddl)
+
+        first = table(out).agg(F.max("epoch")).first()[0]
+        since = table(recent).where(F.col("epoch") > (-1 if first is None else first))
+        last = since.agg(F.max("epoch")).first()[0]
+        if last is None:
+            return
+        known = table(out).select(*cols, F.lit(0).alias("_new")).unionByName(since.select(*cols, F.lit(1).alias("_new")))
+        own = known.groupBy(*cols).agg(F.min("_new").alias("_new")).where("_new = 1").select(*cols)
+        write_epoch(own, out, last)
 
     def start() -> None:
         fresh = stream.select(*cols, arrived).withWatermark(arrived, horizon).dropDuplicatesWithinWatermark(cols)
@@ -212,9 +205,15 @@ def stream_members(stream: DataFrame, cols: list[str], out: str, checkpoint: str
         sizes.extend(p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators)
 
     with_rocksdb(spark, start)
+    merge()
     return sizes
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def with_arrival(stream: DataFrame, name: str = "arrived") -> DataFrame:
     """Adds the modification time of each row's file (a file source's stream)."""
     return stream.withColumn(name, F.col("_metadata.file_modification_time"))

@@ -139,3 +139,42 @@ def test_hopping_windows_count_late_rows(spark, tmp_path):
     }
     with pytest.raises(ValueError):
         I.stream_hopping(I.read_log_stream(spark, f"{base}/in"), 100, 30, f"{base}/out", f"{base}/ckpt")
+
+
+def test_members_are_merged_once_per_run(spark, tmp_path):
+    base = str(tmp_path)
+    run = lambda: ST.stream_members(ST.with_arrival(I.read_day_stream(spark, f"{base}/in", LOG_DDL)), ["CustomerID", "ProductID"], f"{base}/out", f"{base}/ckpt")
+    for day in range(3):
+        write_part(spark, [("f", f"c{day + i}", 0, "p") for i in range(2)] + [("f", None, 0, None)], base, day, 1_700_000_000 + day * DAY)
+    run()
+    table = lambda: Counter((r.CustomerID, r.ProductID, r.epoch) for r in spark.read.parquet(f"{base}/out").collect())
+    first = table()
+    assert {(c, p) for c, p, _ in first} == {*((f"c{i}", "p") for i in range(4)), (None, None)} and len(first) == 5
+    assert len({e for *_, e in first}) == 1  # the table is not read again for every micro-batch
+    write_part(spark, [("f", "c0", 0, "p"), ("f", None, 0, None), ("f", "new", 0, "p")], base, 9, 1_800_000_000)  # forgotten by the store
+    run()
+    added = table() - first
+    assert table() == first + added and [(c, p) for c, p, _ in added] == [("new", "p")]
+
+
+def test_distinct_set_keeps_its_state_in_rocksdb(spark, tmp_path):
+    base = str(tmp_path)
+    for day in range(2):
+        write_part(spark, [("f", f"c{day + i}", 0, "p") for i in range(2)], base, day, 1_700_000_000 + day * DAY)
+    before = spark.conf.get(I.PROVIDER, None)
+    I.stream_distinct(I.read_log_stream(spark, f"{base}/in"), ["CustomerID"], f"{base}/out", f"{base}/ckpt")
+    assert sorted(r.CustomerID for r in spark.read.parquet(f"{base}/out").collect()) == ["c0", "c1", "c2"]
+    names = [name for _, _, files in os.walk(f"{base}/ckpt/state") for name in files]
+    assert any(n.endswith(".zip") for n in names) and not any(n.endswith(".delta") for n in names)
+    assert spark.conf.get(I.PROVIDER, None) == before
+
+
+def test_days_are_dealt_in_one_pass(spark, tmp_path):
+    rows = [("f", "c", t, "p") for t in (0, 5, DAY + 1, -1)] + [("f", "c", None, "p")]
+    log = spark.createDataFrame(rows, LOG_DDL)
+    path = I.stage_day_files(log, f"{tmp_path}/in")
+    day = lambda d: sorted(r.QueryTs for r in spark.read.schema(LOG_DDL).csv(f"{path}/day={d}").collect())
+    assert [day(d) for d in (-1, 0, 1)] == [[-1], [0, 5], [DAY + 1]]
+    assert sorted(n for n in os.listdir(f"{path}-by-day") if n.startswith("day=")) == ["day=-1", "day=0", "day=1"]
+    times = [max(os.stat(f"{path}/day={d}/{n}").st_mtime_ns for n in os.listdir(f"{path}/day={d}") if n.endswith(".csv")) for d in (-1, 0, 1)]
+    assert times == sorted(times)
