@@ -12,13 +12,22 @@
    of the smallest k-mers), and is a pivot itself if none is.
 3. Pairs are verified on their whole texts: edit distance over words within
    the band that the similarity allows.  Verified links join texts to classes.
+4. A pivot that absorbs a text may turn out to be unlike it, and a pivot found later
+   isn't compared with the texts absorbed before it.  So buckets that absorbed a text
+   and still hold several classes are gone through again: first each text with the
+   nearest one of every other class, then, with the classes that these links left,
+   all pairs of texts of different classes that were not verified yet.
 
 Scale: one pass over texts for the sketches; buckets are range-sorted by entry
 and a hash of the node, so that a hot bucket spreads over partitions (what the
 parts share is compared by their pivots in a second, small round).  A group of
 n near copies gives about n pairs per order, not n * n; entries are swept in
 two opposite orders, so a text that an early pivot absorbs is also met by texts
-that resemble only it.  Only texts that occur in a pair are read again.
+that resemble only it.  Step 4 is dealt in tiles of at most two times ``TILE`` texts;
+the largest class of a bucket is not compared with itself.  What reaches verification
+there has passed an exact bound (words that one text has and the other lacks); texts
+of unlike classes with nearly the same words remain quadratic within their bucket.
+Only texts that occur in a pair are read again.
 Components come from alternating large-star and small-star joins on tables in
 the shared folder; nothing but two numbers per round reaches the driver.
 """
@@ -32,7 +41,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logweave.llm.common import utf8, written
@@ -54,6 +63,10 @@ SHORT = 15
 #: change spoils fewer; texts of the first number or more by K-mers.  No two similar
 #: texts are so unlike in length that they have no kind in common.
 BRIEF_K, BRIEF = 2, (51, 64)
+#: Words are counted in so many bins; counts end at 255, which only lowers the bound.
+BINS = 64
+#: Texts of a side of a tile.
+TILE = 2048
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 SEEDS = np.random.default_rng(5).integers(1, 2**63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
 SALTS = np.random.default_rng(6).integers(0, 2**63, SKETCHES, np.uint64)
@@ -116,8 +129,14 @@ def deletions(words: list[bytes]) -> list[tuple[int, int]]:
     return out
 
 
+def bag(words: list[bytes]) -> bytes:
+    """Counts of the words by a hash, a byte each."""
+    own = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % np.uint32(BINS)
+    return np.minimum(np.bincount(own, minlength=BINS), 255).astype(np.uint8).tobytes()
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, key (MD5 of the text), n_words, entries, bits and deletions of every
+    """doc_id, key (MD5 of the text), n_words, entries, bits, deletions and bag of every
     row; texts without words have none of these.  Brief texts have entries and
     bits of 2-mers, those between the limits of both kinds."""
 
@@ -128,17 +147,17 @@ def sketches(docs: DataFrame) -> DataFrame:
                 words = text.split()
                 entries, bits = sketch(words) if len(words) >= BRIEF[0] else ([], b"")
                 brief, brief_bits = sketch(words, BRIEF_K) if 0 < len(words) < BRIEF[1] else ([], b"")
-                rows.append((hashlib.md5(text).digest(), len(words), entries, bits, brief, brief_bits, deletions(words) if words else []))
-            columns = list(zip(*rows, strict=True)) or [()] * 7
+                rows.append((hashlib.md5(text).digest(), len(words), entries, bits, brief, brief_bits, deletions(words) if words else [], bag(words)))
+            columns = list(zip(*rows, strict=True)) or [()] * 8
             cuts = pa.list_(pa.struct([("rest", pa.int64()), ("shape", pa.int64())]))
-            kinds = [pa.binary(), pa.int32(), *[pa.list_(pa.int64()), pa.binary()] * 2, cuts]
+            kinds = [pa.binary(), pa.int32(), *[pa.list_(pa.int64()), pa.binary()] * 2, cuts, pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True))],
-                ["doc_id", "key", "n_words", "entries", "bits", "brief", "brief_bits", "cuts"],
+                ["doc_id", "key", "n_words", "entries", "bits", "brief", "brief_bits", "cuts", "bag"],
             )
 
     part = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    kinds = "doc_id bigint, key binary, n_words int, entries array<bigint>, bits binary, brief array<bigint>, brief_bits binary, cuts array<struct<rest: bigint, shape: bigint>>"
+    kinds = "doc_id bigint, key binary, n_words int, entries array<bigint>, bits binary, brief array<bigint>, brief_bits binary, cuts array<struct<rest: bigint, shape: bigint>>, bag binary"
     return part.mapInArrow(run, kinds)
 
 
@@ -150,7 +169,7 @@ class Bucket:
     """The pivots of one entry."""
 
     def __init__(self, entry: int):
-        self.entry, self.rows = entry, []
+        self.entry, self.rows, self.absorbed = entry, [], False
         self.bits, self.words = np.empty((8, BITS), np.uint8), np.empty(8, np.int64)
 
     def meet(self, row: tuple) -> list[bytes]:
@@ -162,6 +181,7 @@ class Bucket:
             known = self.words[:n]
             ahead &= PART * np.abs(known - words) <= np.maximum(known, words)
             if ahead.any():
+                self.absorbed = True
                 return [self.rows[i][1] for i in np.flatnonzero(ahead).tolist()]
         if n == len(self.words):
             self.bits, self.words = (np.concatenate([x, np.empty_like(x)]) for x in (self.bits, self.words))
@@ -172,7 +192,8 @@ class Bucket:
 
 def sweep(open_ends: bool):
     """Streams over members in order of entry: rows with a pivot are pairs; rows
-    without are pivots of the buckets that the partition's ends may have cut."""
+    without are pivots of the buckets that the partition's ends may have cut.  Pivots
+    of other buckets that absorbed a row are paired with themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, first = None, True
@@ -181,8 +202,8 @@ def sweep(open_ends: bool):
             b = b.filter(pa.array(_met(b.column(0).to_numpy())))
             for row in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
                 if bucket is None or row[0] != bucket.entry:
-                    if bucket is not None and first and open_ends:
-                        out += [(*r, None) for r in bucket.rows]
+                    if bucket is not None and open_ends and (first or bucket.absorbed):
+                        out += [(*r, None if first else r[1]) for r in bucket.rows]
                     first = bucket is None
                     bucket = Bucket(row[0])
                 out += [(*row, p) for p in bucket.meet(row)]
@@ -207,22 +228,120 @@ def _members(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of node keys to verify, a < b."""
+def _order() -> Column:
     order = F.xxhash64("key")
-    sweep_of = F.when(F.col("entry") % 2 == 0, order).otherwise(F.bitwise_not(order))
+    return F.when(F.col("entry") % 2 == 0, order).otherwise(F.bitwise_not(order))
+
+
+def meetings(nodes: DataFrame) -> DataFrame:
+    """The sweep's rows: pairs, and the pivots of buckets that absorbed a row or may be cut."""
     filed = "transform({0}, e -> struct(e AS entry, {1} AS bits))".format
     both = F.expr(f"concat({filed('entries', 'bits')}, {filed('brief', 'brief_bits')})")
     members = nodes.select("key", "n_words", F.explode(both).alias("__e")).select("__e.entry", "key", "n_words", "__e.bits")
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = members.repartitionByRange(tasks, "entry", sweep_of).sortWithinPartitions("entry", sweep_of)
-    met = written(dealt.mapInArrow(sweep(True), MEMBERS), "met")
-    cut = met.where("pivot is null").drop("pivot").repartition("entry").sortWithinPartitions("entry", sweep_of)
+    dealt = members.repartitionByRange(tasks, "entry", _order()).sortWithinPartitions("entry", _order())
+    return written(dealt.mapInArrow(sweep(True), MEMBERS), "met")
+
+
+def candidates(nodes: DataFrame, met: DataFrame | None = None) -> DataFrame:
+    """Distinct pairs (a, b) of node keys to verify, a < b."""
+    met = meetings(nodes) if met is None else met
+    cut = met.where("pivot is null").drop("pivot").repartition("entry").sortWithinPartitions("entry", _order())
     pairs = met.where("pivot is not null").unionByName(cut.mapInArrow(sweep(False), MEMBERS))
     pairs = pairs.select("key", "pivot").unionByName(short_pairs(nodes))
     return pairs.select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).where("a < b").distinct()
 
 
+def lacking(bags: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """For each row of bags a lower bound of the edit distance to ``own``: the words
+    that one text has more often than the other."""
+    more = bags.astype(np.int16) - own
+    return np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1))
+
+
+def tile_pairs(rows: list[tuple], most: int | None) -> list[tuple[bytes, bytes]]:
+    """Pairs of rows (key, n_words, bits, bag, label, side) of different labels that may
+    be similar: those of side 0 with those of side 1, or all of side 2.  With ``most``,
+    each row's nearest ones of every other label, so many of each."""
+    keys, words, bits, bags, labels, sides = zip(*rows, strict=True)
+    words, labels, sides = (np.array(x, np.int64) for x in (words, labels, sides))
+    bits = np.frombuffer(b"".join(bits), np.uint8).reshape(-1, BITS)
+    bags = np.frombuffer(b"".join(bags), np.uint8).reshape(-1, BINS)
+    out = []
+    for i in np.flatnonzero(sides != 1).tolist():
+        may = (labels != labels[i]) & (PART * np.abs(words - words[i]) <= np.maximum(words, words[i]))
+        if sides[i] == 0:
+            may &= sides == 1
+        elif most is None:
+            may[: i + 1] = False
+        at = np.flatnonzero(may)
+        at = at[(bits[at] == bits[i]).sum(1) >= AGREE]
+        far = lacking(bags[at], bags[i].astype(np.int16))
+        near = PART * far <= np.maximum(words[at], words[i])
+        at, far = at[near], far[near]
+        if most is not None and len(at) > 1:
+            order = np.lexsort((far, labels[at]))
+            at = at[order]
+            first = np.flatnonzero(np.diff(labels[at], prepend=labels[at[0]] - 1))
+            at = at[np.arange(len(at)) - np.repeat(first, np.diff(first, append=len(at))) < most]
+        out += [(keys[i], keys[j]) for j in at.tolist()]
+    return out
+
+
+def divided(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members (entry, key, n_words, bits) of buckets that hold several classes: with
+    their class's label, the label and size of the bucket's largest class and its size."""
+    bucket, group = Window.partitionBy("entry"), Window.partitionBy("entry", "label")
+    label = F.xxhash64(F.coalesce("root", "key")).alias("label")
+    members = members.join(roots.withColumnRenamed("node", "key"), "key", "left").select("entry", "key", "n_words", "bits", label)
+    members = members.repartition("entry").withColumn("own", F.count("*").over(group))
+    members = members.withColumns({"largest": F.max(F.struct("own", "label")).over(bucket), "n": F.count("*").over(bucket)})
+    members = members.where("largest.own < n")
+    return members.select("entry", "key", "n_words", "bits", "label", F.col("largest.label").alias("major"), F.col("largest.own").alias("most"), "n")
+
+
+def crossing(members: DataFrame, nodes: DataFrame, tested: DataFrame, most: int | None) -> DataFrame:
+    """Pairs (a, b), a < b, of different classes that share a bucket, may be similar and
+    weren't tested; ``members`` as ``divided`` gives them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, rows = None, []
+        for b in batches:
+            out = []
+            place = zip(*(b.column(k).to_pylist() for k in range(4)), strict=True)
+            for at, row in zip(place, zip(*(b.column(k).to_pylist() for k in range(4, 10)), strict=True), strict=True):
+                if at != tile:
+                    out += tile_pairs(rows, most) if len(rows) > 1 else []
+                    tile, rows = at, []
+                rows.append(row)
+            yield _pairs(out)
+        yield _pairs(tile_pairs(rows, most) if len(rows) > 1 else [])
+
+    sized = members.withColumns(
+        {"one": F.col("n") <= TILE, "minors": F.ceil((F.col("n") - F.col("most")) / TILE), "majors": F.ceil(F.col("most") / TILE)}
+    )
+    # In large buckets: texts outside the largest class meet one another and those of the largest class.
+    part = "pmod(xxhash64(key), {})".format
+    cell = "struct({} AS kind, {} AS i, {} AS j, {} AS side)".format
+    whole = cell(0, "0L", "0L", 2)
+    minor = f"transform(sequence(0L, minors - 1), x -> {cell(0, 'least(own, x)', 'greatest(own, x)', 'CASE WHEN own = x THEN 2 WHEN own < x THEN 0 ELSE 1 END')})"
+    across = f"transform(sequence(0L, majors - 1), x -> {cell(1, 'own', 'x', 0)})"
+    major = f"transform(sequence(0L, minors - 1), x -> {cell(1, 'x', 'own', 1)})"
+    cells = F.expr(f"CASE WHEN one THEN array({whole}) WHEN label = major THEN {major} ELSE concat({minor}, {across}) END")
+    dealt = sized.withColumn("own", F.expr(f"CASE WHEN label = major THEN {part('majors')} ELSE {part('minors')} END"))
+    dealt = dealt.join(nodes.select("key", "bag"), "key").select("entry", F.explode(cells).alias("c"), "key", "n_words", "bits", "bag", "label")
+    dealt = dealt.select("entry", "c.kind", "c.i", "c.j", "key", "n_words", "bits", "bag", "label", "c.side")
+    place = ["entry", "kind", "i", "j"]
+    found = dealt.repartition(*place).sortWithinPartitions(*place, "key").mapInArrow(run, "key binary, other binary")
+    found = found.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
+    return found.join(tested, ["a", "b"], "left_anti")
+
+
+def _pairs(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * 2
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["key", "other"])
+
+
 def short_pairs(nodes: DataFrame) -> DataFrame:
     """Pairs (key, pivot) whose similar ones connect all similar short texts.
 
@@ -278,8 +397,8 @@ def similar(a: list, b: list) -> bool:
     return PART * distance(a, b, longer // PART) <= longer
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those pairs whose texts are similar."""
+def verified(pairs: DataFrame, docs: DataFrame, how: str = "merge") -> DataFrame:
+    """Those pairs whose texts are similar; ``how`` is a hint for the join that picks texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, words = None, []
@@ -296,7 +415,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     texts = docs.select(F.unhex(F.md5(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))).alias("key"), text.alias("text"))
     # A merge join at every size: whole texts move once, whatever the number of pairs.
-    texts = written(texts.join(needed.hint("merge"), "key", "left_semi").dropDuplicates(["key"]), "texts")
+    texts = written(texts.join(needed.hint(how) if how else needed, "key", "left_semi").dropDuplicates(["key"]), "texts")
     one, two = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
     return written(both.mapInArrow(run, "a binary, b binary"), "links")
@@ -322,6 +441,23 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     raise RuntimeError(f"no fixed point after {most_rounds} rounds")
 
 
+def rooted(links: DataFrame) -> DataFrame:
+    """node, root for all nodes with a link, once each, roots too."""
+    roots = components(links).unionByName(links.select(F.least("a", "b").alias("node"), F.least("a", "b").alias("root")))
+    # A root stands for itself; other nodes that are the smaller end of a link have their row above.
+    return roots.groupBy("node").agg(F.min("root").alias("root"))
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after further links: the classes are the nodes that these join."""
+    ends = links.join(roots.toDF("a", "__a"), "a", "left").join(roots.toDF("b", "__b"), "b", "left")
+    ends = written(ends.select("a", "b", F.coalesce("__a", "a").alias("of_a"), F.coalesce("__b", "b").alias("of_b")), "ends")
+    above = rooted(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))).toDF("root", "above")
+    new = ends.select("a", "of_a").union(ends.select("b", "of_b")).toDF("node", "root")
+    every = roots.unionByName(new).distinct()
+    return every.join(above, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, key (of the text), root (of the class) and class_id, the smallest id
     of the class, of every row.
@@ -334,13 +470,22 @@ def classes(docs: DataFrame) -> DataFrame:
     rows = written(sketches(docs), "sketches")
     own = rows.where("n_words > 0")
     nodes = own.groupBy("key").agg(
-        F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("n_words", "entries", "bits", "brief", "brief_bits", "cuts")]
+        F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("n_words", "entries", "bits", "brief", "brief_bits", "cuts", "bag")]
     )
     nodes = written(nodes, "nodes")
-    links = verified(candidates(nodes), docs)
-    roots = components(links).unionByName(links.select(F.least("a", "b").alias("node"), F.least("a", "b").alias("root")))
-    # A root stands for itself; other nodes that are the smaller end of a link have their row above.
-    roots = roots.groupBy("node").agg(F.min("root").alias("root"))
+    met = meetings(nodes)
+    tested = written(candidates(nodes, met), "tested")
+    roots = written(rooted(verified(tested, docs)), "roots")
+    members = met.select("entry", "key", "n_words", "bits").distinct()
+    for most in (1, None):
+        members = written(divided(members.select("entry", "key", "n_words", "bits"), roots), "members")
+        more = written(crossing(members, nodes, tested, most), "more")
+        if more.isEmpty():
+            continue
+        links = verified(more, docs, "")
+        tested = tested.unionByName(more)
+        if not links.isEmpty():
+            roots = written(merged(roots, links), "roots")
     least = nodes.select(F.col("key").alias("node"), "least").join(roots, "node", "left")
     least = least.withColumn("root", F.coalesce("root", "node"))
     class_of = least.groupBy("root").agg(F.min("least").alias("class_id"))

@@ -118,6 +118,47 @@ def test_pairs_at_the_threshold(spark):
     assert found == {i: i if i >= 360 else i - i % 2 for i in range(len(rows))}
 
 
+def test_links_between_texts_that_unlike_pivots_absorb(spark, monkeypatch):
+    """Texts put together from two passages for each place: every bucket holds many
+    unlike texts, which its pivot absorbs.  Two are similar if at most 8 of 40 differ."""
+    rng = random.Random(12)
+    picks = [[rng.randrange(2) for _ in range(40)] for _ in range(300)]
+    for own in picks[:60]:
+        places = set(rng.sample(range(40), 8))
+        picks.append([1 - x if i in places else x for i, x in enumerate(own)])
+    rows = [" ".join(f"w{i}v{x}n{n}" for i, x in enumerate(own) for n in range(8)) for own in picks]
+    want = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if want[a] != want[b] and sum(map(int.__ne__, picks[a], picks[b])) <= 8:
+                assert neardup.similar(rows[a].split(), rows[b].split())
+                low, high = sorted((want[a], want[b]))
+                want = [low if x == high else x for x in want]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string").repartition(5)
+    monkeypatch.setattr(neardup, "TILE", 7, raising=False)
+    assert {r.doc_id: r.class_id for r in neardup.classes(docs).collect()} == dict(enumerate(want))
+
+
+def test_tiles_hold_every_pair_of_two_classes():
+    rng = np.random.default_rng(4)
+    bags = rng.integers(0, 3, (40, neardup.BINS)).astype(np.uint8)
+    bits = bytes(neardup.BITS)
+    rows = [(bytes([i]), 400, bits, b.tobytes(), i % 3, 2) for i, b in enumerate(bags)]
+    near = {(a, b) for a in range(40) for b in range(a) if a % 3 != b % 3 and neardup.lacking(bags[[a]], bags[b].astype(np.int16))[0] <= 80}
+    got = neardup.tile_pairs(rows, None)
+    assert {tuple(sorted((x[0], y[0]), reverse=True)) for x, y in got} == near and len(got) == len(near)
+    assert Counter(x[0] for x, _ in neardup.tile_pairs(rows, 1)) == {i: 2 for i in range(40)}
+
+
+def test_bags_bound_the_distance():
+    rng = random.Random(13)
+    for _ in range(300):
+        a = [b"%d" % rng.randrange(60) for _ in range(rng.randint(1, 40))]
+        b = [x if rng.random() < 0.8 else b"%d" % rng.randrange(90) for x in a if rng.random() < 0.9]
+        x, y = (np.frombuffer(neardup.bag(w), np.uint8) for w in (a, b))
+        assert neardup.lacking(x[None, :], y.astype(np.int16))[0] <= edit_distance(a, b)
+
+
 def test_candidates_at_the_threshold():
     rng = random.Random(9)
 
