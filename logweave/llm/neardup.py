@@ -25,9 +25,10 @@ n near copies gives about n pairs per order, not n * n; entries are swept in
 two opposite orders, so a text that an early pivot absorbs is also met by texts
 that resemble only it.  Step 4 is dealt in tiles of at most two times ``TILE`` texts;
 the largest class of a bucket is not compared with itself.  What reaches verification
-there has passed an exact bound (words that one text has and the other lacks); texts
+there has passed an exact bound (words that one text has and the other lacks), first
+by 64 counts, then, for members that these let through, by the set of all words; texts
 of unlike classes with nearly the same words remain quadratic within their bucket.
-Only texts that occur in a pair are read again.
+Only texts that may occur in a pair are read again, once.
 Components come from alternating large-star and small-star joins on tables in
 the shared folder; nothing but two numbers per round reaches the driver.
 """
@@ -259,50 +260,117 @@ def lacking(bags: np.ndarray, own: np.ndarray) -> np.ndarray:
     return np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1))
 
 
-def tile_pairs(rows: list[tuple], most: int | None) -> list[tuple[bytes, bytes]]:
-    """Pairs of rows (key, n_words, bits, bag, label, side) of different labels that may
-    be similar: those of side 0 with those of side 1, or all of side 2.  With ``most``,
-    each row's nearest ones of every other label, so many of each."""
-    keys, words, bits, bags, labels, sides = zip(*rows, strict=True)
+def marks(words: list[bytes]) -> bytes:
+    """The set of the words by a 16-bit hash of word and occurrence, in order."""
+    return np.unique(labelled(words, 1) & np.uint64(0xFFFF)).astype(np.uint16).tobytes()
+
+
+def by_bags(bags: tuple[bytes, ...]):
+    """Lower bounds of the distances of rows ``at`` to row i, by their bags."""
+    counts = np.frombuffer(b"".join(bags), np.uint8).reshape(-1, BINS)
+    return lambda at, i: lacking(counts[at], counts[i].astype(np.int16))
+
+
+def by_marks(sets: tuple[bytes, ...]):
+    """The same by their marks: each mark that only one of two texts has is a word of it."""
+    own = [np.frombuffer(x, np.uint16) for x in sets]
+    sizes, there = np.array([len(x) for x in own], np.int64), np.zeros(1 << 16, bool)
+
+    def far(at: np.ndarray, i: int) -> np.ndarray:
+        there[own[i]] = True
+        both = [np.empty(0, np.int64)]
+        for some in (at[j : j + 256] for j in range(0, len(at), 256)):
+            hits = there[np.concatenate([own[j] for j in some.tolist()])]
+            both.append(np.add.reduceat(hits, np.cumsum(sizes[some]) - sizes[some], dtype=np.int64))
+        there[own[i]] = False
+        return np.maximum(sizes[at], sizes[i]) - np.concatenate(both)
+
+    return far
+
+
+def meets(rows: list[tuple], bound, once: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For rows (key, n_words, bits, bag or marks, label, side) of side 0 or 2 the places of
+    those of another label that may be similar, and bounds of their distances: of side 0
+    with side 1, of side 2 with one another, each pair ``once`` or from both ends."""
+    _, words, bits, own, labels, sides = zip(*rows, strict=True)
     words, labels, sides = (np.array(x, np.int64) for x in (words, labels, sides))
-    bits = np.frombuffer(b"".join(bits), np.uint8).reshape(-1, BITS)
-    bags = np.frombuffer(b"".join(bags), np.uint8).reshape(-1, BINS)
-    out = []
+    bits, bound = np.frombuffer(b"".join(bits), np.uint8).reshape(-1, BITS), bound(own)
     for i in np.flatnonzero(sides != 1).tolist():
         may = (labels != labels[i]) & (PART * np.abs(words - words[i]) <= np.maximum(words, words[i]))
         if sides[i] == 0:
             may &= sides == 1
-        elif most is None:
+        elif once:
             may[: i + 1] = False
         at = np.flatnonzero(may)
         at = at[(bits[at] == bits[i]).sum(1) >= AGREE]
-        far = lacking(bags[at], bags[i].astype(np.int16))
+        far = bound(at, i)
         near = PART * far <= np.maximum(words[at], words[i])
-        at, far = at[near], far[near]
+        yield i, at[near], far[near]
+
+
+def tile_pairs(rows: list[tuple], most: int | None, bound=by_bags) -> list[tuple[bytes, bytes]]:
+    """Pairs of rows of a tile that may be similar.  With ``most``, each row's nearest ones
+    of every other label, so many of each."""
+    out, labels = [], np.array([r[4] for r in rows], np.int64)
+    for i, at, far in meets(rows, bound, most is None):
         if most is not None and len(at) > 1:
             order = np.lexsort((far, labels[at]))
             at = at[order]
             first = np.flatnonzero(np.diff(labels[at], prepend=labels[at[0]] - 1))
             at = at[np.arange(len(at)) - np.repeat(first, np.diff(first, append=len(at))) < most]
-        out += [(keys[i], keys[j]) for j in at.tolist()]
+        out += [(rows[i][0], rows[j][0]) for j in at.tolist()]
     return out
 
 
+def tile_members(entry: int, rows: list[tuple]) -> list[tuple]:
+    """Rows of a tile, as members, that may be similar to one of another label by their bags."""
+    hit = np.zeros(len(rows), bool)
+    for i, at, _ in meets(rows, by_bags, True):
+        hit[at] = True
+        hit[i] |= len(at) > 0
+    return [(entry, *rows[i][:3], None) for i in np.flatnonzero(hit).tolist()]
+
+
 def divided(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """The members (entry, key, n_words, bits) of buckets that hold several classes: with
-    their class's label, the label and size of the bucket's largest class and its size."""
+    """The distinct members (entry, key, n_words, bits) of buckets that hold several classes:
+    with their class's label, the label and size of the bucket's largest class and its size."""
     bucket, group = Window.partitionBy("entry"), Window.partitionBy("entry", "label")
     label = F.xxhash64(F.coalesce("root", "key")).alias("label")
-    members = members.join(roots.withColumnRenamed("node", "key"), "key", "left").select("entry", "key", "n_words", "bits", label)
+    # One exchange by key serves repeated rows and, at every size, the join; one by entry the buckets.
+    members = members.select("entry", "key", "n_words", "bits").repartition("key").distinct()
+    members = members.join(roots.withColumnRenamed("node", "key").hint("merge"), "key", "left").select("entry", "key", "n_words", "bits", label)
     members = members.repartition("entry").withColumn("own", F.count("*").over(group))
     members = members.withColumns({"largest": F.max(F.struct("own", "label")).over(bucket), "n": F.count("*").over(bucket)})
     members = members.where("largest.own < n")
     return members.select("entry", "key", "n_words", "bits", "label", F.col("largest.label").alias("major"), F.col("largest.own").alias("most"), "n")
 
 
-def crossing(members: DataFrame, nodes: DataFrame, tested: DataFrame, most: int | None) -> DataFrame:
-    """Pairs (a, b), a < b, of different classes that share a bucket, may be similar and
-    weren't tested; ``members`` as ``divided`` gives them."""
+PLACE = ["entry", "kind", "i", "j"]
+
+
+def dealt(members: DataFrame, bounds: DataFrame) -> DataFrame:
+    """The members, as ``divided`` gives them, by tile with their ``bounds`` (key, own)."""
+    sized = members.withColumns(
+        {"one": F.col("n") <= TILE, "minors": F.ceil((F.col("n") - F.col("most")) / TILE), "majors": F.ceil(F.col("most") / TILE)}
+    )
+    # In large buckets: texts outside the largest class meet one another and those of the largest class.
+    part = "pmod(xxhash64(key), {})".format
+    cell = "struct({} AS kind, {} AS i, {} AS j, {} AS side)".format
+    minor = f"transform(sequence(0L, minors - 1), x -> {cell(0, 'least(at, x)', 'greatest(at, x)', 'CASE WHEN at = x THEN 2 WHEN at < x THEN 0 ELSE 1 END')})"
+    across = f"transform(sequence(0L, majors - 1), x -> {cell(1, 'at', 'x', 0)})"
+    major = f"transform(sequence(0L, minors - 1), x -> {cell(1, 'x', 'at', 1)})"
+    cells = F.expr(f"CASE WHEN label = major THEN {major} ELSE concat({minor}, {across}) END")
+    large = sized.where(~F.col("one")).withColumn("at", F.expr(f"CASE WHEN label = major THEN {part('majors')} ELSE {part('minors')} END"))
+    large = large.select("*", F.explode(cells).alias("c")).select("entry", "c.kind", "c.i", "c.j", "key", "n_words", "bits", "label", "c.side")
+    # A bucket of one tile goes there as it is.
+    whole = [F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("i"), F.lit(0).cast("bigint").alias("j")]
+    small = sized.where("one").select("entry", *whole, "key", "n_words", "bits", "label", F.lit(2).alias("side"))
+    placed = small.unionByName(large).join(bounds, "key").select(*PLACE, "key", "n_words", "bits", "own", "label", "side")
+    return placed.repartition(*PLACE).sortWithinPartitions(*PLACE, "key")
+
+
+def by_tile(found, packed):
+    """Streams over rows as ``dealt`` deals them: ``packed`` what ``found`` finds in each tile."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, rows = None, []
@@ -311,30 +379,46 @@ def crossing(members: DataFrame, nodes: DataFrame, tested: DataFrame, most: int
             place = zip(*(b.column(k).to_pylist() for k in range(4)), strict=True)
             for at, row in zip(place, zip(*(b.column(k).to_pylist() for k in range(4, 10)), strict=True), strict=True):
                 if at != tile:
-                    out += tile_pairs(rows, most) if len(rows) > 1 else []
+                    out += found(tile[0], rows) if len(rows) > 1 else []
                     tile, rows = at, []
                 rows.append(row)
-            yield _pairs(out)
-        yield _pairs(tile_pairs(rows, most) if len(rows) > 1 else [])
+            yield packed(out)
+        yield packed(found(tile[0], rows) if len(rows) > 1 else [])
+
+    return run
+
+
+def crossing_members(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Those members, as ``divided`` gives them, that may be similar to one of another class."""
+    rows = dealt(members, nodes.select("key", F.col("bag").alias("own")))
+    return rows.mapInArrow(by_tile(tile_members, _members), MEMBERS).drop("pivot")
+
+
+def crossing(members: DataFrame, sets: DataFrame, tested: DataFrame, most: int | None) -> DataFrame:
+    """Pairs (a, b), a < b, of different classes that share a bucket, may be similar by their
+    marks (``sets``: key, own) and weren't tested; ``members`` as ``divided`` gives them."""
+
+    def found(_entry: int, rows: list[tuple]) -> list[tuple[bytes, bytes]]:
+        return tile_pairs(rows, most, by_marks)
+
+    pairs = dealt(members, sets).mapInArrow(by_tile(found, _pairs), "key binary, other binary")
+    pairs = pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
+    return pairs.join(tested, ["a", "b"], "left_anti")
 
-    sized = members.withColumns(
-        {"one": F.col("n") <= TILE, "minors": F.ceil((F.col("n") - F.col("most")) / TILE), "majors": F.ceil(F.col("most") / TILE)}
-    )
-    # In large buckets: texts outside the largest class meet one another and those of the largest class.
-    part = "pmod(xxhash64(key), {})".format
-    cell = "struct({} AS kind, {} AS i, {} AS j, {} AS side)".format
-    whole = cell(0, "0L", "0L", 2)
-    minor = f"transform(sequence(0L, minors - 1), x -> {cell(0, 'least(own, x)', 'greatest(own, x)', 'CASE WHEN own = x THEN 2 WHEN own < x THEN 0 ELSE 1 END')})"
-    across = f"transform(sequence(0L, majors - 1), x -> {cell(1, 'own', 'x', 0)})"
-    major = f"transform(sequence(0L, minors - 1), x -> {cell(1, 'x', 'own', 1)})"
-    cells = F.expr(f"CASE WHEN one THEN array({whole}) WHEN label = major THEN {major} ELSE concat({minor}, {across}) END")
-    dealt = sized.withColumn("own", F.expr(f"CASE WHEN label = major THEN {part('majors')} ELSE {part('minors')} END"))
-    dealt = dealt.join(nodes.select("key", "bag"), "key").select("entry", F.explode(cells).alias("c"), "key", "n_words", "bits", "bag", "label")
-    dealt = dealt.select("entry", "c.kind", "c.i", "c.j", "key", "n_words", "bits", "bag", "label", "c.side")
-    place = ["entry", "kind", "i", "j"]
-    found = dealt.repartition(*place).sortWithinPartitions(*place, "key").mapInArrow(run, "key binary, other binary")
-    found = found.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
-    return found.join(tested, ["a", "b"], "left_anti")
+
+def marked(texts: DataFrame) -> DataFrame:
+    """key and marks (own) of texts (key, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = pa.array([marks(t.split()) for t in utf8(b.column(1))], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), own], ["key", "own"])
+
+    return texts.select("key", "text").mapInArrow(run, "key binary, own binary")
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
 
 
 def _pairs(rows: list[tuple]) -> pa.RecordBatch:
@@ -397,8 +481,20 @@ def similar(a: list, b: list) -> bool:
     return PART * distance(a, b, longer // PART) <= longer
 
 
-def verified(pairs: DataFrame, docs: DataFrame, how: str = "merge") -> DataFrame:
-    """Those pairs whose texts are similar; ``how`` is a hint for the join that picks texts."""
+def text_key() -> Column:
+    """The key of a row's text, as ``sketches`` gives it."""
+    return F.unhex(F.md5(F.coalesce(F.col("text").cast("string").cast("binary"), F.lit(b""))))
+
+
+def picked(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """key and text of the distinct texts with these keys."""
+    texts = docs.select(text_key().alias("key"), F.col("text").cast("string").alias("text"))
+    # A merge join at every size: whole texts move once, whatever the number of keys.
+    return texts.join(keys.distinct().hint("merge"), "key", "left_semi").dropDuplicates(["key"])
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those pairs whose texts (key, text) are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, words = None, []
@@ -410,12 +506,6 @@ def verified(pairs: DataFrame, docs: DataFrame, how: str = "merge") -> DataFrame
                 keep.append(similar(one.split(), words))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    pairs = written(pairs, "pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    text = F.col("text").cast("string")
-    texts = docs.select(F.unhex(F.md5(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))).alias("key"), text.alias("text"))
-    # A merge join at every size: whole texts move once, whatever the number of pairs.
-    texts = written(texts.join(needed.hint(how) if how else needed, "key", "left_semi").dropDuplicates(["key"]), "texts")
     one, two = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
     return written(both.mapInArrow(run, "a binary, b binary"), "links")
@@ -467,22 +557,25 @@ def classes(docs: DataFrame) -> DataFrame:
     Repeated rows keep their rows; null ids count as larger than all others, and
     an empty table gives no rows.  Other columns aren't read.
     """
-    rows = written(sketches(docs), "sketches")
-    own = rows.where("n_words > 0")
+    own = sketches(docs).where("n_words > 0")
     nodes = own.groupBy("key").agg(
         F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("n_words", "entries", "bits", "brief", "brief_bits", "cuts", "bag")]
     )
     nodes = written(nodes, "nodes")
     met = meetings(nodes)
     tested = written(candidates(nodes, met), "tested")
-    roots = written(rooted(verified(tested, docs)), "roots")
-    members = met.select("entry", "key", "n_words", "bits").distinct()
+    # Whole texts are picked once: of all that a pair names, and of pivots that may still get one.
+    texts = written(picked(docs, met.select("key").unionByName(ends(tested))), "texts")
+    roots = written(rooted(verified(tested, texts)), "roots")
+    members = written(crossing_members(written(divided(met, roots), "divided"), nodes), "members")
+    keys = written(members.select("key").distinct(), "keys")
+    few = written(texts.join(keys, "key", "left_semi"), "few")
+    sets = written(marked(few), "marks")
     for most in (1, None):
-        members = written(divided(members.select("entry", "key", "n_words", "bits"), roots), "members")
-        more = written(crossing(members, nodes, tested, most), "more")
+        more = written(crossing(written(divided(members, roots), "divided"), sets, tested, most), "more")
         if more.isEmpty():
             continue
-        links = verified(more, docs, "")
+        links = verified(more, written(few.join(ends(more).distinct(), "key", "left_semi"), "fewer"))
         tested = tested.unionByName(more)
         if not links.isEmpty():
             roots = written(merged(roots, links), "roots")
@@ -490,9 +583,10 @@ def classes(docs: DataFrame) -> DataFrame:
     least = least.withColumn("root", F.coalesce("root", "node"))
     class_of = least.groupBy("root").agg(F.min("least").alias("class_id"))
     known = least.join(class_of, "root").select(F.col("node").alias("key"), "root", "class_id")
-    found = own.select("doc_id", "key").join(known, "key").select("doc_id", "key", "root", "class_id")
-    alone = rows.where("n_words = 0").select("doc_id", "key", F.lit(None).cast("binary").alias("root"), F.col("doc_id").alias("class_id"))
-    return found.unionByName(alone)
+    every = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("key"))
+    # Texts without words are no nodes.
+    found = every.join(known.withColumn("__node", F.lit(True)), "key", "left")
+    return found.select("doc_id", "key", "root", F.when(F.col("__node"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
 
 
 def first_of_class(docs: DataFrame) -> DataFrame:

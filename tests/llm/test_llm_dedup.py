@@ -150,6 +150,41 @@ def test_tiles_hold_every_pair_of_two_classes():
     assert Counter(x[0] for x, _ in neardup.tile_pairs(rows, 1)) == {i: 2 for i in range(40)}
 
 
+def test_pairs_of_a_common_passage_stay_few():
+    """Long texts over the same frequent words that share a passage: the bags let nearly
+    all pairs through, the marks only those whose words may do."""
+    rng = np.random.default_rng(14)
+    passage = [b"p%d" % i for i in range(200)]
+    body = [b"w%d" % w for w in (rng.zipf(1.3, 200_000) % 3000)]
+    words = [passage + body[1000 * i : 1000 * i + 600] for i in range(60)]
+    words += [[x if rng.random() < 0.9 else b"x%d" % rng.integers(9) for x in w] for w in words[:20]]
+    bits = bytes(neardup.BITS)
+    by_bags = [(bytes([i]), len(w), bits, neardup.bag(w), i, 2) for i, w in enumerate(words)]
+    by_marks = [(*r[:3], neardup.marks(w), *r[4:]) for r, w in zip(by_bags, words, strict=True)]
+    loose, near = (set(neardup.tile_pairs(r, None, f)) for r, f in ((by_bags, neardup.by_bags), (by_marks, neardup.by_marks)))
+    want = {(bytes([i]), bytes([j])) for j in range(len(words)) for i in range(j) if neardup.similar(words[i], words[j])}
+    assert len(want) >= 20 and want <= near <= loose and len(near) <= len(loose) / 4
+    met = {r[1] for r in neardup.tile_members(5, by_bags)}
+    assert met == {k for pair in loose for k in pair}
+
+
+def test_buckets_of_one_tile_are_not_multiplied(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "TILE", 4)
+    label = lambda e, k: 7 if k < (1 if e == 1 else 5) else k
+    rows = [(e, bytes([k]), 20, b"", label(e, k), 7, 1 if e == 1 else 5, n) for e, n in ((1, 4), (2, 11)) for k in range(n)]
+    members = spark.createDataFrame(rows, "entry bigint, key binary, n_words int, bits binary, label bigint, major bigint, most bigint, n bigint")
+    bounds = spark.createDataFrame([(bytes([k]), b"") for k in range(11)], "key binary, own binary")
+    placed = neardup.dealt(members, bounds).collect()
+    assert [(r.kind, r.i, r.j, r.side) for r in placed if r.entry == 1] == [(0, 0, 0, 2)] * 4
+    met = set()
+    for r in placed:
+        for o in placed:
+            if (r.entry, r.kind, r.i, r.j) == (o.entry, o.kind, o.i, o.j) and r.label != o.label and (r.side == 2 or r.side != o.side):
+                met.add((r.entry, *sorted((r.key[0], o.key[0]))))
+    want = {(e, a, b) for e, n in ((1, 4), (2, 11)) for b in range(n) for a in range(b) if label(e, a) != label(e, b)}
+    assert met == want
+
+
 def test_bags_bound_the_distance():
     rng = random.Random(13)
     for _ in range(300):
