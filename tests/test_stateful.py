@@ -178,3 +178,25 @@ def test_days_are_dealt_in_one_pass(spark, tmp_path):
     assert sorted(n for n in os.listdir(f"{path}-by-day") if n.startswith("day=")) == ["day=-1", "day=0", "day=1"]
     times = [max(os.stat(f"{path}/day={d}/{n}").st_mtime_ns for n in os.listdir(f"{path}/day={d}") if n.endswith(".csv")) for d in (-1, 0, 1)]
     assert times == sorted(times)
+
+
+@pytest.mark.parametrize("kind", ["distinct", "members", "carried"])
+def test_state_takes_one_wave_of_tasks(spark, tmp_path, kind):
+    base = str(tmp_path)
+    for day in range(2):
+        write_part(spark, [("f", f"c{day + i}", day * DAY + i, "p") for i in range(2)], base, day, 1_700_000_000 + day * DAY)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        stream = I.read_log_stream(spark, f"{base}/in")
+        if kind == "distinct":
+            I.stream_distinct(stream, ["CustomerID"], f"{base}/out", f"{base}/ckpt")
+        elif kind == "members":
+            ST.stream_members(ST.with_arrival(I.read_day_stream(spark, f"{base}/in", LOG_DDL)), ["CustomerID"], f"{base}/out", f"{base}/ckpt")
+        else:
+            ST.carried_intervals(stream, f"{base}/out", f"{base}/ckpt")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "23"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    stores = [n for n in os.listdir(f"{base}/ckpt/state/0") if n.isdigit()]
+    assert len(stores) == spark.sparkContext.defaultParallelism < 23
