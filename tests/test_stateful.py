@@ -180,6 +180,30 @@ def test_days_are_dealt_in_one_pass(spark, tmp_path):
     assert times == sorted(times)
 
 
+def test_days_are_written_by_one_job(spark, tmp_path):
+    rows = [("f", None, day * DAY + k, "p,\"q") for day in (-2, 0, 1, 3, 10) for k in range(3)]
+    log, seen = spark.createDataFrame(rows, LOG_DDL), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("staging", "staging")
+    try:
+        path = I.stage_day_files(log, f"{tmp_path}/in")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(seen.getJobIdsForGroup("staging")) < 5  # not one per day
+    days = I.listed_by_day(spark, path)
+    assert [d for d, _ in days] == [-2, 0, 1, 3, 10]
+    times = [{os.stat(f.removeprefix("file:")).st_mtime for f in files} for _, files in days]
+    assert all(len(t) == 1 for t in times) and [max(t) for t in times] == sorted({max(t) for t in times})
+    assert sorted(spark.read.schema(LOG_DDL).csv(path).select("FileID", "CustomerID", "QueryTs", "ProductID").collect()) == sorted(rows)
+
+
+def test_days_come_in_order_from_a_store_without_times(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(I, "timed_by_day", lambda *_: False)
+    log = spark.createDataFrame([("f", "c", d * DAY, "p") for d in (2, 0, -1, 10)], LOG_DDL)
+    days = I.listed_by_day(spark, I.stage_day_files(log, f"{tmp_path}/in"))
+    times = [os.stat(f.removeprefix("file:")).st_mtime_ns for _, files in days for f in files if f.endswith(".csv")]
+    assert len(times) == 4 and times == sorted(times)
+
+
 @pytest.mark.parametrize("kind", ["distinct", "members", "carried"])
 def test_state_takes_one_wave_of_tasks(spark, tmp_path, kind):
     base = str(tmp_path)
