@@ -224,3 +224,12 @@ def test_state_takes_one_wave_of_tasks(spark, tmp_path, kind):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     stores = [n for n in os.listdir(f"{base}/ckpt/state/0") if n.isdigit()]
     assert len(stores) == spark.sparkContext.defaultParallelism < 23
+
+
+def test_state_partitions_can_be_set(spark):
+    spark.conf.set("spark.logweave.state.partitions", "9")
+    try:
+        assert I.state_partitions(spark) == 9
+    finally:
+        spark.conf.unset("spark.logweave.state.partitions")
+    assert I.state_partitions(spark) <= spark.sparkContext.defaultParallelism
